@@ -64,7 +64,7 @@ class Slot:
 class FeatureModel:
     spec: FeatureSpec
     labels: list[str]
-    indexer: StringIndexerModel
+    indexers: list[StringIndexerModel]
     bucketizer: Bucketizer
     encoder: OneHotEncoderModel
     assembler: VectorAssembler
@@ -73,13 +73,13 @@ class FeatureModel:
     @property
     def label_indexer(self) -> StringIndexerModel:
         """Unseen labels get the number after the last known one."""
-        return StringIndexerModel.from_arrays_of_labels(
-            [self.labels], inputCols=[self.spec.label], outputCols=["label"], handleInvalid="keep"
+        return StringIndexerModel.from_labels(
+            self.labels, inputCol=self.spec.label, outputCol="label", handleInvalid="keep"
         )
 
     @property
     def index_columns(self) -> list[str]:
-        return list(self.indexer.getOutputCols())
+        return [i.getOutputCol() for i in self.indexers]
 
     @property
     def bin_columns(self) -> list[str]:
@@ -87,7 +87,7 @@ class FeatureModel:
 
     @property
     def stages(self) -> list:
-        return [self.indexer, self.bucketizer, self.encoder, self.assembler]
+        return [*self.indexers, self.bucketizer, self.encoder, self.assembler]
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Purchases with their ``features`` vector, row by row."""
@@ -143,15 +143,16 @@ def fit_features(train: DataFrame, spec: FeatureSpec = FeatureSpec()) -> Feature
             del known[spec.max_categories :]
     # A single value carries no information, and the encoder does not take it.
     used = [c for c in spec.categorical if len(values[c]) > 1]
-    indexer = StringIndexerModel.from_arrays_of_labels(
-        [values[c] for c in used],
-        inputCols=used,
-        outputCols=[f"{c}_index" for c in used],
-        handleInvalid=spec.unseen,
-    )
+    # One stage per column: PySpark pads label lists of unequal length with nulls.
+    indexers = [
+        StringIndexerModel.from_labels(
+            values[c], inputCol=c, outputCol=f"{c}_index", handleInvalid=spec.unseen
+        )
+        for c in used
+    ]
     bin_names = [f"{c}_bin" for c in spec.bins]
     bucketizer = fit_bins(train, spec.bins, bin_names, spec.relative_error)
-    indexed = bucketizer.transform(indexer.transform(train))
+    indexed = PipelineModel(stages=[*indexers, bucketizer]).transform(train)
     # The encoder takes its sizes from column metadata: no job runs.
     encoder = OneHotEncoder(
         inputCols=[f"{c}_index" for c in used], outputCols=[f"{c}_vec" for c in used]
@@ -161,7 +162,7 @@ def fit_features(train: DataFrame, spec: FeatureSpec = FeatureSpec()) -> Feature
     )
     layout = assembler.transform(encoder.transform(indexed)).schema
     slots = _slots(layout, used, list(spec.bins))
-    return FeatureModel(spec, values[spec.label], indexer, bucketizer, encoder, assembler, slots)
+    return FeatureModel(spec, values[spec.label], indexers, bucketizer, encoder, assembler, slots)
 
 
 def _slots(layout, categorical: list[str], binned: list[str]) -> list[Slot]:
@@ -188,16 +189,15 @@ def cells(df: DataFrame, model: FeatureModel, *also_by: str) -> DataFrame:
     The result is landed: its size depends on the number of distinct feature
     combinations, and everything after it reads it many times.
     """
-    numbered = df
-    for stage in (model.label_indexer, model.indexer, model.bucketizer):
-        numbered = stage.transform(numbered)
+    numbers = PipelineModel(stages=[model.label_indexer, *model.indexers, model.bucketizer])
+    numbered = numbers.transform(df)
     by = [*also_by, *model.index_columns, *model.bin_columns, "label"]
     return land(numbered.groupBy(*by).agg(F.count("*").alias("n")), "cells")
 
 
 def nonzero_entries(df: DataFrame, model: FeatureModel, key: str) -> DataFrame:
     """The feature matrix in long form: ``(key, slot, value)`` for non-zero entries."""
-    numbered = model.bucketizer.transform(model.indexer.transform(df))
+    numbered = PipelineModel(stages=[*model.indexers, model.bucketizer]).transform(df)
     first: dict[str, int] = {}
     width: dict[str, int] = {}
     for slot in model.slots:

@@ -147,7 +147,9 @@ def _fit_regression(regression: LogisticRegression, known: DataFrame, model, sli
 
 def fit_classifier(classifier, cells: DataFrame, model: FeatureModel, slicer: VectorSlicer):
     """Train a forest or a regression on the cells whose label is known."""
-    known = cells.where(F.col("label") < len(model.labels))
+    # Without the extra "unseen" value in the metadata, classes are the known labels.
+    nominal = {"ml_attr": {"type": "nominal", "name": "label", "vals": model.labels}}
+    known = cells.where(F.col("label") < len(model.labels)).withMetadata("label", nominal)
     fit = _fit_forest if isinstance(classifier, RandomForestClassifier) else _fit_regression
     return FittedModel(model, slicer, fit(classifier, known, model, slicer))
 
