@@ -81,6 +81,11 @@ class FeatureModel:
     def index_columns(self) -> list[str]:
         return [i.getOutputCol() for i in self.indexers]
 
+    @property
+    def indexed(self) -> list[str]:
+        """The categorical columns which have slots."""
+        return [i.getInputCol() for i in self.indexers]
+
     @property
     def bin_columns(self) -> list[str]:
         return list(self.bucketizer.getOutputCols())

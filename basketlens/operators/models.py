@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from basketlens.operators.features import FeatureModel, FeatureSpec, cells, fit_features
 from basketlens.operators.selection import select_slots
-from basketlens.operators.split import with_fold
 from basketlens.schema import (
     CV_FOLDS,
     FOREST_DEPTH,
@@ -31,7 +30,7 @@ from basketlens.schema import (
     TOP_FEATURES,
 )
 
-BOOTSTRAP_UNITS = 1000
+BOOTSTRAP_UNITS = 500
 ROWS_PER_PARTITION = 4096
 MOST_PARTITIONS = 2000
 
@@ -91,9 +90,32 @@ class FittedModel:
         return self.pipeline().transform(df).drop(*(made - {"predicted_category"}))
 
     def score(self, cells: DataFrame) -> DataFrame:
-        """Cells with their predicted label."""
-        vectors = self.slicer.transform(self.features.vectors(cells))
-        return self.classifier.transform(vectors)
+        """Cells, merged to what the model can tell apart, with their predicted label."""
+        merged = merge_cells(cells, self.features, self.slicer)
+        return self.classifier.transform(self.slicer.transform(self.features.vectors(merged)))
+
+
+def merge_cells(cells: DataFrame, model: FeatureModel, slicer: VectorSlicer) -> DataFrame:
+    """Cells counted again, with what the selected slots do not tell apart put together.
+
+    A category value without a selected slot gets the number which the encoder
+    turns into no slot at all, and a bin column which is not selected gets bin 0,
+    so the selected part of the vector stays the same.
+    """
+    chosen = set(slicer.getIndices())
+    merged = {}
+    for name, source in zip(model.index_columns, model.indexed):
+        own = [s for s in model.slots if s.source_column == source]
+        shown = [float(s.value_index) for s in own if s.number in chosen]
+        number = F.col(name)
+        merged[name] = F.when(number.isin(shown), number).otherwise(float(len(own)))
+    for name, source in zip(model.bin_columns, model.spec.bins):
+        (slot,) = [s for s in model.slots if s.source_column == source]
+        merged[name] = F.col(name) if slot.number in chosen else F.lit(0.0)
+    by = [
+        value.alias(name, metadata=cells.schema[name].metadata) for name, value in merged.items()
+    ]
+    return cells.groupBy(*by, "label").agg(F.sum("n").alias("n"))
 
 
 def _partitions(rows: int) -> int:
@@ -123,14 +145,12 @@ def training_units(cells: DataFrame, units: int = BOOTSTRAP_UNITS) -> DataFrame:
 
 
 def _fit_forest(forest: RandomForestClassifier, known: DataFrame, model, slicer):
-    units = training_units(known.select(*model.index_columns, *model.bin_columns, "label", "n"))
+    units = training_units(known)
     return forest.fit(slicer.transform(model.vectors(units)))
 
 
 def _fit_regression(regression: LogisticRegression, known: DataFrame, model, slicer):
-    weighted = known.select(
-        *model.index_columns, *model.bin_columns, "label", F.col("n").cast("double").alias("weight")
-    )
+    weighted = known.withColumn("weight", F.col("n").cast("double")).drop("n")
     size = weighted.agg(
         F.count("*").alias("cells"),
         F.sum("weight").alias("rows"),
@@ -149,7 +169,8 @@ def fit_classifier(classifier, cells: DataFrame, model: FeatureModel, slicer: Ve
     """Train a forest or a regression on the cells whose label is known."""
     # Without the extra "unseen" value in the metadata, classes are the known labels.
     nominal = {"ml_attr": {"type": "nominal", "name": "label", "vals": model.labels}}
-    known = cells.where(F.col("label") < len(model.labels)).withMetadata("label", nominal)
+    known = merge_cells(cells, model, slicer).where(F.col("label") < len(model.labels))
+    known = known.withMetadata("label", nominal)
     fit = _fit_forest if isinstance(classifier, RandomForestClassifier) else _fit_regression
     return FittedModel(model, slicer, fit(classifier, known, model, slicer))
 
@@ -222,25 +243,24 @@ def prepare(
 
 def cross_validate(
     train: DataFrame,
-    keys: Sequence[str],
     candidates: dict[str, tuple],
     folds: int = CV_FOLDS,
-    seed: int = SEED,
     spec: FeatureSpec = FeatureSpec(),
     top: int = TOP_FEATURES,
     parallelism: int = 1,
 ) -> DataFrame:
     """Accuracy of every candidate on every fold: ``(model, point, params, fold, accuracy)``.
 
-    ``candidates`` maps a name to ``(estimator, parameter maps)``. Feature stages
-    are fitted once per fold, on the other folds only, and shared by all points.
+    ``train`` has a ``fold`` column numbered from 0. ``candidates`` maps a name to
+    ``(estimator, parameter maps)``. Feature stages are fitted once per fold, on
+    the other folds only, and shared by all points.
     """
     spark = train.sparkSession
-    placed = with_fold(train, keys, folds, seed)
 
     @inheritable_thread_target(spark)
     def run(fold: int) -> list[tuple]:
-        parts = prepare(placed.withColumn("held_out", F.col("fold") == fold), "held_out", spec, top)
+        marked = train.withColumn("held_out", F.col("fold") == fold)
+        parts = prepare(marked, "held_out", spec, top)
         scores = []
         for name, (estimator, grid) in candidates.items():
             for point, params in enumerate(grid or [{}]):
@@ -267,21 +287,19 @@ def average_scores(scores: DataFrame) -> DataFrame:
 
 def leaderboard(
     marked: DataFrame,
-    keys: Sequence[str],
     candidates: dict[str, tuple],
     folds: int = CV_FOLDS,
-    seed: int = SEED,
     spec: FeatureSpec = FeatureSpec(),
     top: int = TOP_FEATURES,
     parallelism: int = 1,
 ) -> tuple[DataFrame, dict[str, FittedModel]]:
     """Candidates compared: chosen by cross-validation, reported on the test part.
 
-    ``marked`` has a boolean ``held_out`` column. Returns ``(model, params,
-    cv_accuracy, test_accuracy, is_best)`` and the refitted models.
+    ``marked`` has a boolean ``held_out`` and a ``fold`` column. Returns ``(model,
+    params, cv_accuracy, test_accuracy, is_best)`` and the refitted models.
     """
     train = marked.where("NOT held_out").drop("held_out")
-    scores = cross_validate(train, keys, candidates, folds, seed, spec, top, parallelism)
+    scores = cross_validate(train, candidates, folds, spec, top, parallelism)
     # One line per candidate and parameter point.
     lines = average_scores(scores).orderBy(F.desc("cv_accuracy"), "point").collect()
     parts = prepare(marked, "held_out", spec, top)

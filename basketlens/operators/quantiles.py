@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Sequence
-from itertools import accumulate
+from functools import reduce
+from operator import or_
 
+import numpy as np
 from pyspark.ml.feature import Bucketizer, QuantileDiscretizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.sources.landing import land
@@ -19,74 +20,82 @@ def exact_quantiles(
     df: DataFrame,
     column: str,
     groups: int,
-    max_values: int = 100_000,
+    max_values: int = 1_000_000,
     slices: int = 1000,
 ) -> list[float]:
     """The values at ranks ``ceil(i*n/groups)`` for ``i`` in ``1..groups-1``.
 
-    Rows are counted per value on the cluster, so a hot value costs one line. At
-    most ``max_values`` lines come to the driver at a time: when there are more,
-    the values are cut into ``slices`` of about equal length, rows are counted
-    per slice, and only the slices which hold a wanted rank are looked into.
+    A sketch cuts the value range into ``slices`` of about equal weight and one
+    pass counts the rows of each. Only rows in the few slices which hold a wanted
+    rank are then counted per value and brought to the driver, at most
+    ``max_values`` lines; a slice with more distinct values is cut again.
     """
-    counts = (
-        df.select(F.col(column).cast("double").alias("x"))
-        .where(F.col("x").isNotNull() & ~F.isnan("x"))
-        .groupBy("x")
-        .agg(F.count("*").alias("n"))
+    values = df.select(F.col(column).cast("double").alias("x"), F.lit(1).alias("n")).where(
+        F.col("x").isNotNull() & ~F.isnan("x")
     )
-    few = _few(counts, max_values)
-    if few is not None:
-        ranks = _ranks(sum(few[1]), groups)
-        return [_value_at(few, r) for r in ranks]
-    counts = land(counts, "value-counts")
-    ranks = _ranks(counts.agg(F.sum("n")).first()[0], groups)
-    found = _search(counts, ranks, max_values, slices)
-    return [found[r] for r in ranks]
+    edges, totals = _slice(values, slices)
+    rows = int(totals.sum())
+    ranks = [-(-i * rows // groups) for i in range(1, groups)] if rows else []
+    return _search(values, edges, totals, ranks, max_values, slices)
+
+
+def _slice(values: DataFrame, slices: int) -> tuple[list[float], np.ndarray]:
+    """Slice limits, and how many rows each slice holds."""
+    marks = values.approxQuantile("x", [i / slices for i in range(1, slices)], 0.5 / slices)
+    edges = [-INFINITY, *sorted(set(marks) - {-INFINITY, INFINITY}), INFINITY]
+    numbered = Bucketizer(splits=edges, inputCol="x", outputCol="slice").transform(values)
+    totals = np.zeros(len(edges) - 1, dtype="int64")
+    for place, n in numbered.groupBy("slice").agg(F.sum("n")).collect():
+        totals[int(place)] = n
+    return edges, totals
 
 
-def _ranks(rows: int, groups: int) -> list[int]:
-    return [-(-i * rows // groups) for i in range(1, groups)] if rows else []
+def _within(low: float, high: float) -> Column:
+    above = F.lit(True) if low == -INFINITY else F.col("x") >= low
+    return above if high == INFINITY else above & (F.col("x") < high)
 
 
-def _few(counts: DataFrame, max_values: int) -> tuple[list[float], list[int]] | None:
+def _few(counts: DataFrame, max_values: int) -> tuple[np.ndarray, np.ndarray] | None:
     """Values in order with their row counts, or None when there are too many."""
     table = counts.limit(max_values + 1).toArrow()
     if table.num_rows > max_values:
         return None
     table = table.sort_by("x")
-    return table["x"].to_pylist(), table["n"].to_pylist()
-
-
-def _value_at(few: tuple[list[float], list[int]], rank: int) -> float:
-    values, n = few
-    return values[bisect_left(list(accumulate(n)), rank)]
+    return table["x"].to_numpy(), table["n"].to_numpy()
 
 
 def _search(
-    counts: DataFrame, ranks: Sequence[int], max_values: int, slices: int
-) -> dict[int, float]:
-    marks = counts.approxQuantile("x", [i / slices for i in range(1, slices)], 0.5 / slices)
-    edges = [-INFINITY, *sorted(set(marks)), INFINITY]
-    sliced = Bucketizer(splits=edges, inputCol="x", outputCol="slice").transform(counts)
-    totals = dict(sliced.groupBy("slice").agg(F.sum("n")).collect())
-    found, below = {}, 0
-    for place in sorted(totals):
-        inside = {r: r - below for r in ranks if below < r <= below + totals[place]}
-        below += totals[place]
-        if not inside:
-            continue
-        low, high = edges[int(place)], edges[int(place) + 1]
-        part = counts.where((F.col("x") >= low) & (F.col("x") < high))
-        if high == INFINITY:
-            part = counts.where(F.col("x") >= low)
-        few = _few(part, max_values)
-        if few is None:
-            deeper = _search(part, list(inside.values()), max_values, slices)
-            found.update({r: deeper[local] for r, local in inside.items()})
+    values: DataFrame,
+    edges: list[float],
+    totals: np.ndarray,
+    ranks: Sequence[int],
+    max_values: int,
+    slices: int,
+) -> list[float]:
+    if not ranks:
+        return []
+    ends = np.cumsum(totals)
+    home = np.searchsorted(ends, ranks)
+    within = {h: _within(edges[h], edges[h + 1]) for h in sorted(set(home.tolist()))}
+    counts = values.where(reduce(or_, within.values())).groupBy("x").agg(F.sum("n").alias("n"))
+    few = _few(counts, max_values)
+    found = {}
+    for h, inside in within.items():
+        below = int(ends[h] - totals[h])
+        local = [r - below for r in ranks if below < r <= ends[h]]
+        if few is not None:
+            x, n = few
+            first, last = np.searchsorted(x, [edges[h], edges[h + 1]])
+            stop = len(x) if edges[h + 1] == INFINITY else last
+            running = np.cumsum(n[first:stop])
+            hits = [float(x[first + np.searchsorted(running, r)]) for r in local]
         else:
-            found.update({r: _value_at(few, local) for r, local in inside.items()})
-    return found
+            # One line per value from here on, so that a hot value cannot keep
+            # the slices from getting shorter.
+            deeper = land(counts.where(inside), "value-counts")
+            hits = _search(deeper, *_slice(deeper, slices), local, max_values, slices)
+        found.update({r + below: hit for r, hit in zip(local, hits)})
+    return [found[r] for r in ranks]
 
 
 def fit_bins(

@@ -21,6 +21,9 @@ def chi_square(cells: DataFrame, model: FeatureModel) -> DataFrame:
         (c, F.col(f"{c}_index")) for c in dict.fromkeys(s.source_column for s in model.slots)
         if c not in model.spec.bins
     ] + [(c, F.col(f"{c}_bin")) for c in model.spec.bins]
+    of_source = Window.partitionBy("source_column")
+    # At most max_categories values times the labels: small enough for one task
+    # per source column, which then needs no further exchange.
     observed = (
         cells.where(F.col("label") < len(model.labels))
         .select(
@@ -34,48 +37,33 @@ def chi_square(cells: DataFrame, model: FeatureModel) -> DataFrame:
         )
         .groupBy("source_column", "v", "label")
         .agg(F.sum("n").cast("double").alias("o"))
+        .repartition("source_column")
         .withColumn("row", F.sum("o").over(Window.partitionBy("source_column", "v")))
         .withColumn("col", F.sum("o").over(Window.partitionBy("source_column", "label")))
-        .withColumn("all", F.sum("o").over(Window.partitionBy("source_column")))
+        .withColumn("all", F.sum("o").over(of_source))
+        .withColumn("labels", F.size(F.collect_set("label").over(of_source)))
     )
+    is_bin = F.col("source_column").isin(list(model.spec.bins))
+    value = F.when(~is_bin, F.col("v").cast("int"))
     share = F.col("o") * F.col("o") / F.col("col")
-    per_value = observed.groupBy("source_column", "v").agg(
+    sums = observed.groupBy("source_column", value.alias("value_index")).agg(
         F.sum(share).alias("share"),
-        F.first("row").alias("row"),
-        F.first("all").alias("all"),
+        F.sum(share / F.col("row")).alias("ratio"),
+        F.count_distinct("v").alias("values"),
+        *[F.max(c).alias(c) for c in ("row", "all", "labels")],
     )
-    labels = observed.groupBy("source_column").agg(F.count_distinct("label").alias("labels"))
-    # Two-row table: "has the value" against "has another value".
+    # A bin slot has one row per bin. A one-hot slot has two: "has the value" and
+    # "has another value", of which the second follows from the totals.
     rest = F.col("all") - F.col("row")
     excess = F.col("share") - F.col("row") * F.col("row") / F.col("all")
-    one_hot = (
-        per_value.join(labels, "source_column")
-        .where(~F.col("source_column").isin(list(model.spec.bins)))
-        .select(
-            "source_column",
-            F.col("v").cast("int").alias("value_index"),
-            F.when(rest > 0, excess * F.col("all") * F.col("all") / (F.col("row") * rest))
-            .otherwise(0.0)
-            .alias("statistic"),
-            F.when(rest > 0, F.col("labels") - 1).otherwise(0).cast("int").alias("dof"),
-        )
-    )
-    binned = (
-        per_value.where(F.col("source_column").isin(list(model.spec.bins)))
-        .groupBy("source_column")
-        .agg(
-            (F.max("all") * (F.sum(F.col("share") / F.col("row")) - 1)).alias("statistic"),
-            (F.count("*") - 1).alias("free_values"),
-        )
-        .join(labels, "source_column")
-        .select(
-            "source_column",
-            F.lit(None).cast("int").alias("value_index"),
-            "statistic",
-            (F.col("free_values") * (F.col("labels") - 1)).cast("int").alias("dof"),
-        )
+    two_rows = F.when(rest > 0, excess * F.col("all") * F.col("all") / (F.col("row") * rest))
+    other_rows = F.when(is_bin, F.col("values") - 1).otherwise(F.when(rest > 0, 1).otherwise(0))
+    tested = sums.select(
+        "source_column",
+        "value_index",
+        F.when(is_bin, F.col("all") * (F.col("ratio") - 1)).otherwise(two_rows).alias("statistic"),
+        (other_rows * (F.col("labels") - 1)).cast("int").alias("dof"),
     )
-    tested = one_hot.unionByName(binned)
     slots = slot_table(model, cells)
     same = (slots["source_column"] == tested["source_column"]) & slots["value_index"].eqNullSafe(
         tested["value_index"]

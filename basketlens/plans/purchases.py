@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens.operators.clean import clean
+from basketlens.operators.split import with_fold, with_split
+from basketlens.schema import CV_FOLDS
 from basketlens.sources.landing import land
 
 KEY = "row_id"
@@ -59,10 +61,14 @@ def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean purchases, joined and written once per application and source folder.
 
     Every analysis then reads only the columns it needs from the landed table.
+    Split and fold are stored too: both come from a hash of the key, which the
+    passes of a model fit then need neither read nor compute.
     """
     slot = (spark.sparkContext.applicationId, sf_dir)
     if slot not in _LANDED:
-        _LANDED[slot] = land(clean(order_lines(spark, sf_dir), keep=(KEY,)), "purchases")
+        rows = clean(order_lines(spark, sf_dir), keep=(KEY,))
+        placed = with_fold(with_split(rows, [KEY]), [KEY], CV_FOLDS)
+        _LANDED[slot] = land(placed, "purchases")
     return _LANDED[slot]
 
 

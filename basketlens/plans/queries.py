@@ -17,7 +17,6 @@ from basketlens.operators import (
     profile,
     quantiles,
     selection,
-    split,
 )
 from basketlens.plans import report
 from basketlens.plans.purchases import KEY, dirty_purchases, purchases
@@ -32,8 +31,7 @@ PARALLEL_FOLDS = 3
 
 
 def _marked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = split.with_split(purchases(spark, sf_dir), [KEY])
-    return rows.withColumn("held_out", F.col("split") == "test").drop("split")
+    return purchases(spark, sf_dir).withColumn("held_out", F.col("split") == "test")
 
 
 def _candidates() -> dict[str, tuple]:
@@ -156,11 +154,11 @@ def province_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split.with_split(purchases(spark, sf_dir), [KEY]).select(KEY, "split")
+    return purchases(spark, sf_dir).select(KEY, "split")
 
 
 def cv_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split.with_fold(purchases(spark, sf_dir), [KEY], 3).select(KEY, "fold")
+    return purchases(spark, sf_dir).select(KEY, "fold")
 
 
 def age_quantile_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,14 +221,14 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, _ = split.train_test_split(purchases(spark, sf_dir), [KEY])
+    train = purchases(spark, sf_dir).where("split = 'train'")
     forest = {"random forest": models.forest_grid()}
-    return models.cross_validate(train, [KEY], forest, parallelism=PARALLEL_FOLDS)
+    return models.cross_validate(train, forest, parallelism=PARALLEL_FOLDS)
 
 
 def model_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, _ = models.leaderboard(
-        _marked(spark, sf_dir), [KEY], _candidates(), parallelism=PARALLEL_FOLDS
+        _marked(spark, sf_dir), _candidates(), parallelism=PARALLEL_FOLDS
     )
     return table
 
@@ -252,7 +250,7 @@ def lr_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = _marked(spark, sf_dir)
-    table, fitted = models.leaderboard(marked, [KEY], _candidates(), parallelism=PARALLEL_FOLDS)
+    table, fitted = models.leaderboard(marked, _candidates(), parallelism=PARALLEL_FOLDS)
     forest = fitted["random forest"]
     return report.model_lines(table, explain.feature_importance(forest, marked), forest)
 
