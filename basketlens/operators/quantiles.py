@@ -42,7 +42,7 @@ def exact_quantiles(
 def _slice(values: DataFrame, slices: int) -> tuple[list[float], np.ndarray]:
     """Slice limits, and how many rows each slice holds."""
     marks = values.approxQuantile("x", [i / slices for i in range(1, slices)], 0.5 / slices)
-    edges = [-INFINITY, *sorted(set(marks) - {-INFINITY, INFINITY}), INFINITY]
+    edges = [-INFINITY, *_finite(marks), INFINITY]
     numbered = Bucketizer(splits=edges, inputCol="x", outputCol="slice").transform(values)
     totals = np.zeros(len(edges) - 1, dtype="int64")
     for place, n in numbered.groupBy("slice").agg(F.sum("n")).collect():
@@ -50,6 +50,11 @@ def _slice(values: DataFrame, slices: int) -> tuple[list[float], np.ndarray]:
     return edges, totals
 
 
+def _finite(marks: Sequence[float]) -> list[float]:
+    """Inner limits for a bucketizer, which needs one; 0 when there are no values."""
+    return sorted(set(marks) - {-INFINITY, INFINITY}) or [0.0]
+
+
 def _within(low: float, high: float) -> Column:
     above = F.lit(True) if low == -INFINITY else F.col("x") >= low
     return above if high == INFINITY else above & (F.col("x") < high)
@@ -119,8 +124,8 @@ def fit_bins(
         ).fit(df)
     splits = []
     for column, groups in bins.items():
-        cuts = sorted(set(exact_quantiles(df, column, groups)))
-        splits.append([-INFINITY, *cuts, INFINITY])
+        cuts = exact_quantiles(df, column, groups)
+        splits.append([-INFINITY, *_finite(cuts), INFINITY])
     return Bucketizer(splitsArray=splits, inputCols=list(bins), outputCols=list(outputs))
 
 

@@ -1,0 +1,85 @@
+from __future__ import annotations
+
+import math
+
+import pytest
+from pyspark.ml.feature import UnivariateFeatureSelector
+from pyspark.ml.stat import ChiSquareTest
+from pyspark.sql import functions as F
+
+from basketlens.functions.chi_square import log_tail
+from basketlens.operators import features, selection
+
+SPEC = features.FeatureSpec(unseen="error", relative_error=0.0)
+
+
+@pytest.fixture(scope="module", params=["planted", "shuffled"])
+def case(request, planted):
+    """Purchases with a strong signal, and with one too weak to underflow."""
+    if request.param == "planted":
+        return planted
+    ages = F.pmod(F.xxhash64("row_id"), F.lit(50)).cast("int") + 15
+    genders = F.when(F.pmod(F.xxhash64("row_id", "age"), F.lit(2)) == 0, "male").otherwise("female")
+    return planted.withColumns({"age": ages, "gender": genders})
+
+
+def test_statistics_equal_the_stock_test(case):
+    model = features.fit_features(case, SPEC)
+    rows = selection.ranked_features(features.cells(case, model), model).orderBy("slot").collect()
+    labelled = model.label_indexer.transform(model.transform(case))
+    stock = ChiSquareTest.test(labelled, "features", "label").first()
+    assert [r.statistic for r in rows] == pytest.approx(stock.statistics.toArray().tolist())
+    assert [r.dof for r in rows] == list(stock.degreesOfFreedom)
+    assert [r.p_value for r in rows] == pytest.approx(stock.pValues.toArray().tolist(), abs=1e-12)
+
+
+@pytest.mark.parametrize("top", [3, 10])
+def test_same_slots_as_the_stock_selector(case, top):
+    model = features.fit_features(case, SPEC)
+    stock = (
+        UnivariateFeatureSelector(
+            featuresCol="features", labelCol="label", outputCol="s", selectionMode="numTopFeatures"
+        )
+        .setFeatureType("categorical")
+        .setLabelType("categorical")
+        .setSelectionThreshold(top)
+        .fit(model.label_indexer.transform(model.transform(case)))
+    )
+    slicer = selection.select_slots(features.cells(case, model), model, top)
+    assert slicer.getIndices() == sorted(stock.selectedFeatures)
+
+
+def test_log_ranking_tells_very_small_p_values_apart(planted):
+    model = features.fit_features(planted)
+    table = features.cells(planted, model)
+    rows = selection.ranked_features(table, model, 3, "log_p").orderBy("rank").collect()
+    assert [r.rank for r in rows[:3]] == [1, 2, 3]
+    assert {r.source_column for r in rows[:3]} == {"age", "gender"}
+    assert rows[0].log_p < rows[2].log_p < math.log(1e-16)
+
+
+def reference_tail(x, dof):
+    """P(X >= x) by integrating the density with many small steps."""
+    end, steps = x + 40 + 40 * math.sqrt(dof), 200_000
+    width = (end - x) / steps
+    norm = dof / 2 * math.log(2) + math.lgamma(dof / 2)
+    middle = (x + (i + 0.5) * width for i in range(steps))
+    return sum(math.exp((dof / 2 - 1) * math.log(t) - t / 2 - norm) for t in middle) * width
+
+
+def test_tail_probability(spark):
+    cases = [(0.3, 2), (5.0, 1), (0.5, 1), (14.85, 5), (3.2, 7), (12.5, 1), (40.0, 20), (9.0, 15)]
+    df = spark.createDataFrame(cases, "x double, d int")
+    rows = df.select("x", "d", F.exp(log_tail(F.col("x"), F.col("d"))).alias("p")).collect()
+    for r in rows:
+        assert r.p == pytest.approx(reference_tail(r.x, r.d), rel=1e-5)
+
+
+def test_tail_probability_at_the_ends(spark):
+    cases = [(0.0, 5), (3.0, 0), (1e6, 1), (1e6, 6), (1e12, 45)]
+    df = spark.createDataFrame(cases, "x double, d int")
+    got = [r[0] for r in df.select(log_tail(F.col("x"), F.col("d"))).collect()]
+    assert got[:2] == [0.0, 0.0]
+    assert got[2] == pytest.approx(-5e5, rel=1e-4)
+    assert got[3] == pytest.approx(-5e5, rel=1e-4)
+    assert got[4] == pytest.approx(-5e11, rel=1e-4)
