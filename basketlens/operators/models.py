@@ -31,7 +31,7 @@ from basketlens.schema import (
 )
 
 BOOTSTRAP_UNITS = 500
-ROWS_PER_PARTITION = 4096
+ROWS_PER_PARTITION = 8192
 MOST_PARTITIONS = 2000
 
 
@@ -45,6 +45,7 @@ def random_forest(
         numTrees=trees,
         maxDepth=depth,
         seed=seed,
+        cacheNodeIds=True,
     )
 
 

@@ -59,8 +59,10 @@ def top_groups(df: DataFrame, column: str, k: int = TOP_PROVINCES) -> DataFrame:
     return group_counts(df, column).orderBy(F.desc("n"), F.asc(column)).limit(k)
 
 
-def distinct_count(df: DataFrame, column: str) -> DataFrame:
-    return df.agg(F.count_distinct(column).alias("n_distinct"))
+def distinct_count(df: DataFrame, column: str, approximate: bool = False) -> DataFrame:
+    """How many different values a column has; optionally by a fixed-size sketch."""
+    count = F.approx_count_distinct if approximate else F.count_distinct
+    return df.agg(count(column).alias("n_distinct"))
 
 
 def value_share(df: DataFrame, column: str, value: str, digits: int = 2) -> DataFrame:

@@ -28,7 +28,7 @@ def exact_quantiles(
     A sketch cuts the value range into ``slices`` of about equal weight and one
     pass counts the rows of each. Only rows in the few slices which hold a wanted
     rank are then counted per value and brought to the driver, at most
-    ``max_values`` lines; a slice with more distinct values is cut again.
+    ``max_values`` lines; slices with more distinct values are cut again.
     """
     values = df.select(F.col(column).cast("double").alias("x"), F.lit(1).alias("n")).where(
         F.col("x").isNotNull() & ~F.isnan("x")
@@ -60,15 +60,6 @@ def _within(low: float, high: float) -> Column:
     return above if high == INFINITY else above & (F.col("x") < high)
 
 
-def _few(counts: DataFrame, max_values: int) -> tuple[np.ndarray, np.ndarray] | None:
-    """Values in order with their row counts, or None when there are too many."""
-    table = counts.limit(max_values + 1).toArrow()
-    if table.num_rows > max_values:
-        return None
-    table = table.sort_by("x")
-    return table["x"].to_numpy(), table["n"].to_numpy()
-
-
 def _search(
     values: DataFrame,
     edges: list[float],
@@ -81,28 +72,39 @@ def _search(
         return []
     ends = np.cumsum(totals)
     home = np.searchsorted(ends, ranks)
-    within = {h: _within(edges[h], edges[h + 1]) for h in sorted(set(home.tolist()))}
+    wanted = sorted(set(home.tolist()))
+    within = {h: _within(edges[h], edges[h + 1]) for h in wanted}
     counts = values.where(reduce(or_, within.values())).groupBy("x").agg(F.sum("n").alias("n"))
-    few = _few(counts, max_values)
+    small = int(totals[wanted].sum()) <= max_values
+    if not small:
+        # Many rows, but perhaps few values: count them once, in files.
+        counts = land(counts, "value-counts")
+        small = counts.count() <= max_values
+    table = counts.toArrow().sort_by("x") if small else None
     found = {}
     for h, inside in within.items():
         below = int(ends[h] - totals[h])
         local = [r - below for r in ranks if below < r <= ends[h]]
-        if few is not None:
-            x, n = few
-            first, last = np.searchsorted(x, [edges[h], edges[h + 1]])
-            stop = len(x) if edges[h + 1] == INFINITY else last
-            running = np.cumsum(n[first:stop])
-            hits = [float(x[first + np.searchsorted(running, r)]) for r in local]
+        if small:
+            hits = _pick(table, edges[h], edges[h + 1], local)
         else:
-            # One line per value from here on, so that a hot value cannot keep
-            # the slices from getting shorter.
-            deeper = land(counts.where(inside), "value-counts")
-            hits = _search(deeper, *_slice(deeper, slices), local, max_values, slices)
+            # One line per value from here on, so a hot value cannot keep the
+            # slices from getting shorter.
+            part = counts.where(inside)
+            hits = _search(part, *_slice(part, slices), local, max_values, slices)
         found.update({r + below: hit for r, hit in zip(local, hits)})
     return [found[r] for r in ranks]
 
 
+def _pick(table, low: float, high: float, ranks: Sequence[int]) -> list[float]:
+    """Values at ranks counted from ``low``, in a table of values and row counts."""
+    x, n = table["x"].to_numpy(), table["n"].to_numpy()
+    first = np.searchsorted(x, low)
+    stop = len(x) if high == INFINITY else np.searchsorted(x, high)
+    running = np.cumsum(n[first:stop])
+    return [float(x[first + np.searchsorted(running, r)]) for r in ranks]
+
+
 def fit_bins(
     df: DataFrame,
     bins: dict[str, int],

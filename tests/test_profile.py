@@ -87,6 +87,12 @@ def test_empty_frames(spark):
     assert profile.distinct_count(df, "province").first()[0] == 0
 
 
+def test_distinct_counts(planted):
+    exact = profile.distinct_count(planted, "province").first()[0]
+    assert exact == 10
+    assert profile.distinct_count(planted, "province", approximate=True).first()[0] == exact
+
+
 def test_top_groups_do_not_sort_everything(planted):
     plan = profile.top_groups(planted, "province")._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
