@@ -31,7 +31,10 @@ from basketlens.schema import (
 )
 
 BOOTSTRAP_UNITS = 500
-ROWS_PER_PARTITION = 8192
+# Training rows per partition: small tables still get up to 16 partitions.
+ROWS_PER_PARTITION = 16384
+LEAST_ROWS = 1024
+FEW_PARTITIONS = 16
 MOST_PARTITIONS = 2000
 
 
@@ -120,7 +123,8 @@ def merge_cells(cells: DataFrame, model: FeatureModel, slicer: VectorSlicer) ->
 
 
 def _partitions(rows: int) -> int:
-    return max(1, min(MOST_PARTITIONS, -(-rows // ROWS_PER_PARTITION)))
+    small = min(FEW_PARTITIONS, rows // LEAST_ROWS + 1)
+    return min(MOST_PARTITIONS, max(small, rows // ROWS_PER_PARTITION + 1))
 
 
 def _placed(df: DataFrame, rows: int) -> DataFrame:

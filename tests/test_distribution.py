@@ -15,7 +15,7 @@ def frame(spark, values):
     return spark.createDataFrame([(v,) for v in values], "x double")
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.integers(-1000, 1000), min_size=2, max_size=60))
 def test_histogram_agrees_with_numpy(spark, values):
     rows = distribution.histogram(frame(spark, map(float, values)), "x").orderBy("bin").collect()

@@ -43,7 +43,8 @@ def test_vectors_equal_those_of_stock_stages(planted, unseen):
     stock = Pipeline(stages=stock_stages(unseen)).fit(planted).transform(planted)
 
     def vectors(df):
-        return {r.row_id: r.v for r in df.select("row_id", vector_to_array("features").alias("v")).collect()}
+        table = df.select("row_id", vector_to_array("features").alias("v"))
+        return {r.row_id: r.v for r in table.collect()}
 
     assert vectors(ours) == vectors(stock)
 
@@ -112,7 +113,8 @@ def test_cells_hold_every_purchase_and_keep_metadata(planted):
     model = features.fit_features(planted)
     table = features.cells(planted, model)
     assert table.agg(F.sum("n")).first()[0] == planted.count()
-    assert table.groupBy(*[c for c in table.columns if c != "n"]).count().where("count > 1").isEmpty()
+    keys = [c for c in table.columns if c != "n"]
+    assert table.groupBy(*keys).count().where("count > 1").isEmpty()
     assert model.vectors(table).schema["features"].metadata == (
         model.transform(planted).schema["features"].metadata
     )

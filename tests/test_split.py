@@ -26,7 +26,7 @@ def test_parts_are_disjoint_and_whole(planted):
 
 def test_three_parts(planted):
     marked = split.with_split(planted, ["row_id"], (2, 1, 1), names=("a", "b", "c"))
-    counts = {r["split"]: r["count"] / planted.count() for r in marked.groupBy("split").count().collect()}
+    counts = {r[0]: r[1] / planted.count() for r in marked.groupBy("split").count().collect()}
     assert abs(counts["a"] - 0.5) < 0.05 and abs(counts["c"] - 0.25) < 0.05
 
 
