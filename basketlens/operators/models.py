@@ -149,9 +149,11 @@ def training_units(cells: DataFrame, units: int = BOOTSTRAP_UNITS) -> DataFrame:
     return _placed(spread.drop("n"), rows)
 
 
-def _fit_forest(forest: RandomForestClassifier, known: DataFrame, model, slicer):
-    units = training_units(known)
-    return forest.fit(slicer.transform(model.vectors(units)))
+def _fit_forest(forest: RandomForestClassifier, known: DataFrame, model, slicer, units: int):
+    # Trees take bin numbers as categories, and need room for all of them.
+    most = max((len(s) - 1 for s in model.bucketizer.getSplitsArray()), default=0)
+    roomy = forest.copy({forest.maxBins: max(forest.getMaxBins(), most)})
+    return roomy.fit(slicer.transform(model.vectors(training_units(known, units))))
 
 
 def _fit_regression(regression: LogisticRegression, known: DataFrame, model, slicer):
@@ -170,14 +172,26 @@ def _fit_regression(regression: LogisticRegression, known: DataFrame, model, sli
     return corrected.fit(slicer.transform(model.vectors(_placed(weighted, size["cells"]))))
 
 
-def fit_classifier(classifier, cells: DataFrame, model: FeatureModel, slicer: VectorSlicer):
-    """Train a forest or a regression on the cells whose label is known."""
+def fit_classifier(
+    classifier: RandomForestClassifier | LogisticRegression,
+    cells: DataFrame,
+    model: FeatureModel,
+    slicer: VectorSlicer,
+    units: int = BOOTSTRAP_UNITS,
+) -> FittedModel:
+    """Train a forest or a regression on the cells whose label is known.
+
+    ``units`` is how finely a forest can draw from one cell; see ``training_units``.
+    """
     # Without the extra "unseen" value in the metadata, classes are the known labels.
     nominal = {"ml_attr": {"type": "nominal", "name": "label", "vals": model.labels}}
     known = merge_cells(cells, model, slicer).where(F.col("label") < len(model.labels))
     known = known.withMetadata("label", nominal)
-    fit = _fit_forest if isinstance(classifier, RandomForestClassifier) else _fit_regression
-    return FittedModel(model, slicer, fit(classifier, known, model, slicer))
+    if isinstance(classifier, RandomForestClassifier):
+        trained = _fit_forest(classifier, known, model, slicer, units)
+    else:
+        trained = _fit_regression(classifier, known, model, slicer)
+    return FittedModel(model, slicer, trained)
 
 
 def confusion(fitted: FittedModel, cells: DataFrame) -> DataFrame:
@@ -253,6 +267,7 @@ def cross_validate(
     spec: FeatureSpec = FeatureSpec(),
     top: int = TOP_FEATURES,
     parallelism: int = 1,
+    units: int = BOOTSTRAP_UNITS,
 ) -> DataFrame:
     """Accuracy of every candidate on every fold: ``(model, point, params, fold, accuracy)``.
 
@@ -270,11 +285,10 @@ def cross_validate(
         for name, (estimator, grid) in candidates.items():
             for point, params in enumerate(grid or [{}]):
                 fitted = fit_classifier(
-                    estimator.copy(params), parts.train, parts.features, parts.slicer
+                    estimator.copy(params), parts.train, parts.features, parts.slicer, units
                 )
                 value = accuracy(fitted, parts.test).first()["accuracy"]
-                shown = ", ".join(f"{p.name}={v}" for p, v in sorted(
-                    params.items(), key=lambda item: item[0].name))
+                shown = ", ".join(sorted(f"{p.name}={v}" for p, v in params.items()))
                 scores.append((name, point, shown, fold, value))
         return scores
 
@@ -297,6 +311,7 @@ def leaderboard(
     spec: FeatureSpec = FeatureSpec(),
     top: int = TOP_FEATURES,
     parallelism: int = 1,
+    units: int = BOOTSTRAP_UNITS,
 ) -> tuple[DataFrame, dict[str, FittedModel]]:
     """Candidates compared: chosen by cross-validation, reported on the test part.
 
@@ -304,7 +319,7 @@ def leaderboard(
     params, cv_accuracy, test_accuracy, is_best)`` and the refitted models.
     """
     train = marked.where("NOT held_out").drop("held_out")
-    scores = cross_validate(train, candidates, folds, spec, top, parallelism)
+    scores = cross_validate(train, candidates, folds, spec, top, parallelism, units)
     # One line per candidate and parameter point.
     lines = average_scores(scores).orderBy(F.desc("cv_accuracy"), "point").collect()
     parts = prepare(marked, "held_out", spec, top)
@@ -313,7 +328,7 @@ def leaderboard(
         line = next(r for r in lines if r["model"] == name)
         params = (grid or [{}])[line["point"]]
         fitted[name] = fit_classifier(
-            estimator.copy(params), parts.train, parts.features, parts.slicer
+            estimator.copy(params), parts.train, parts.features, parts.slicer, units
         )
         test = accuracy(fitted[name], parts.test).first()["accuracy"]
         rows.append((name, line["params"], line["cv_accuracy"], test))

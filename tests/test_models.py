@@ -164,6 +164,14 @@ def test_confusion_and_class_report_agree_with_the_stock_evaluator(planted, part
     assert report[model.features.labels[1]].recall == pytest.approx(by_label)
 
 
+def test_forest_takes_more_bins_than_its_default(planted):
+    spec = features.FeatureSpec(bins={"age": 40}, categorical=("gender",))
+    parts = models.prepare(marked(planted), "held_out", spec)
+    model = models.fit_classifier(forest(), parts.train, parts.features, parts.slicer, units=50)
+    assert len(parts.features.bucketizer.getSplitsArray()[0]) - 1 > 32
+    assert models.accuracy(model, parts.test).first().accuracy > 0.7
+
+
 def test_predictions_are_categories(planted, fitted):
     out = fitted["forest"].predict(planted)
     assert out.columns == [*planted.columns, "predicted_category"]
