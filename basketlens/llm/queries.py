@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketlens.llm import secrets
+from basketlens.llm import fingerprints, secrets
 from basketlens.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,8 +16,13 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets_query(table(spark, sf_dir, "documents"))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints_query(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op5_secrets": op5_secrets,
+    "op7_fingerprints": op7_fingerprints,
 }
 
 ORACLES: dict[str, str] = {
