@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketlens.llm import fingerprints, secrets
+from basketlens.llm import chat, fingerprints, packing, secrets
 from basketlens.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,15 +16,26 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets_query(table(spark, sf_dir, "documents"))
 
 
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.chat_query(table(spark, sf_dir, "conversations"))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints_query(table(spark, sf_dir, "documents"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packing_query(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op5_secrets": op5_secrets,
+    "op6_chat": op6_chat,
     "op7_fingerprints": op7_fingerprints,
+    "op8_packing": op8_packing,
 }
 
 ORACLES: dict[str, str] = {
     "op5_secrets": secrets.secrets_sql(),
+    "op6_chat": chat.CHAT_SQL,
 }
