@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketlens.llm import chat, fingerprints, packing, secrets
+from basketlens.llm import chat, fingerprints, lengths, packing, quality, secrets
 from basketlens.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,11 +28,21 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_query(table(spark, sf_dir, "documents"))
 
 
+def op9_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lengths.lengths_query(table(spark, sf_dir, "documents"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op5_secrets": op5_secrets,
     "op6_chat": op6_chat,
     "op7_fingerprints": op7_fingerprints,
     "op8_packing": op8_packing,
+    "op9_lengths": op9_lengths,
+    "op10_quality": op10_quality,
 }
 
 ORACLES: dict[str, str] = {
