@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketlens.llm import chat, fingerprints, lengths, packing, quality, secrets
+from basketlens.llm import chat, fingerprints, lengths, mixing, packing, quality, secrets
 from basketlens.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_query(table(spark, sf_dir, "documents"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets_query(table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_mixing": op4_mixing,
     "op5_secrets": op5_secrets,
     "op6_chat": op6_chat,
     "op7_fingerprints": op7_fingerprints,
@@ -46,6 +51,7 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op4_mixing": mixing.mixing_sql(),
     "op5_secrets": secrets.secrets_sql(),
     "op6_chat": chat.CHAT_SQL,
 }
