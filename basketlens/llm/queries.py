@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketlens.llm import chat, fingerprints, lengths, mixing, packing, quality, secrets, topk
+from basketlens.llm import chat, fingerprints, lengths, mixing, packing, quality, secrets, topk, warc
 from basketlens.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.topk_query(table(spark, sf_dir, "embeddings"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_query(table(spark, sf_dir, "pages"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_query(table(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_topk": op1_topk,
+    "op3_warc": op3_warc,
     "op4_mixing": op4_mixing,
     "op5_secrets": op5_secrets,
     "op6_chat": op6_chat,
@@ -57,6 +62,7 @@ QUERIES: dict[str, Query] = {
 
 ORACLES: dict[str, str] = {
     "op1_topk": topk.TOPK_SQL,
+    "op3_warc": warc.WARC_SQL,
     "op4_mixing": mixing.mixing_sql(),
     "op5_secrets": secrets.secrets_sql(),
     "op6_chat": chat.CHAT_SQL,
