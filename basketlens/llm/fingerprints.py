@@ -12,7 +12,7 @@ reading the rest (``combine``). Equal texts have equal fingerprints; texts with
 other pieces have other fingerprints up to chance, about 2**-LANES for a pair.
 
 A bit stands for +1 or -1, so the scalar product of two fingerprints estimates
-in how many pieces the texts agree: ``likeness`` is the cosine, from 0 to 1,
+in how many pieces the texts agree: their likeness is the cosine, from 0 to 1,
 with a standard error near 1/sqrt(LANES). Carries between lanes, which start at
 65,536 pieces, change a lane by one and do not matter for it.
 
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from basketlens.llm.tables import SPACE, whole
+from basketlens.llm.tables import SPACE, WORD, whole
 
 PIECE_WORDS = 4
 WORDS = 32
@@ -44,17 +44,10 @@ _LANE_BITS = 0x0001000100010001
 
 
 def pieces(text: Column) -> Column:
-    """The pieces of all paragraphs; white space between words doesn't matter."""
-
-    def cut(paragraph: Column) -> Column:
-        words = F.filter(F.split(paragraph, f"[{SPACE}]+"), lambda w: w != "")
-        starts = F.when(F.size(words) > 0, F.sequence(F.lit(0), F.floor((F.size(words) - 1) / PIECE_WORDS).cast("int")))
-        return F.coalesce(
-            F.transform(starts, lambda i: F.array_join(F.slice(words, i * PIECE_WORDS + 1, PIECE_WORDS), " ")),
-            F.array().cast("array<string>"),
-        )
-
-    return F.flatten(F.transform(F.split(text, r"[\r\n]+"), cut))
+    """The pieces of all paragraphs, which end at line ends."""
+    between = SPACE.replace(r"\n\r", "")
+    pattern = f"{WORD}(?:[{between}]+{WORD}){{0,{PIECE_WORDS - 1}}}"
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
 def _vector_sums(piece: Column, sign: Column) -> list[Column]:
@@ -83,13 +76,25 @@ def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x * y).cast("double")), F.lit(0.0), add)
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Cosine of two fingerprint vectors, from 0 to 1; 1 exactly for equal ones."""
-    x, y = lanes(a), lanes(b)
+def _cosine(x: Column, y: Column, equal: Column) -> Column:
     size = F.sqrt(_dot(x, x)) * F.sqrt(_dot(y, y))
     cosine = F.when(size > 0, _dot(x, y) / size).otherwise(0.0)
     # Unequal fingerprints stay below 1, so that 1 means equal.
-    return F.when(a == b, 1.0).otherwise(F.least(F.greatest(cosine, F.lit(0.0)), F.lit(1.0 - 2.0**-20)))
+    return F.when(equal, 1.0).otherwise(F.least(F.greatest(cosine, F.lit(0.0)), F.lit(1.0 - 2.0**-20)))
+
+
+def with_likeness(rows: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
+    """``rows`` with the cosine of two fingerprint vectors for each name in ``pairs``.
+
+    From 0 to 1, and 1 exactly for equal fingerprints. Lanes are taken apart once.
+    """
+    vectors = sorted({v for pair in pairs.values() for v in pair})
+    apart = rows.select("*", *[lanes(F.col(v)).alias(f"__{v}") for v in vectors])
+    found = [
+        _cosine(F.col(f"__{a}"), F.col(f"__{b}"), F.col(a) == F.col(b)).alias(name)
+        for name, (a, b) in pairs.items()
+    ]
+    return apart.select(*rows.columns, *found)
 
 
 def combine(a: Column, b: Column, sign: int = 1) -> Column:
@@ -243,11 +248,12 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text"
 
 
 def fingerprints_query(docs: DataFrame) -> DataFrame:
-    found = edited_fingerprints(docs)
+    found = with_likeness(edited_fingerprints(docs), {
+        "near_edited": ("vector", "edited_vector"), "near_next": ("vector", "next_vector"),
+    })
     return found.select(
         "doc_id", "n_chars", "edited_sha256",
         written(F.col("vector")).alias("fingerprint"),
         written(F.col("edited_vector")).alias("edited_fingerprint"),
-        likeness(F.col("vector"), F.col("edited_vector")).alias("near_edited"),
-        likeness(F.col("vector"), F.col("next_vector")).alias("near_next"),
+        "near_edited", "near_next",
     )
