@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketlens.llm import chat, fingerprints, lengths, mixing, packing, quality, secrets, topk, warc
+from basketlens.llm import chat, fingerprints, lengths, mixing, ngram_join, packing, quality, secrets, topk, warc
 from basketlens.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.topk_query(table(spark, sf_dir, "embeddings"))
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_query(table(spark, sf_dir, "documents"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_query(table(spark, sf_dir, "pages"))
 
@@ -50,6 +54,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_topk": op1_topk,
+    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_warc": op3_warc,
     "op4_mixing": op4_mixing,
     "op5_secrets": op5_secrets,
@@ -62,6 +67,7 @@ QUERIES: dict[str, Query] = {
 
 ORACLES: dict[str, str] = {
     "op1_topk": topk.TOPK_SQL,
+    "op2_ngram_jaccard_join": ngram_join.JOIN_SQL,
     "op3_warc": warc.WARC_SQL,
     "op4_mixing": mixing.mixing_sql(),
     "op5_secrets": secrets.secrets_sql(),
