@@ -12,29 +12,49 @@ from basketlens.operators.profile import group_counts
 from basketlens.schema import AGE_CUTS
 
 
-def known_values(df: DataFrame, column: str, at_most: int) -> list[str]:
+def known_values(df: DataFrame, column: str, at_most: int) -> list:
     """The sorted distinct values; an error when there are more than ``at_most``."""
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(at_most + 1)
+    value = F.col(quoted(column))
+    rows = df.select(value).where(value.isNotNull()).distinct().limit(at_most + 1)
     values = sorted(row[0] for row in rows.collect())
     if len(values) > at_most:
         raise ValueError(f"{column} has over {at_most} values: use cross_counts, the long form")
     return values
 
 
+def quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
 def pivot_counts(
     df: DataFrame,
     row: str,
     column: str,
-    values: Sequence[str] | None = None,
-    max_values: int = 1000,
+    values: Sequence | None = None,
+    max_values: int | None = None,
 ) -> DataFrame:
     """One line per ``row`` value, one column per ``column`` value, 0 for no purchases.
 
-    With ``values`` given, no job runs before the result is asked for.
+    With ``values`` given, no job runs before the result is asked for. By default
+    there may be as many as ``spark.sql.pivotMaxValues`` allows. A value may have any
+    name but that of the row column.
     """
+    if max_values is None:
+        max_values = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
     values = known_values(df, column, max_values) if values is None else list(values)
-    wide = df.groupBy(row).pivot(column, values).agg(F.count(F.lit(1)))
-    return wide.na.fill(0, subset=values) if values else wide
+    names = [str(v) for v in values]
+    if row in names:
+        raise ValueError(f"{column} has a value called {row}, like the row column")
+    # Filled by position: names with dots or backticks need no parsing then.
+    wide = (
+        df.select(F.col(quoted(row)).alias("row"), F.col(quoted(column)).alias("value"))
+        .groupBy("row")
+        .pivot("value", values)
+        .agg(F.count(F.lit(1)))
+    )
+    numbered = wide.toDF("row", *[f"v{i}" for i in range(len(values))])
+    filled = [F.coalesce(f"v{i}", F.lit(0)).alias(name) for i, name in enumerate(names)]
+    return numbered.select(F.col("row").alias(row), *filled)
 
 
 def cross_counts(df: DataFrame, row: str, column: str) -> DataFrame:

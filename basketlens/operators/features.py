@@ -1,13 +1,15 @@
 """Feature stages: category numbers, quantile bins, one-hot vectors, cells.
 
 Every feature takes one of few values, so purchases with equal features are
-counted into *cells* before any model sees them. The pass which counts cells is
-the only one whose cost follows the number of purchases; selection, training
-and scoring work on cells with a weight.
+counted into *cells* before any model sees them. Three passes follow the number
+of purchases: one for the value lists, one for the quantile sketches (exact cut
+points take three), one for the cells. The first two serve any number of
+training sets at once. Selection, training and scoring work on cells with a weight.
 """
 
 from __future__ import annotations
 
+from collections.abc import Hashable
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -19,11 +21,11 @@ from pyspark.ml.feature import (
     StringIndexerModel,
     VectorAssembler,
 )
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketlens.operators.profile import group_counts
-from basketlens.operators.quantiles import fit_bins
+from basketlens.operators.quantiles import fit_bins_of_parts
 from basketlens.schema import AGE_BINS, PRICE_BINS
 from basketlens.sources.landing import land
 
@@ -35,8 +37,10 @@ class FeatureSpec:
     ``unseen="keep"`` gives values not met in training a slot of their own, which
     the encoder then drops: every known value has a slot. ``unseen="error"``
     rejects them, and the least frequent known value has no slot.
-    ``max_categories`` bounds each value list; under ``"keep"`` rarer values
-    count as unseen, under ``"error"`` having more is an error.
+    ``max_categories`` bounds each value list; having more is an error. With
+    ``fold_rare`` the rarer values of a feature column count as unseen instead
+    (only under ``"keep"``, never for the label), and the fitted model says how
+    many purchases that are.
     """
 
     categorical: tuple[str, ...] = ("gender", "is_member", "province")
@@ -47,6 +51,7 @@ class FeatureSpec:
     unseen: str = "keep"
     relative_error: float = 0.001
     max_categories: int = 10_000
+    fold_rare: bool = False
 
 
 @dataclass(frozen=True)
@@ -69,6 +74,8 @@ class FeatureModel:
     encoder: OneHotEncoderModel
     assembler: VectorAssembler
     slots: list[Slot]
+    # Training purchases whose value was too rare for the list, by column.
+    folded: dict[str, int] = field(default_factory=dict)
 
     @property
     def label_indexer(self) -> StringIndexerModel:
@@ -103,49 +110,101 @@ class FeatureModel:
         return self.assembler.transform(self.encoder.transform(cells))
 
 
-def frequent_values(df: DataFrame, column: str, at_most: int) -> DataFrame:
-    """The ``at_most`` most frequent values with counts, ties in value order."""
-    present = df.select(column).where(F.col(column).isNotNull())
-    return group_counts(present, column).orderBy(F.desc("n"), F.asc(column)).limit(at_most)
-
-
-def value_index(df: DataFrame, column: str, max_categories: int = 10_000) -> DataFrame:
+def value_index(df: DataFrame, column: str) -> DataFrame:
     """The number which label encoding gives each value: 0 for the most frequent.
 
-    The ranking window holds ``max_categories + 1`` lines at most; a column with
-    more values makes the query fail rather than return part of them.
+    Ties are numbered by name. The table of values is dealt to ranges of that
+    order and numbered within each; the sizes of the ranges before it give where a
+    range starts. So no task holds all values, however many there are.
     """
-    position = F.row_number().over(Window.orderBy(F.desc("n"), F.asc(column))) - 1
-    too_many = F.raise_error(F.lit(f"{column} has over {max_categories} values"))
-    ranked = frequent_values(df, column, max_categories + 1).withColumn("index", position)
-    return ranked.withColumn(
-        "index", F.when(F.col("index") < max_categories, F.col("index")).otherwise(too_many)
+    present = df.select(column).where(F.col(column).isNotNull())
+    order = [F.desc("n"), F.asc(column)]
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = land(
+        group_counts(present, column)
+        .repartitionByRange(ranges, *order)
+        .withColumn("range", F.spark_partition_id()),
+        "value-ranges",
     )
+    # One line for each range.
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy("range").agg(F.count("*").alias("m")).select(
+        "range", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("start")
+    )
+    within = F.row_number().over(Window.partitionBy("range").orderBy(*order)) - 1
+    numbered = dealt.withColumn("within", within).join(starts, "range")
+    return numbered.select(column, "n", (F.col("start") + F.col("within")).cast("int").alias("index"))
+
 
+def _value_lists(
+    df: DataFrame, columns: list[str], parts: list[Column], at_most: int
+) -> list[dict[str, list[tuple[str, int]]]]:
+    """For each part, the values and counts of each column from the most frequent on.
 
-def _value_lists(df: DataFrame, columns: list[str], at_most: int) -> dict[str, list[str]]:
-    """Values of each column from the most to the least frequent, in one job."""
-    tables = [
-        frequent_values(df, c, at_most + 1).select(
-            F.lit(c).alias("column"), F.col(c).cast("string").alias("value"), "n"
+    One pass counts all columns and parts; of each list ``at_most`` values and one
+    more come to the driver, and the total under the value None.
+    """
+    pairs = F.array(
+        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
+    )
+    inside = [F.coalesce(p, F.lit(False)).cast("int").alias(f"part{i}") for i, p in enumerate(parts)]
+    sums = [F.sum(f"part{i}").alias(f"n{i}") for i in range(len(parts))]
+    counted = df.select(*inside, F.inline(pairs)).where("value IS NOT NULL")
+    counted = land(counted.groupBy("column", "value").agg(*sums), "value-counts")
+    lists = []
+    for i in range(len(parts)):
+        n = F.col(f"n{i}").alias("n")
+        tops = [
+            counted.where((F.col("column") == c) & (n > 0))
+            .select("column", "value", n).orderBy(F.desc("n"), "value").limit(at_most + 1)
+            for c in columns
+        ]
+        totals = counted.groupBy("column").agg(F.sum(n).alias("n")).select(
+            "column", F.lit(None).cast("string").alias("value"), "n"
         )
-        for c in columns
-    ]
-    rows = reduce(DataFrame.unionAll, tables).collect()
-    lists: dict[str, list[str]] = {c: [] for c in columns}
-    for row in sorted(rows, key=lambda r: (-r["n"], r["value"].encode())):
-        lists[row["column"]].append(row["value"])
+        found: dict[str, list[tuple[str, int]]] = {c: [] for c in columns}
+        rows = reduce(DataFrame.unionAll, [*tops, totals]).collect()
+        for r in sorted(rows, key=lambda r: (-r["n"], (r["value"] or "").encode())):
+            if r["value"] is not None:
+                found[r["column"]].append((r["value"], r["n"]))
+        all_of = {r["column"]: r["n"] for r in rows if r["value"] is None}
+        lists.append({c: [*v, (None, all_of.get(c, 0))] for c, v in found.items()})
     return lists
 
 
 def fit_features(train: DataFrame, spec: FeatureSpec = FeatureSpec()) -> FeatureModel:
     """Learn value lists, cut points and the vector layout from ``train``."""
-    values = _value_lists(train, [spec.label, *spec.categorical], spec.max_categories)
-    for column, known in values.items():
+    return fit_feature_models(train, {"all": F.lit(True)}, spec)["all"]
+
+
+def fit_feature_models(
+    df: DataFrame, parts: dict[Hashable, Column], spec: FeatureSpec = FeatureSpec()
+) -> dict[Hashable, FeatureModel]:
+    """A model for each part of the purchases, given as a condition; in two passes for all.
+
+    Exact cut points (``relative_error`` 0) take passes of their own for each part.
+    """
+    lists = _value_lists(df, [spec.label, *spec.categorical], list(parts.values()), spec.max_categories)
+    bin_names = [f"{c}_bin" for c in spec.bins]
+    bucketizers = fit_bins_of_parts(df, list(parts.values()), spec.bins, bin_names, spec.relative_error)
+    return {
+        name: _feature_model(df, spec, values, bucketizer)
+        for name, values, bucketizer in zip(parts, lists, bucketizers)
+    }
+
+
+def _feature_model(
+    df: DataFrame, spec: FeatureSpec, counted: dict[str, list[tuple]], bucketizer: Bucketizer
+) -> FeatureModel:
+    values, folded = {}, {}
+    for column, pairs in counted.items():
+        known, total = pairs[:-1], pairs[-1][1]
         if len(known) > spec.max_categories:
-            if spec.unseen != "keep" or column == spec.label:
+            if not spec.fold_rare or spec.unseen != "keep" or column == spec.label:
                 raise ValueError(f"{column} has over {spec.max_categories} values")
-            del known[spec.max_categories :]
+            known = known[: spec.max_categories]
+            folded[column] = total - sum(n for _, n in known)
+        values[column] = [v for v, _ in known]
     # A single value carries no information, and the encoder does not take it.
     used = [c for c in spec.categorical if len(values[c]) > 1]
     # One stage per column: PySpark pads label lists of unequal length with nulls.
@@ -156,8 +215,7 @@ def fit_features(train: DataFrame, spec: FeatureSpec = FeatureSpec()) -> Feature
         for c in used
     ]
     bin_names = [f"{c}_bin" for c in spec.bins]
-    bucketizer = fit_bins(train, spec.bins, bin_names, spec.relative_error)
-    indexed = PipelineModel(stages=[*indexers, bucketizer]).transform(train)
+    indexed = PipelineModel(stages=[*indexers, bucketizer]).transform(df)
     # The encoder takes its sizes from column metadata: no job runs.
     encoder = OneHotEncoder(
         inputCols=[f"{c}_index" for c in used], outputCols=[f"{c}_vec" for c in used]
@@ -167,7 +225,9 @@ def fit_features(train: DataFrame, spec: FeatureSpec = FeatureSpec()) -> Feature
     )
     layout = assembler.transform(encoder.transform(indexed)).schema
     slots = _slots(layout, used, list(spec.bins))
-    return FeatureModel(spec, values[spec.label], indexers, bucketizer, encoder, assembler, slots)
+    return FeatureModel(
+        spec, values[spec.label], indexers, bucketizer, encoder, assembler, slots, folded
+    )
 
 
 def _slots(layout, categorical: list[str], binned: list[str]) -> list[Slot]:

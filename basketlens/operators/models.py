@@ -15,10 +15,10 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import IndexToString, VectorSlicer
 from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.operators.features import FeatureModel, FeatureSpec, cells, fit_features
+from basketlens.operators.features import FeatureModel, FeatureSpec, cells, fit_feature_models
 from basketlens.operators.selection import select_slots
 from basketlens.schema import (
     CV_FOLDS,
@@ -31,11 +31,9 @@ from basketlens.schema import (
 )
 
 BOOTSTRAP_UNITS = 500
-# Training rows per partition: small tables still get up to 16 partitions.
-ROWS_PER_PARTITION = 16384
-LEAST_ROWS = 1024
-FEW_PARTITIONS = 16
-MOST_PARTITIONS = 2000
+# Partitions of the training rows. A forest's draws depend on the number, so it
+# is a parameter and does not follow the size of the table or of the cluster.
+TRAINING_PARTITIONS = 16
 
 
 def random_forest(
@@ -122,44 +120,43 @@ def merge_cells(cells: DataFrame, model: FeatureModel, slicer: VectorSlicer) ->
     return cells.groupBy(*by, "label").agg(F.sum("n").alias("n"))
 
 
-def _partitions(rows: int) -> int:
-    small = min(FEW_PARTITIONS, rows // LEAST_ROWS + 1)
-    return min(MOST_PARTITIONS, max(small, rows // ROWS_PER_PARTITION + 1))
-
-
-def _placed(df: DataFrame, rows: int) -> DataFrame:
+def _placed(df: DataFrame, partitions: int) -> DataFrame:
     """Rows placed and ordered by value, so that a fit does not depend on the cluster."""
     by = [c for c in df.columns if c != "weight"]
-    return df.repartition(_partitions(rows), *by).sortWithinPartitions(*by)
+    return df.repartition(partitions, *by).sortWithinPartitions(*by)
 
 
-def training_units(cells: DataFrame, units: int = BOOTSTRAP_UNITS) -> DataFrame:
+def training_units(
+    cells: DataFrame,
+    units: int | None = BOOTSTRAP_UNITS,
+    partitions: int = TRAINING_PARTITIONS,
+) -> DataFrame:
     """Cells spread over up to ``units`` weighted rows each, for bootstrapping.
 
     A forest draws rows, not weights. A cell of at most ``units`` purchases gives
     one row of weight 1 per purchase, so the forest is trained as on the purchases
     themselves; in a larger cell each row stands for an equal part of it. Weights
-    always add up to the number of purchases.
+    always add up to the number of purchases. With ``units=None`` every purchase
+    is a row.
     """
-    pieces = F.least(F.col("n"), F.lit(units))
+    pieces = F.col("n") if units is None else F.least(F.col("n"), F.lit(units))
     spread = cells.withColumn("weight", F.col("n") / pieces).withColumn(
         "unit", F.explode(F.sequence(F.lit(1).cast("bigint"), pieces))
     )
-    rows = cells.agg(F.coalesce(F.sum(pieces), F.lit(0))).first()[0]
-    return _placed(spread.drop("n"), rows)
+    return _placed(spread.drop("n"), partitions)
 
 
-def _fit_forest(forest: RandomForestClassifier, known: DataFrame, model, slicer, units: int):
+def _fit_forest(forest, known: DataFrame, model, slicer, units: int | None, partitions: int):
     # Trees take bin numbers as categories, and need room for all of them.
     most = max((len(s) - 1 for s in model.bucketizer.getSplitsArray()), default=0)
     roomy = forest.copy({forest.maxBins: max(forest.getMaxBins(), most)})
-    return roomy.fit(slicer.transform(model.vectors(training_units(known, units))))
+    rows = training_units(known, units, partitions)
+    return roomy.fit(slicer.transform(model.vectors(rows)))
 
 
-def _fit_regression(regression: LogisticRegression, known: DataFrame, model, slicer):
+def _fit_regression(regression, known: DataFrame, model, slicer, partitions: int):
     weighted = known.withColumn("weight", F.col("n").cast("double")).drop("n")
     size = weighted.agg(
-        F.count("*").alias("cells"),
         F.sum("weight").alias("rows"),
         F.sum(F.col("weight") * F.col("weight")).alias("squares"),
     ).first()
@@ -169,7 +166,7 @@ def _fit_regression(regression: LogisticRegression, known: DataFrame, model, sli
     free = size["rows"] - size["squares"] / size["rows"]
     factor = free / (size["rows"] - 1) if free > 0 else 1.0
     corrected = regression.copy({regression.regParam: regression.getRegParam() * factor})
-    return corrected.fit(slicer.transform(model.vectors(_placed(weighted, size["cells"]))))
+    return corrected.fit(slicer.transform(model.vectors(_placed(weighted, partitions))))
 
 
 def fit_classifier(
@@ -177,20 +174,26 @@ def fit_classifier(
     cells: DataFrame,
     model: FeatureModel,
     slicer: VectorSlicer,
-    units: int = BOOTSTRAP_UNITS,
+    units: int | None = BOOTSTRAP_UNITS,
+    partitions: int = TRAINING_PARTITIONS,
 ) -> FittedModel:
     """Train a forest or a regression on the cells whose label is known.
 
     ``units`` is how finely a forest can draw from one cell; see ``training_units``.
+    Raises when there is no purchase, or no feature, to learn from.
     """
+    if not slicer.getIndices():
+        raise ValueError("no feature takes more than one value in the training purchases")
     # Without the extra "unseen" value in the metadata, classes are the known labels.
     nominal = {"ml_attr": {"type": "nominal", "name": "label", "vals": model.labels}}
     known = merge_cells(cells, model, slicer).where(F.col("label") < len(model.labels))
+    if known.isEmpty():
+        raise ValueError("there are no purchases of known category to train on")
     known = known.withMetadata("label", nominal)
     if isinstance(classifier, RandomForestClassifier):
-        trained = _fit_forest(classifier, known, model, slicer, units)
+        trained = _fit_forest(classifier, known, model, slicer, units, partitions)
     else:
-        trained = _fit_regression(classifier, known, model, slicer)
+        trained = _fit_regression(classifier, known, model, slicer, partitions)
     return FittedModel(model, slicer, trained)
 
 
@@ -210,8 +213,28 @@ def confusion(fitted: FittedModel, cells: DataFrame) -> DataFrame:
     )
 
 
-def class_report(matrix: DataFrame) -> DataFrame:
-    """Recall and precision of each category, from a confusion table."""
+def most_frequent_confusion(prepared: Prepared) -> DataFrame:
+    """What ``confusion`` gives if the most frequent training category is always predicted."""
+    labels = prepared.features.labels
+    named = F.element_at(F.array(*[F.lit(v) for v in labels]), F.col("label").cast("int") + 1)
+    known = prepared.test.where(F.col("label") < len(labels)) if labels else prepared.test.limit(0)
+    return known.groupBy("label").agg(F.sum("n").alias("n")).select(
+        named.alias("category"), F.lit(labels[0] if labels else None).alias("predicted"), "n"
+    )
+
+
+def confusion_accuracy(matrix: DataFrame) -> DataFrame:
+    """One row: the share of purchases predicted right."""
+    right = F.sum(F.when(F.col("category") == F.col("predicted"), F.col("n")).otherwise(0))
+    return matrix.agg(F.try_divide(right, F.sum("n")).alias("accuracy"))
+
+
+def class_report(matrix: DataFrame, labels: Sequence[str] = ()) -> DataFrame:
+    """Recall and precision of each category, from a confusion table.
+
+    There is a line for every category that occurs, is predicted, or is among
+    ``labels``: with 0 rows and a null recall or precision where there is nothing.
+    """
     hit = F.sum(F.when(F.col("category") == F.col("predicted"), F.col("n")).otherwise(0))
     recall = matrix.groupBy("category").agg(
         F.sum("n").alias("n"), (hit / F.sum("n")).alias("recall")
@@ -219,7 +242,12 @@ def class_report(matrix: DataFrame) -> DataFrame:
     precision = matrix.groupBy(F.col("predicted").alias("category")).agg(
         (hit / F.sum("n")).alias("precision")
     )
-    return recall.join(precision, "category", "left")
+    known = matrix.sparkSession.createDataFrame([(v,) for v in labels], "category string")
+    return (
+        recall.join(precision, "category", "full")
+        .join(known, "category", "full")
+        .select("category", F.coalesce("n", F.lit(0)).alias("n"), "recall", "precision")
+    )
 
 
 def accuracy(fitted: FittedModel, cells: DataFrame) -> DataFrame:
@@ -248,18 +276,26 @@ def prepare(
     held_out: str,
     spec: FeatureSpec = FeatureSpec(),
     top: int = TOP_FEATURES,
-    ranking: str = "p_value",
+    ranking: str = "log_p",
+    model: FeatureModel | None = None,
 ) -> Prepared:
     """Fit features where the boolean column ``held_out`` is false; count cells of both.
 
-    One pass over the purchases counts the cells of the two parts together.
+    One pass over the purchases counts the cells of the two parts together. A
+    ``model`` which was fitted already is taken as it is.
     """
-    model = fit_features(marked.where(~F.col(held_out)), spec)
+    if model is None:
+        model = fit_feature_models(marked, {"train": ~F.col(held_out)}, spec)["train"]
     both = cells(marked, model, held_out)
     train, test = both.where(~F.col(held_out)), both.where(held_out)
     return Prepared(model, select_slots(train, model, top, ranking), train, test)
 
 
+def _fold_parts(folds: int, train: Column) -> dict[int, Column]:
+    """For each fold, the training purchases outside it."""
+    return {fold: train & (F.col("fold") != fold) for fold in range(folds)}
+
+
 def cross_validate(
     train: DataFrame,
     candidates: dict[str, tuple],
@@ -267,20 +303,25 @@ def cross_validate(
     spec: FeatureSpec = FeatureSpec(),
     top: int = TOP_FEATURES,
     parallelism: int = 1,
-    units: int = BOOTSTRAP_UNITS,
+    units: int | None = BOOTSTRAP_UNITS,
+    ranking: str = "log_p",
+    feature_models: dict[int, FeatureModel] | None = None,
 ) -> DataFrame:
     """Accuracy of every candidate on every fold: ``(model, point, params, fold, accuracy)``.
 
     ``train`` has a ``fold`` column numbered from 0. ``candidates`` maps a name to
     ``(estimator, parameter maps)``. Feature stages are fitted once per fold, on
-    the other folds only, and shared by all points.
+    the other folds only and for all folds in the same passes, and shared by all
+    points.
     """
     spark = train.sparkSession
+    if feature_models is None:
+        feature_models = fit_feature_models(train, _fold_parts(folds, F.lit(True)), spec)
 
     @inheritable_thread_target(spark)
     def run(fold: int) -> list[tuple]:
         marked = train.withColumn("held_out", F.col("fold") == fold)
-        parts = prepare(marked, "held_out", spec, top)
+        parts = prepare(marked, "held_out", spec, top, ranking, feature_models[fold])
         scores = []
         for name, (estimator, grid) in candidates.items():
             for point, params in enumerate(grid or [{}]):
@@ -311,18 +352,23 @@ def leaderboard(
     spec: FeatureSpec = FeatureSpec(),
     top: int = TOP_FEATURES,
     parallelism: int = 1,
-    units: int = BOOTSTRAP_UNITS,
+    units: int | None = BOOTSTRAP_UNITS,
+    ranking: str = "log_p",
 ) -> tuple[DataFrame, dict[str, FittedModel]]:
     """Candidates compared: chosen by cross-validation, reported on the test part.
 
     ``marked`` has a boolean ``held_out`` and a ``fold`` column. Returns ``(model,
     params, cv_accuracy, test_accuracy, is_best)`` and the refitted models.
     """
+    known = ~F.col("held_out")
+    feature_models = fit_feature_models(marked, {**_fold_parts(folds, known), "all": known}, spec)
     train = marked.where("NOT held_out").drop("held_out")
-    scores = cross_validate(train, candidates, folds, spec, top, parallelism, units)
+    scores = cross_validate(
+        train, candidates, folds, spec, top, parallelism, units, ranking, feature_models
+    )
     # One line per candidate and parameter point.
     lines = average_scores(scores).orderBy(F.desc("cv_accuracy"), "point").collect()
-    parts = prepare(marked, "held_out", spec, top)
+    parts = prepare(marked, "held_out", spec, top, ranking, feature_models["all"])
     rows, fitted = [], {}
     for name, (estimator, grid) in candidates.items():
         line = next(r for r in lines if r["model"] == name)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 from operator import or_
 
 import numpy as np
-from pyspark.ml.feature import Bucketizer, QuantileDiscretizer
+from pyspark import inheritable_thread_target
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +23,7 @@ def exact_quantiles(
     df: DataFrame,
     column: str,
     groups: int,
-    max_values: int = 1_000_000,
+    max_values: int = 50_000,
     slices: int = 1000,
 ) -> list[float]:
     """The values at ranks ``ceil(i*n/groups)`` for ``i`` in ``1..groups-1``.
@@ -117,18 +120,48 @@ def fit_bins(
     ``relative_error`` of 0 uses ``exact_quantiles``, which does not need the
     whole column in one place; otherwise Spark's quantile sketch is used.
     """
+    return fit_bins_of_parts(df, [F.lit(True)], bins, outputs, relative_error)[0]
+
+
+def fit_bins_of_parts(
+    df: DataFrame,
+    parts: Sequence[Column],
+    bins: dict[str, int],
+    outputs: Sequence[str],
+    relative_error: float = 0.001,
+) -> list[Bucketizer]:
+    """Such a transformer for each part of ``df``, given as a condition.
+
+    One pass builds the sketches of all parts and columns. Exact cut points are
+    searched for each part and column, as many at once as there are columns.
+    """
     if relative_error > 0:
-        return QuantileDiscretizer(
+        sketches = []
+        for i, part in enumerate(parts):
+            for column, groups in bins.items():
+                value = F.col(column).cast("double")
+                marks = F.array(*[F.lit(k / groups) for k in range(1, groups)])
+                inside = F.when(part & ~F.isnan(value), value)
+                sketches.append(
+                    F.percentile_approx(inside, marks, math.ceil(1 / relative_error)).alias(f"{i}:{column}")
+                )
+        found = df.agg(*sketches).first() if sketches else {}
+        cuts = [[found[f"{i}:{c}"] or [] for c in bins] for i in range(len(parts))]
+    else:
+        with ThreadPool(max(1, len(bins))) as pool:
+            search = inheritable_thread_target(df.sparkSession)(
+                lambda task: exact_quantiles(df.where(parts[task[0]]), task[1], bins[task[1]])
+            )
+            flat = pool.map(search, [(i, c) for i in range(len(parts)) for c in bins])
+        cuts = [flat[i * len(bins) : (i + 1) * len(bins)] for i in range(len(parts))]
+    return [
+        Bucketizer(
+            splitsArray=[[-INFINITY, *_finite(c), INFINITY] for c in of_part],
             inputCols=list(bins),
             outputCols=list(outputs),
-            numBucketsArray=list(bins.values()),
-            relativeError=relative_error,
-        ).fit(df)
-    splits = []
-    for column, groups in bins.items():
-        cuts = exact_quantiles(df, column, groups)
-        splits.append([-INFINITY, *_finite(cuts), INFINITY])
-    return Bucketizer(splitsArray=splits, inputCols=list(bins), outputCols=list(outputs))
+        )
+        for of_part in cuts
+    ]
 
 
 def cut_points(bucketizer: Bucketizer) -> dict[str, list[float]]:

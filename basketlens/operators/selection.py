@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from basketlens.functions.chi_square import log_tail
 from basketlens.operators.features import FeatureModel
 from basketlens.schema import TOP_FEATURES
+from basketlens.sources.landing import land
 
 
 def chi_square(cells: DataFrame, model: FeatureModel) -> DataFrame:
@@ -21,36 +22,36 @@ def chi_square(cells: DataFrame, model: FeatureModel) -> DataFrame:
         (c, F.col(f"{c}_index")) for c in dict.fromkeys(s.source_column for s in model.slots)
         if c not in model.spec.bins
     ] + [(c, F.col(f"{c}_bin")) for c in model.spec.bins]
-    of_source = Window.partitionBy("source_column")
-    # At most max_categories values times the labels: small enough for one task
-    # per source column, which then needs no further exchange.
+    pairs = F.array(*[F.struct(F.lit(c).alias("source_column"), v.alias("v")) for c, v in sources])
     observed = (
         cells.where(F.col("label") < len(model.labels))
-        .select(
-            "label",
-            "n",
-            F.inline(
-                F.array(
-                    *[F.struct(F.lit(c).alias("source_column"), v.alias("v")) for c, v in sources]
-                )
-            ),
-        )
+        .select("label", "n", F.inline(pairs))
         .groupBy("source_column", "v", "label")
         .agg(F.sum("n").cast("double").alias("o"))
-        .repartition("source_column")
-        .withColumn("row", F.sum("o").over(Window.partitionBy("source_column", "v")))
-        .withColumn("col", F.sum("o").over(Window.partitionBy("source_column", "label")))
-        .withColumn("all", F.sum("o").over(of_source))
-        .withColumn("labels", F.size(F.collect_set("label").over(of_source)))
+    )
+    # Read three times below, and as large as values times labels.
+    observed = land(observed, "observed")
+    of_label = observed.groupBy("source_column", "label").agg(F.sum("o").alias("col"))
+    of_source = of_label.groupBy("source_column").agg(
+        F.sum("col").alias("all"), F.count("*").alias("labels")
+    )
+    share = F.col("o") * F.col("o") / F.col("col")
+    of_value = (
+        observed.join(of_label, ["source_column", "label"])
+        .groupBy("source_column", "v")
+        .agg(F.sum(share).alias("share"), F.sum("o").alias("row"))
     )
     is_bin = F.col("source_column").isin(list(model.spec.bins))
     value = F.when(~is_bin, F.col("v").cast("int"))
-    share = F.col("o") * F.col("o") / F.col("col")
-    sums = observed.groupBy("source_column", value.alias("value_index")).agg(
-        F.sum(share).alias("share"),
-        F.sum(share / F.col("row")).alias("ratio"),
-        F.count_distinct("v").alias("values"),
-        *[F.max(c).alias(c) for c in ("row", "all", "labels")],
+    sums = (
+        of_value.groupBy("source_column", value.alias("value_index"))
+        .agg(
+            F.sum("share").alias("share"),
+            F.sum(F.col("share") / F.col("row")).alias("ratio"),
+            F.count("*").alias("values"),
+            F.max("row").alias("row"),
+        )
+        .join(of_source, "source_column")
     )
     # A bin slot has one row per bin. A one-hot slot has two: "has the value" and
     # "has another value", of which the second follows from the totals.
@@ -89,13 +90,15 @@ def ranked_features(
     cells: DataFrame,
     model: FeatureModel,
     top: int = TOP_FEATURES,
-    ranking: str = "p_value",
+    ranking: str = "log_p",
 ) -> DataFrame:
     """Slots with p-value, rank from the strongest, and whether they are among ``top``.
 
-    ``"p_value"`` ranks as Spark's own selector does: p-values below the step of
-    a double near 1 count as 0, and ties go by slot. On very large tables most
-    p-values end up there; ``"log_p"`` still tells them apart.
+    The default ranks by the logarithm of the p-value, which tells features apart
+    on tables of any size. ``"p_value"`` ranks as Spark's own selector does: p-values
+    below the step of a double near 1 count as 0 and ties go by slot, so on large
+    tables the first slots win. Both slots of a two-valued column say the same, have
+    the same p-value, and count as two.
     """
     order = {"p_value": F.col("p_value"), "log_p": F.col("log_p")}[ranking]
     tail = F.exp("log_p")
@@ -113,7 +116,7 @@ def select_slots(
     cells: DataFrame,
     model: FeatureModel,
     top: int = TOP_FEATURES,
-    ranking: str = "p_value",
+    ranking: str = "log_p",
 ) -> VectorSlicer:
     """A transformer which keeps the ``top`` slots, in slot order."""
     ranked = ranked_features(cells, model, top, ranking)

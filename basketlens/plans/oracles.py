@@ -8,18 +8,20 @@ CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 LINES = """
 lines AS (
   SELECT md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity)) AS row_id,
-         CASE l_linestatus WHEN 'F' THEN 'female' ELSE 'male' END AS gender,
+         CASE WHEN l_linestatus = 'F' THEN 'female'
+              WHEN l_linestatus IS NOT NULL THEN 'male' END AS gender,
          CAST(l_quantity AS INTEGER) AS age,
-         CASE WHEN c_acctbal >= 5000 THEN 'yes' ELSE 'no' END AS is_member,
+         CASE WHEN c_acctbal >= 5000 THEN 'yes' WHEN c_acctbal IS NOT NULL THEN 'no' END
+           AS is_member,
          p_type AS category,
          n_name AS province,
          l_extendedprice / l_quantity AS unit_price,
          l_discount, l_tax
   FROM lineitem
-  JOIN orders ON l_orderkey = o_orderkey
-  JOIN customer ON o_custkey = c_custkey
-  JOIN nation ON c_nationkey = n_nationkey
-  JOIN part ON l_partkey = p_partkey
+  LEFT JOIN orders ON l_orderkey = o_orderkey
+  LEFT JOIN customer ON o_custkey = c_custkey
+  LEFT JOIN nation ON c_nationkey = n_nationkey
+  LEFT JOIN part ON l_partkey = p_partkey
 )"""
 
 PURCHASES = f"""WITH {LINES},
@@ -165,7 +167,7 @@ UNION ALL
 SELECT row_id, after_province + 1, bin FROM purchases JOIN price_bin USING (unit_price), base
 WHERE bin > 0"""
 
-CHI_SQUARE = f"""{LAYOUT},
+CHI_SQUARE_PARTS = f"""{LAYOUT},
 slots AS (
   SELECT r AS slot, 'gender=' || gender AS feature, 'gender' AS source_column, gender AS val
   FROM gender_rank WHERE r < k - 1
@@ -201,14 +203,105 @@ expected AS (
   FROM (SELECT slot, feature, source_column, v, sum(o) AS o FROM cell GROUP BY 1, 2, 3, 4) r
   JOIN (SELECT slot, category, sum(o) AS o FROM cell GROUP BY 1, 2) c ON r.slot = c.slot
   JOIN (SELECT slot, sum(o) AS o FROM cell GROUP BY 1) t ON r.slot = t.slot
-)
-SELECT x.slot, x.feature, x.source_column,
-  round(sum((coalesce(o, 0) - e) * (coalesce(o, 0) - e) / e), 6) AS statistic,
+)"""
+
+CHI_SQUARE_LINES = """SELECT x.slot, x.feature, x.source_column,
+  sum((coalesce(o, 0) - e) * (coalesce(o, 0) - e) / e) AS statistic,
   CAST((count(DISTINCT x.v) - 1) * (count(DISTINCT x.category) - 1) AS INTEGER) AS dof
 FROM expected x LEFT JOIN cell ON x.slot = cell.slot AND x.v = cell.v
   AND x.category = cell.category
 GROUP BY 1, 2, 3"""
 
+CHI_SQUARE = f"""{CHI_SQUARE_PARTS}
+SELECT * REPLACE (round(statistic, 6) AS statistic) FROM ({CHI_SQUARE_LINES})"""
+
+
+# Logarithm of the chi-square tail by a finite sum, and for odd degrees of freedom
+# the complementary error function: by its series near 0, else by its fraction.
+CHI_SELECTED = f"""{CHI_SQUARE_PARTS},
+tested AS ({CHI_SQUARE_LINES}),
+halves AS (
+  SELECT *, statistic / 2 AS h, (dof % 2) / 2.0::DOUBLE AS shift, dof // 2 AS terms FROM tested
+),
+tails AS (
+  SELECT *, sqrt(h) AS z,
+    list_sum(list_transform(range(terms),
+      lambda i: exp((i + shift) * ln(h) - h - lgamma(i + shift + 1)))) AS sums
+  FROM halves WHERE statistic > 0 AND dof > 0
+),
+logs AS (
+  SELECT slot, least(0, ln(coalesce(sums, 0) + CASE WHEN shift = 0 THEN 0 WHEN z < 2.5 THEN
+    1 - 2 / sqrt(pi()) * exp(-z * z) * list_sum(list_transform(range(81),
+      lambda k: exp(k * ln(2) + (2 * k + 1) * ln(z) - list_sum(
+        list_transform(range(k + 1), lambda j: ln(2 * j + 1)))))) ELSE
+    exp(-z * z) / sqrt(pi()) / list_reduce(list_reverse(range(1, 81)),
+      lambda acc, k: z + k / 2.0 / acc, z) END)) AS log_p
+  FROM tails
+),
+ranked AS (
+  SELECT t.slot, feature, source_column, statistic, dof, coalesce(log_p, 0) AS log_p,
+    CAST(row_number() OVER (ORDER BY coalesce(log_p, 0), t.slot) AS INTEGER) AS rank
+  FROM tested t LEFT JOIN logs l ON t.slot = l.slot
+)
+SELECT slot, feature, source_column, round(statistic, 6) AS statistic, dof,
+  round(log_p, 6) AS log_p, round(1 - (1 - exp(log_p)), 9) AS p_value, rank, true AS selected
+FROM ranked WHERE rank <= 10"""
+
+# The table which models are trained and tested on, under exact cut points of the
+# training part and numbers by frequency in it.
+CELLS = f"""{PURCHASES},
+marked AS (
+  SELECT *, substr(md5('42|' || row_id), 1, 8) >= 'b3333333' AS held_out FROM purchases
+),
+known AS (SELECT * FROM marked WHERE NOT held_out),
+{", ".join(
+    f"{c}_number AS (SELECT {c}, CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS DOUBLE) "
+    f"AS {c}_index, CAST(count(*) OVER () AS DOUBLE) AS {c}_all FROM known GROUP BY {c})"
+    for c in ("gender", "is_member", "province", "category")
+)},
+{_cuts("age_cuts", "age", 4).replace("purchases", "known")},
+{_cuts("price_cuts", "unit_price", 5).replace("purchases", "known")},
+binned AS (
+  SELECT *, CAST((SELECT count(*) FROM age_cuts WHERE cut <= age) AS DOUBLE) AS age_bin,
+    CAST((SELECT count(*) FROM price_cuts WHERE cut <= unit_price) AS DOUBLE) AS unit_price_bin
+  FROM marked
+)
+SELECT held_out,
+  {", ".join(
+    f"coalesce({c}_index, (SELECT max({c}_all) FROM {c}_number)) AS {c}_index"
+    for c in ("gender", "is_member", "province")
+  )}, age_bin, unit_price_bin,
+  coalesce(category_index, (SELECT max(category_all) FROM category_number)) AS label,
+  count(*) AS n
+FROM binned {" ".join(
+    f"LEFT JOIN {c}_number USING ({c})" for c in ("gender", "is_member", "province", "category")
+)}
+GROUP BY ALL"""
+
+# The most frequent category of the training part as the prediction for the test part.
+BASELINE = f"""{PURCHASES},
+marked AS (
+  SELECT *, substr(md5('42|' || row_id), 1, 8) >= 'b3333333' AS held_out FROM purchases
+),
+guess AS (
+  SELECT category AS predicted FROM marked WHERE NOT held_out
+  GROUP BY category ORDER BY count(*) DESC, category LIMIT 1
+),
+names AS (SELECT DISTINCT category FROM marked WHERE NOT held_out),
+matrix AS (
+  SELECT category, predicted, count(*) AS n FROM marked, guess
+  WHERE held_out AND category IN (FROM names) GROUP BY ALL
+)
+SELECT category, coalesce((SELECT sum(n) FROM matrix m WHERE m.category = names.category), 0)::BIGINT
+    AS n,
+  round((SELECT sum(CASE WHEN category = predicted THEN n ELSE 0 END) / sum(n) FROM matrix m
+    WHERE m.category = names.category), 9) AS recall,
+  round((SELECT sum(CASE WHEN category = predicted THEN n ELSE 0 END) / sum(n) FROM matrix m
+    WHERE m.predicted = names.category), 9) AS precision,
+  round((SELECT sum(CASE WHEN category = predicted THEN n ELSE 0 END) / sum(n) FROM matrix), 9)
+    AS accuracy
+FROM names"""
+
 DENSITY = f"""{PURCHASES},
 s AS (
   SELECT CAST(min(age) AS DOUBLE) AS lo, CAST(max(age) AS DOUBLE) AS hi, count(*) AS total,
@@ -321,4 +414,7 @@ SELECT row_id, r AS slot, CAST(1 AS DOUBLE) AS value
 FROM purchases JOIN province_rank USING (province) WHERE r < k - 1""",
     "feature_matrix": FEATURES,
     "chi2_features": CHI_SQUARE,
+    "chi2_selected": CHI_SELECTED,
+    "training_cells": CELLS,
+    "baseline_scores": BASELINE,
 }

@@ -5,6 +5,8 @@ Gender, age and the rest are stand-ins: the tables hold no customer profile.
 
 from __future__ import annotations
 
+from threading import Lock
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,11 +17,14 @@ from basketlens.sources.landing import land
 
 KEY = "row_id"
 _LANDED: dict[tuple[str, str], DataFrame] = {}
+_LANDING = Lock()
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order line with buyer and product looked up.
 
+    A line without a matching part, order, customer or nation keeps its row, with
+    nulls, so that cleaning drops and counts it.
     Buyer attributes are joined to the orders before the far larger line table
     is touched, so the lines are shuffled at most twice: by part and by order.
     Which sides to broadcast is left to Spark, which goes by their size.
@@ -30,24 +35,26 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     buyers = (
         table("orders")
-        .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
+        .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .select("o_orderkey", "c_acctbal", "n_name")
     )
     products = table("part").select("p_partkey", "p_type")
     return (
         table("lineitem")
-        .join(products, F.col("l_partkey") == F.col("p_partkey"))
-        .join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(products, F.col("l_partkey") == F.col("p_partkey"), "left")
+        .join(buyers, F.col("l_orderkey") == F.col("o_orderkey"), "left")
         .select(
             F.md5(
                 F.concat_ws(
                     "|", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"
                 )
             ).alias(KEY),
-            F.when(F.col("l_linestatus") == "F", "female").otherwise("male").alias("gender"),
+            F.when(F.col("l_linestatus") == "F", "female")
+            .when(F.col("l_linestatus").isNotNull(), "male").alias("gender"),
             F.col("l_quantity").cast("int").alias("age"),
-            F.when(F.col("c_acctbal") >= 5000, "yes").otherwise("no").alias("is_member"),
+            F.when(F.col("c_acctbal") >= 5000, "yes")
+            .when(F.col("c_acctbal").isNotNull(), "no").alias("is_member"),
             F.col("p_type").alias("category"),
             F.col("n_name").alias("province"),
             (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
@@ -57,19 +64,21 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+def purchases(spark: SparkSession, sf_dir: str, refresh: bool = False) -> DataFrame:
     """Clean purchases, joined and written once per application and source folder.
 
     Every analysis then reads only the columns it needs from the landed table.
     Split and fold are stored too: both come from a hash of the key, which the
-    passes of a model fit then need neither read nor compute.
+    passes of a model fit then need neither read nor compute. ``refresh`` reads
+    the source again; callers in other threads wait for a copy that is being made.
     """
     slot = (spark.sparkContext.applicationId, sf_dir)
-    if slot not in _LANDED:
-        rows = clean(order_lines(spark, sf_dir), keep=(KEY,))
-        placed = with_fold(with_split(rows, [KEY]), [KEY], CV_FOLDS)
-        _LANDED[slot] = land(placed, "purchases")
-    return _LANDED[slot]
+    with _LANDING:
+        if refresh or slot not in _LANDED:
+            rows = clean(order_lines(spark, sf_dir), keep=(KEY,))
+            placed = with_fold(with_split(rows, [KEY]), [KEY], CV_FOLDS)
+            _LANDED[slot] = land(placed, "purchases")
+        return _LANDED[slot]
 
 
 def dirty_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -190,7 +190,16 @@ def chi2_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def chi2_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = purchases(spark, sf_dir)
     model = features.fit_features(rows, EXACT_LAYOUT)
-    return selection.ranked_features(features.cells(rows, model), model).where("selected")
+    chosen = selection.ranked_features(features.cells(rows, model), model).where("selected")
+    return _rounded(chosen, 6, "statistic", "log_p", p_value=9)
+
+
+def training_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cells of both parts which models are trained and tested on."""
+    spec = features.FeatureSpec(relative_error=0.0)
+    marked = _marked(spark, sf_dir)
+    parts = models.prepare(marked, "held_out", spec)
+    return parts.train.unionByName(parts.test)
 
 
 # Models
@@ -209,8 +218,18 @@ def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def class_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    matrix = models.confusion(*_fit(spark, sf_dir, models.logistic_regression()))
-    return models.class_report(matrix)
+    fitted, test = _fit(spark, sf_dir, models.logistic_regression())
+    return models.class_report(models.confusion(fitted, test), fitted.features.labels)
+
+
+def baseline_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recall, precision and accuracy of always predicting the most frequent category."""
+    parts = models.prepare(_marked(spark, sf_dir), "held_out")
+    matrix = models.most_frequent_confusion(parts)
+    lines = models.class_report(matrix, parts.features.labels)
+    # The accuracy is one row.
+    scored = lines.join(F.broadcast(models.confusion_accuracy(matrix)), F.lit(True))
+    return _rounded(scored, 9, "recall", "precision", "accuracy")
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -294,6 +313,8 @@ QUERIES: dict[str, Query] = {
         feature_matrix,
         chi2_features,
         chi2_selected,
+        training_cells,
+        baseline_scores,
         rf_accuracy,
         lr_accuracy,
         confusion_matrix,

@@ -112,19 +112,43 @@ def model_lines(board: DataFrame, importance: DataFrame, fitted) -> DataFrame:
         F.col("model").alias("item"),
         F.round("cv_accuracy", 4).alias("value"),
     )
+    chosen = board.where("params <> ''").select(
+        F.lit("models").alias("section"),
+        F.lit("chosen parameters").alias("metric"),
+        F.concat_ws(": ", "model", "params").alias("item"),
+        F.lit(None).cast("double").alias("value"),
+    )
     columns = source_importance(importance, fitted).select(
         F.lit("importance").alias("section"),
         F.lit("column importance").alias("metric"),
         F.col("source_column").alias("item"),
         F.round("importance", 4).alias("value"),
     )
-    return scores.unionByName(best).unionByName(columns)
+    return scores.unionByName(best).unionByName(chosen).unionByName(columns)
 
 
-def chart_tables(df: DataFrame, cuts: Sequence[int] = AGE_CUTS) -> dict[str, DataFrame]:
-    """One plot-ready table per chart of the customer base."""
+def cleaning_lines(counts: DataFrame) -> DataFrame:
+    """Report lines about cleaning, from the one row of ``clean_counts``."""
+    lines = [
+        F.struct(
+            F.lit("cleaning").alias("section"), F.lit(metric).alias("metric"),
+            F.lit("").alias("item"), F.col(column).cast("double").alias("value"),
+        )
+        for metric, column in (("rows read", "rows_in"), ("rows kept", "rows_kept"))
+    ]
+    return counts.select(F.inline(F.array(*lines)))
+
+
+def chart_tables(
+    df: DataFrame, cuts: Sequence[int] = AGE_CUTS, importance: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """One plot-ready table per chart: of the customer base, and of a model if given.
+
+    ``importance`` is what ``explain.feature_importance`` gives.
+    """
     banded = crosstab.with_age_band(df, cuts)
-    return {
+    of_model = {} if importance is None else {"feature_importance": importance}
+    return of_model | {
         "category_distribution": profile.group_counts(df, "category"),
         "age_histogram": distribution.histogram(df, "age"),
         "age_density": distribution.density(df, "age"),

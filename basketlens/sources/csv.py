@@ -32,7 +32,10 @@ def read_purchases(
 
     Types are not inferred: that would read the file twice, and a single bad
     cell would turn a numeric column into text. Only the header line is looked
-    at here; ``clean.parse`` does the typing.
+    at here; ``clean.parse`` does the typing. Spark takes the names from one file
+    and the others by position, so reading a file whose header differs where
+    columns are used fails with a message which names it: read such files one by
+    one, and put them together with ``unionByName``.
     """
     if encoding.upper() not in CSV_CHARSETS and not _legacy_charsets(spark):
         raise ValueError(
@@ -43,6 +46,7 @@ def read_purchases(
         spark.read.options(**options)
         .option("header", True)
         .option("encoding", encoding)
+        .option("enforceSchema", False)
         .csv(path)
     )
     named = [F.col(f"`{source}`").alias(ours) for ours, source in columns.items()]

@@ -6,32 +6,45 @@ re-read of a small table, not a rerun of the joins and scans behind it.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_FOLDERS: dict[str, str] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a fresh one only in local mode."""
+    """The folder of ``spark.checkpoint.dir``, or else of ``spark.sql.warehouse.dir``.
+
+    Both are taken as shared by all machines where they were set to be: a ``file:``
+    folder may be a network mount. Only Spark's own default warehouse, a folder of
+    the driver's machine, is refused on a cluster.
+    """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not context.master.startswith("local"):
+    warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+    local = context.master.startswith("local[") or context.master == "local"
+    if not warehouse or (not local and warehouse.startswith(("file:", "/"))):
         raise ValueError("set spark.checkpoint.dir to a folder which every executor can reach")
-    application = context.applicationId
-    if application not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="basketlens-")
-    return _LOCAL_FOLDERS[application]
+    return warehouse.rstrip("/")
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/basketlens/{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder which nothing has used before."""
-    application = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/basketlens/{application}/{name}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> bool:
+    """Delete everything that this application has landed; whether there was anything.
+
+    Tables which come from landed ones cannot be read afterwards.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def land(df: DataFrame, name: str) -> DataFrame:

@@ -78,8 +78,14 @@ def test_ties_are_numbered_by_name(spark):
     df = spark.createDataFrame([(x,) for x in "bbaac"], "g string")
     rows = features.value_index(df, "g").orderBy("index").collect()
     assert [(r.g, r["index"]) for r in rows] == [("a", 0), ("b", 1), ("c", 2)]
-    with pytest.raises(PySparkException, match="has over 2 values"):
-        features.value_index(df, "g", max_categories=2).collect()
+
+
+def test_any_number_of_values_is_numbered(spark):
+    rows = spark.range(50_000).selectExpr("concat('v', id) AS g", "id % 7 AS k")
+    df = rows.select("g", F.explode(F.sequence(F.lit(0), F.col("k").cast("int"))))
+    got = features.value_index(df, "g").orderBy("index").collect()
+    assert [r["index"] for r in got] == list(range(50_000))
+    assert [(r.n, r.g) for r in got] == sorted(((r.n, r.g) for r in got), key=lambda x: (-x[0], x[1]))
 
 
 def test_unseen_values(spark, planted):
@@ -100,13 +106,37 @@ def test_column_with_one_value_has_no_slot(planted):
     assert features.cells(df, model).agg(F.sum("n")).first()[0] == df.count()
 
 
-def test_rare_values_share_one_place(planted):
-    model = features.fit_features(planted, features.FeatureSpec(max_categories=4))
-    assert sum(s.source_column == "province" for s in model.slots) == 4
+def test_rare_values_share_one_place_only_when_asked(planted):
     with pytest.raises(ValueError, match="province has over 4"):
-        features.fit_features(planted, features.FeatureSpec(max_categories=4, unseen="error"))
-    with pytest.raises(ValueError, match="category has over 3"):
-        features.fit_features(planted, features.FeatureSpec(max_categories=3))
+        features.fit_features(planted, features.FeatureSpec(max_categories=4))
+    model = features.fit_features(planted, features.FeatureSpec(max_categories=4, fold_rare=True))
+    assert sum(s.source_column == "province" for s in model.slots) == 4
+    counts = sorted((r["count"] for r in planted.groupBy("province").count().collect()), reverse=True)
+    assert model.folded == {"province": sum(counts[4:])}
+    for spec in (
+        features.FeatureSpec(max_categories=4, unseen="error", fold_rare=True),
+        features.FeatureSpec(max_categories=3, fold_rare=True),
+    ):
+        with pytest.raises(ValueError, match="has over"):
+            features.fit_features(planted, spec)
+
+
+def test_models_of_parts_equal_models_of_the_filtered_rows(planted):
+    parts = {"young": F.col("age") < 40, "all": F.lit(True)}
+    spec = features.FeatureSpec(relative_error=0.0)
+    both = features.fit_feature_models(planted, parts, spec)
+    for name, condition in parts.items():
+        alone = features.fit_features(planted.where(condition), spec)
+        assert both[name].labels == alone.labels and both[name].slots == alone.slots
+        assert both[name].bucketizer.getSplitsArray() == alone.bucketizer.getSplitsArray()
+
+
+@pytest.mark.parametrize("error", [0.0, 0.001])
+def test_empty_frame_gives_a_model_without_values(spark, error):
+    empty = spark.createDataFrame([], SCHEMA)
+    model = features.fit_features(empty, features.FeatureSpec(relative_error=error))
+    assert model.labels == []
+    assert features.cells(empty, model).count() == 0
 
 
 def test_cells_hold_every_purchase_and_keep_metadata(planted):
@@ -131,6 +161,7 @@ def test_long_form_equals_the_vectors(planted):
     assert got == expected
 
 
-def test_null_labels_and_schema(spark):
+def test_null_labels_have_no_number(spark):
     df = spark.createDataFrame([("1", "f", 1, "y", None, "p", 1.0)], SCHEMA)
-    assert features.frequent_values(df, "category", 5).count() == 0
+    assert features.fit_features(df).labels == []
+    assert features.value_index(df, "category").count() == 0

@@ -224,3 +224,44 @@ def test_cross_validation_and_leaderboard(planted):
     best = max(table.values(), key=lambda r: r.cv_accuracy)
     assert [r.model for r in table.values() if r.is_best] == [best.model]
     assert best.cv_accuracy > 0.7 and best.test_accuracy > 0.7
+
+
+def test_class_report_has_every_known_category(spark):
+    matrix = spark.createDataFrame(
+        [("a", "a", 3), ("a", "c", 1), ("b", "a", 2)], "category string, predicted string, n bigint"
+    )
+    rows = {r.category: (r.n, r.recall, r.precision) for r in
+            models.class_report(matrix, ["a", "b", "c", "d"]).collect()}
+    assert rows == {
+        "a": (4, 0.75, 0.6), "b": (2, 0.0, None), "c": (0, None, 0.0), "d": (0, None, None),
+    }
+
+
+def test_training_on_nothing_says_so(planted):
+    rows = planted.limit(0).withColumn("held_out", F.lit(False))
+    parts = models.prepare(rows, "held_out")
+    with pytest.raises(ValueError, match="training purchases|to train on"):
+        models.fit_classifier(
+            models.logistic_regression(), parts.train, parts.features, parts.slicer
+        )
+
+
+def test_default_ranking_lets_models_learn_from_large_tables(planted):
+    """Counts as of a table 1000 times as large, where all p-values are 0."""
+    parts = models.prepare(marked(planted), "held_out")
+    train, test = (c.withColumn("n", F.col("n") * 1000) for c in (parts.train, parts.test))
+    slicer = models.select_slots(train, parts.features, 3)
+    fitted = models.fit_classifier(forest(), train, parts.features, slicer)
+    assert models.accuracy(fitted, test).first().accuracy > 0.7
+
+
+def test_folds_share_the_passes_over_the_purchases(planted, monkeypatch):
+    """Value lists and sketches are taken once, however many folds there are."""
+    calls = []
+    taken = models.fit_feature_models
+    monkeypatch.setattr(
+        models, "fit_feature_models", lambda df, parts, spec: calls.append(len(parts)) or taken(df, parts, spec)
+    )
+    candidates = {"regression": (models.logistic_regression(iterations=2), [])}
+    models.leaderboard(marked(planted), candidates)
+    assert calls == [4]

@@ -55,6 +55,15 @@ def test_sparse_pivot_has_zeros(spark):
         crosstab.pivot_counts(df, "g", "c", max_values=1)
 
 
+def test_pivot_takes_any_value_names(spark):
+    names = ["A.B", "b`c", "row", "value", "x y"]
+    df = spark.createDataFrame([("g1", n) for n in names] + [("g2", "A.B")], "g string, `c.d` string")
+    rows = {r[0]: tuple(r)[1:] for r in crosstab.pivot_counts(df, "g", "c.d").collect()}
+    assert rows == {"g1": (1, 1, 1, 1, 1), "g2": (1, 0, 0, 0, 0)}
+    with pytest.raises(ValueError, match="like the row column"):
+        crosstab.pivot_counts(spark.createDataFrame([("a", "g")], "g string, c string"), "g", "c")
+
+
 def test_pivot_rows_add_up_to_group_counts(planted):
     wide = crosstab.pivot_counts(planted, "gender", "category")
     names = [c for c in wide.columns if c != "gender"]

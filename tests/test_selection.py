@@ -45,7 +45,7 @@ def test_same_slots_as_the_stock_selector(case, top):
         .setSelectionThreshold(top)
         .fit(model.label_indexer.transform(model.transform(case)))
     )
-    slicer = selection.select_slots(features.cells(case, model), model, top)
+    slicer = selection.select_slots(features.cells(case, model), model, top, "p_value")
     assert slicer.getIndices() == sorted(stock.selectedFeatures)
 
 
@@ -58,6 +58,21 @@ def test_log_ranking_tells_very_small_p_values_apart(planted):
     assert rows[0].log_p < rows[2].log_p < math.log(1e-16)
 
 
+@pytest.mark.parametrize("times", [1, 1000])
+def test_default_ranking_finds_what_decides_on_tables_of_any_size(planted, times):
+    model = features.fit_features(planted)
+    larger = features.cells(planted, model).withColumn("n", F.col("n") * times)
+    rows = selection.ranked_features(larger, model, 3).where("selected").collect()
+    assert {r.source_column for r in rows} == {"age", "gender"}
+
+
+def test_plan_brings_no_column_to_one_task(planted):
+    model = features.fit_features(planted)
+    tested = selection.chi_square(features.cells(planted, model), model)
+    plan = tested._jdf.queryExecution().toString()
+    assert "Window" not in plan and "collect_set" not in plan
+
+
 def reference_tail(x, dof):
     """P(X >= x) by integrating the density with many small steps."""
     end, steps = x + 40 + 40 * math.sqrt(dof), 200_000

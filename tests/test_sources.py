@@ -48,6 +48,18 @@ def test_only_needed_columns_are_read(spark, chinese_file):
     assert "ReadSchema: struct<性别:string>" in plan
 
 
+def test_files_with_other_column_order_are_not_misread(spark, tmp_path):
+    head = "性别,年龄,是否会员,商品大类,收货省份,单价"
+    (tmp_path / "a.csv").write_text(f"{head}\n女,30,是,food,浙江,1.5\n", "utf-8")
+    other = "性别,年龄,是否会员,收货省份,商品大类,单价"
+    (tmp_path / "b.csv").write_text(f"{other}\n男,31,否,广东,toys,2.5\n", "utf-8")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_purchases(spark, str(tmp_path), CHINESE_COLUMNS).select("category").collect()
+    one = [read_purchases(spark, str(tmp_path / f), CHINESE_COLUMNS) for f in ("a.csv", "b.csv")]
+    rows = one[0].unionByName(one[1]).collect()
+    assert {(r.category, r.province) for r in rows} == {("food", "浙江"), ("toys", "广东")}
+
+
 def test_landed_tables_go_to_the_configured_folder(spark, planted):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert landing.shared_folder(spark) == folder
@@ -82,6 +94,19 @@ class Session:
             return None
 
 
-def test_no_machine_local_folder_on_a_cluster():
+@pytest.mark.parametrize("warehouse", [None, "file:/home/me/spark-warehouse"])
+def test_no_machine_local_folder_on_a_cluster(monkeypatch, warehouse):
+    def get(key, default=None):
+        return warehouse if key == "spark.sql.warehouse.dir" and warehouse else default
+
+    monkeypatch.setattr(Session.conf, "get", staticmethod(get))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         landing.shared_folder(Session)
+
+
+def test_shared_warehouse_is_used_when_no_checkpoint_folder_is_set(monkeypatch):
+    def get(key, default=None):
+        return "hdfs://names/warehouse/" if key == "spark.sql.warehouse.dir" else default
+
+    monkeypatch.setattr(Session.conf, "get", staticmethod(get))
+    assert landing.shared_folder(Session) == "hdfs://names/warehouse"
