@@ -51,9 +51,9 @@ WEIGHTS = {"lang": {"en": 4, "de": 2, "fr": 2, "es": 2}}
 
 def domain_of(source: Column) -> Column:
     """A stand-in, as the tables have no domains: sources in four groups by their number."""
-    number = F.regexp_extract(source, r"(\d+)$", 1)
+    number = F.regexp_extract(source, r"([0-9]{1,18})\z", 1)
     return F.when(number == "", "other").otherwise(
-        F.concat(F.lit("domain"), (number.cast("decimal(38,0)") % 4).cast("string"))
+        F.concat(F.lit("domain"), (F.nullif(number, F.lit("")).cast("long") % 4).cast("string"))
     )
 
 
@@ -143,13 +143,15 @@ def _with_leaf(docs: DataFrame, leaves: DataFrame, levels: Sequence[str]) -> Dat
 
 def mix(docs: DataFrame, levels: Sequence[str] = LEVELS, tokens: str = "n_tokens", key: str = "doc_id",
         epochs: int = EPOCHS, share: tuple[int, int] = BUDGET_SHARE, seed: int = SEED,
-        weights: dict[str, dict[str, int]] | None = None) -> DataFrame:
-    """The chosen rows of ``docs`` and their ``epoch`` from 1; a row for each epoch.
+        weights: dict[str, dict[str, int]] | None = None, epoch_name: str = "epoch") -> DataFrame:
+    """The chosen rows of ``docs`` and their epoch, from 1; a row for each epoch.
+
+    A column which is already called ``epoch_name`` gives way.
 
     Budgets and prefixes are found on the narrow columns alone. Of the rows of
     ``docs`` only those in cells where a budget ends are shuffled.
     """
-    names = docs.columns
+    names = [n for n in docs.columns if n != epoch_name]
     narrow = land(docs.select(*levels, key, tokens), "mixing")
     # Whole epochs, what is left for one more, and how many cells the leaf's documents need.
     some = F.col("tokens") > 0
@@ -164,8 +166,8 @@ def mix(docs: DataFrame, levels: Sequence[str] = LEVELS, tokens: str = "n_tokens
 
     def dealt(rows: DataFrame, epoch: Column) -> DataFrame:
         """Rows with their place in an epoch's order."""
-        ordered = rows.withColumn("epoch", epoch.cast("int")).withColumn(
-            "__order", F.md5(F.concat_ws(":", F.lit(seed), "epoch", name))
+        ordered = rows.withColumn("__epoch", epoch.cast("int")).withColumn(
+            "__order", F.md5(F.concat_ws(":", F.lit(seed), "__epoch", name))
         )
         first = F.conv(F.substr("__order", F.lit(1), F.lit(8)), 16, 10).cast("double")
         return ordered.withColumn("__cell", F.floor(first / 2.0**32 * F.col("__cells")))
@@ -182,10 +184,10 @@ def mix(docs: DataFrame, levels: Sequence[str] = LEVELS, tokens: str = "n_tokens
         (F.col("room") >= 0) & (F.col("t") > F.col("room"))
     ).select(*levels, F.col("__cell").alias("__end"), F.col("room").alias("__room"))
     ends = land(ends, "mixing-ends")
-    columns = [*[F.col(f"`{n}`") for n in names], F.col("epoch")]
+    columns = [*[F.col(f"`{n}`") for n in names], F.col("__epoch").alias(epoch_name)]
     whole = (
         _with_leaf(docs, plan, levels).where("__whole > 0")
-        .withColumn("epoch", F.explode(F.sequence(F.lit(1), F.col("__whole").cast("int"))))
+        .withColumn("__epoch", F.explode(F.sequence(F.lit(1), F.col("__whole").cast("int"))))
     )
     placed = _with_leaf(partial(_with_leaf(docs, plan, levels)), ends, levels)
     within = W.partitionBy(*levels, "__cell").orderBy("__order", tokens)
@@ -230,8 +232,8 @@ def mixing_sql() -> str:
     meet = " AND ".join(f"d.{c} IS NOT DISTINCT FROM l.{c}" for c in LEVELS)
     leaf = ", ".join(LEVELS)
     return f"""
-WITH d AS MATERIALIZED (SELECT doc_id, CASE WHEN regexp_extract(source, '([0-9]+)$', 1) = '' THEN 'other'
-    WHEN source IS NOT NULL THEN 'domain' || (regexp_extract(source, '([0-9]+)$', 1)::HUGEINT % 4) END AS domain,
+WITH d AS MATERIALIZED (SELECT doc_id, CASE WHEN regexp_extract(source, '([0-9]{{1,18}})\\z', 1) = '' THEN 'other'
+    WHEN source IS NOT NULL THEN 'domain' || (regexp_extract(source, '([0-9]{{1,18}})\\z', 1)::HUGEINT % 4) END AS domain,
   lang, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS n_tokens FROM documents),
 n0 AS MATERIALIZED (SELECT {leaf}, sum(n_tokens)::HUGEINT AS tokens,
   (SELECT sum(n_tokens)::HUGEINT * {BUDGET_SHARE[0]} // {BUDGET_SHARE[1]} FROM d) AS budget FROM d GROUP BY ALL),

@@ -209,14 +209,16 @@ def _spans(pieces: Column, matches: Column, groups: Column, rule: Rule, place: i
     return F.aggregate(zipped, start, step, lambda acc: acc["spans"])
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` with ``secret_spans``: (start, place, kind, end) in order.
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text",
+         spans: str = "secret_spans") -> DataFrame:
+    """The rows of ``docs`` with the column ``spans``: (start, place, kind, end) in order.
 
-    Places count code points, the end is exclusive; ``place`` is the rule's number.
+    Starts and ends count code points, the end is exclusive; ``place`` is the rule's
+    number. A column which is already called ``spans`` gives way.
     """
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     grams = sorted(set().union(*map(trigrams, queries.values())))
-    names = docs.columns
+    names = [n for n in docs.columns if n != spans]
     key, flags = "__text_key", "__kinds"
     rows = docs.withColumn(key, F.xxhash64(whole(text)))
     if grams:
@@ -234,15 +236,15 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -
     parts = []
     for i, r in enumerate(rules):
         m = F.col(f"__m{i}")
-        spans = _spans(
+        found = _spans(
             F.split(whole(text), r.pattern, -1),
             m,
             F.regexp_extract_all(whole(text), F.lit(r.pattern), F.lit(r.group)) if r.group else m,
             r, i,
         )
         none = F.array().cast("array<struct<start:bigint,place:int,kind:string,end:bigint>>")
-        parts.append(F.when(F.size(m) > 0, spans).otherwise(none))
-    return rows.select(*[F.col(f"`{n}`") for n in names], F.array_sort(F.concat(*parts)).alias("secret_spans"))
+        parts.append(F.when(F.size(m) > 0, found).otherwise(none))
+    return rows.select(*[F.col(f"`{n}`") for n in names], F.array_sort(F.concat(*parts)).alias(spans))
 
 
 def written(spans: Column) -> Column:
@@ -258,8 +260,8 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text")
     Overlapping spans become one mark which names the first of them. A null text
     stays null.
     """
-    names = docs.columns
-    found = scan(docs, rules, text)
+    names, spans = docs.columns, "__secret_spans"
+    found = scan(docs, rules, text, spans)
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
     def step(acc, s):
@@ -272,10 +274,10 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text")
         )
 
     clean = F.aggregate(
-        "secret_spans", start, step,
+        spans, start, step,
         lambda acc: F.concat(acc["out"], F.substr(F.col(f"`{text}`"), acc["at"].cast("int") + 1, F.lit(2**31 - 1))),
     )
-    mended = F.when(F.size("secret_spans") > 0, clean).otherwise(F.col(f"`{text}`"))
+    mended = F.when(F.size(spans) > 0, clean).otherwise(F.col(f"`{text}`"))
     return found.select(*[mended.alias(text) if n == text else F.col(f"`{n}`") for n in names])
 
 

@@ -48,7 +48,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     )
     levels = ("__domain", "lang", "source")
     weights = {"__domain" if k == "domain" else k: v for k, v in mixing.WEIGHTS.items()}
-    chosen = mixing.mix(counted, levels, "__tokens", epochs=MIX_EPOCHS, weights=weights)
+    chosen = mixing.mix(counted, levels, "__tokens", epochs=MIX_EPOCHS, weights=weights, epoch_name="__epoch")
     return chosen.select(*[F.col(f"`{n}`") for n in names])
 
 
