@@ -2,9 +2,11 @@
 
 Every paragraph is cut into pieces of ``PIECE_WORDS`` words, counted from its
 start, so that a change at its end leaves the earlier pieces alone. A piece is
-hashed to a wide vector of ``LANES`` bits, and the vectors of all pieces are
-added lane by lane, modulo 2**16 in a lane and 2**64 in a word of four lanes.
-A fingerprint is the number of pieces (modulo 2**64) followed by the words.
+hashed to a wide vector of ``LANES`` bits, and the vectors of all pieces are added
+lane by lane. A 64-bit word holds three lanes, ``LANE_BITS`` apart: the two lower
+ones count modulo 2**14 and hand what goes beyond to the lane above, so that a word
+stays below 2**63 for any text of under 2**35 pieces. A fingerprint is the number
+of pieces followed by the words.
 
 The sum does not depend on the order of paragraphs. Adding or taking away the
 fingerprint of some paragraphs gives that of the longer or shorter text, without
@@ -13,8 +15,7 @@ other pieces have other fingerprints up to chance, about 2**-LANES for a pair.
 
 A bit stands for +1 or -1, so the scalar product of two fingerprints estimates
 in how many pieces the texts agree: their likeness is the cosine, from 0 to 1,
-with a standard error near 1/sqrt(LANES). Carries between lanes, which start at
-65,536 pieces, change a lane by one and do not matter for it.
+with a standard error near 1/sqrt(LANES).
 
 Defined cases: a null text counts as empty; an empty text has the fingerprint of
 nothing, like 1 to another such text and 0 to every other; repeated rows each
@@ -33,14 +34,18 @@ from pyspark.sql import functions as F
 from basketlens.llm.tables import SPACE, WORD, whole
 
 PIECE_WORDS = 4
-WORDS = 32
-LANES = 4 * WORDS
+#: Each 64-bit hash of a piece gives 14 words of 3 lanes.
+HASHES = 3
+LANE_BITS = 14
+WORDS = HASHES * LANE_BITS
+LANES = 3 * WORDS
 #: Documents that one slice of the id order should hold, and the slices' ranges.
 SLICE_ROWS = 1000
 RANGES = 512
 MAX_SLICES = 65_536
 
-_LANE_BITS = 0x0001000100010001
+_LOWEST_BITS = 1 | 1 << LANE_BITS | 1 << 2 * LANE_BITS
+_RANGE = 1 << LANE_BITS
 
 
 def pieces(text: Column) -> Column:
@@ -51,25 +56,34 @@ def pieces(text: Column) -> Column:
 
 
 def _vector_sums(piece: Column, sign: Column) -> list[Column]:
-    """Sums of the words of the pieces' vectors; four hashes of 64 bits give 256 lanes at most."""
-    hashes = [F.xxhash64(F.lit(k), piece) for k in range(WORDS // 16)]
-    return [
-        F.sum(sign * F.shiftrightunsigned(hashes[i // 16], i % 16).bitwiseAND(F.lit(_LANE_BITS)))
-        for i in range(WORDS)
-    ]
+    """Sums of the words of the pieces' vectors."""
+    hashes = [F.xxhash64(F.lit(k), piece) for k in range(HASHES)]
+    words = [F.shiftrightunsigned(h, k) for h in hashes for k in range(LANE_BITS)]
+    return [F.sum(sign * w.bitwiseAND(F.lit(_LOWEST_BITS))) for w in words]
 
 
 def lanes(vector: Column) -> Column:
-    """For each lane, bits set less bits not set: between minus and plus the number of pieces."""
+    """For each lane, bits set less bits not set: between minus and plus the number of pieces.
+
+    A lower lane is known modulo 2**14. Of the numbers of set bits that it may stand
+    for, the one nearest to half the number of pieces is taken, which is right for
+    texts of up to millions of pieces; what it has handed on follows from that.
+    """
     n = F.element_at(vector, 1)
-    words = F.slice(vector, 2, WORDS)
 
-    def one(word: Column, k: int) -> Column:
-        count = F.shiftrightunsigned(word, 16 * k).bitwiseAND(F.lit(65535))
-        # Of all numbers that agree modulo 2**17, the one nearest 0.
-        return F.pmod(2 * count - n + 65536, F.lit(131072)) - 65536
+    def surplus(word: Column) -> Column:
+        twice = 2 * word.bitwiseAND(F.lit(_RANGE - 1)) - n
+        return F.pmod(twice + _RANGE, F.lit(2 * _RANGE)) - _RANGE
+
+    def above(word: Column) -> Column:
+        count = ((surplus(word) + n) / 2).cast("long")
+        return F.shiftright(word - count, LANE_BITS)
+
+    def one(word: Column) -> Column:
+        second = above(word)
+        return F.array(surplus(word), surplus(second), 2 * above(second) - n)
 
-    return F.flatten(F.transform(words, lambda w: F.array(*[one(w, k) for k in range(4)])))
+    return F.flatten(F.transform(F.slice(vector, 2, WORDS), one))
 
 
 def _dot(a: Column, b: Column) -> Column:

@@ -1,0 +1,136 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from basketlens.llm import fingerprints
+from tests.llm.brute import cosine, words
+
+SCHEMA = "doc_id bigint, text string, slice int, row string, vector string"
+MASK = (1 << 64) - 1
+
+
+@pytest.fixture(scope="module")
+def seeds(spark):
+    row = spark.range(1).select(*[F.xxhash64(F.lit(k)) for k in range(fingerprints.HASHES)]).first()
+    return [x & MASK for x in row]
+
+
+def pieces(text):
+    out = []
+    for paragraph in (text or "").replace("\r", "\n").split("\n"):
+        w = words(paragraph)
+        out += [" ".join(w[i : i + 4]) for i in range(0, len(w), 4)]
+    return out
+
+
+def vector(text, seeds):
+    sums = [0] * (fingerprints.WORDS + 1)
+    for p in pieces(text):
+        sums[0] += 1
+        hashes = [xxhash.xxh64_intdigest(p.encode(), seed=s) for s in seeds]
+        for i in range(fingerprints.WORDS):
+            sums[i + 1] += (hashes[i // 14] >> (i % 14)) & (1 | 1 << 14 | 1 << 28)
+    return sums
+
+
+def likeness(a, b):
+    def lanes(v):
+        return [2 * (w >> 14 * k & 16383) - v[0] for w in v[1:] for k in range(3)]
+
+    if a == b:
+        return 1.0
+    if not a[0] or not b[0]:
+        return 0.0
+    return min(max(cosine(lanes(a), lanes(b)), 0.0), 1 - 2.0**-20)
+
+
+def edited(text, following):
+    n = len(text) // 3
+    return text[: len(text) - n] + following[:n]
+
+
+def check(df, docs, seeds):
+    """Compares with plain computation; docs have different ids."""
+    order = sorted(docs, key=lambda d: (d[0] is None, -(d[0] or 0)))
+    expected = {}
+    for i, (key, text) in enumerate(order):
+        text, after = text or "", order[(i + 1) % len(order)][1] or ""
+        changed = edited(text, after)
+        v, e, n = (vector(t, seeds) for t in (text, changed, after))
+        expected[key] = (
+            len(text), hashlib.sha256(changed.encode()).hexdigest(), "".join(f"{x:016X}" for x in v),
+            "".join(f"{x:016X}" for x in e), likeness(v, e), likeness(v, n),
+        )
+    got = fingerprints.fingerprints_query(df).collect()
+    assert len(got) == len(expected)
+    for r in got:
+        assert tuple(r)[1:5] == expected[r.doc_id][:4]
+        assert tuple(r)[5:] == pytest.approx(expected[r.doc_id][4:])
+
+
+def corpus(n=60):
+    draw = random.Random(6)
+    docs = [(i * i, "\n".join(" ".join(f"w{draw.randrange(90)}" for _ in range(draw.randrange(25)))
+                              for _ in range(draw.randrange(9)))) for i in range(n)]
+    return [*docs, (-7, None), (-8, ""), (10**9, "é日本 " * 30), (10**9 + 1, "a"), (10**9 + 2, "ab"), (None, "no id " * 9)]
+
+
+@pytest.mark.parametrize("rows", [1000, 5])
+def test_equals_plain_computation_over_slices(spark, monkeypatch, seeds, rows):
+    monkeypatch.setattr(fingerprints, "SLICE_ROWS", rows)
+    docs = corpus()
+    df = spark.createDataFrame([(*d, 1, "r", "v") for d in docs], SCHEMA).repartition(3)
+    check(df, docs, seeds)
+
+
+def test_one_document_and_none(spark, seeds):
+    docs = [(4, "one two three four five six seven")]
+    df = spark.createDataFrame([(*d, 1, "r", "v") for d in docs], SCHEMA)
+    check(df, docs, seeds)
+    assert fingerprints.fingerprints_query(df.limit(0)).count() == 0
+
+
+def test_repeated_rows_each_have_a_row_and_equal_fingerprints(spark):
+    rows = [(1, "a b c d e f g", 1, "", "")] * 3 + [(2, "a b c d e f g", 1, "", ""), (3, "x y", 1, "", "")]
+    got = fingerprints.fingerprints_query(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(got) == 5
+    assert len({r.fingerprint for r in got if r.doc_id < 3}) == 1
+    assert sum(r.near_next == 1.0 for r in got) == 3
+
+
+def test_insertion_deletion_and_order(spark):
+    one, two = "first one here\nand more of it", "second text\nwith words"
+    rows = [("a", one), ("b", two), ("ab", f"{one}\n{two}"), ("ba", f"{two}\n\n{one}"), ("twice", f"{one}\n{one}")]
+    df = spark.createDataFrame(rows, "k string, text string")
+    v = {r.k: r.vector for r in fingerprints.fingerprint(df, ["k"]).collect()}
+    assert v["ab"] == v["ba"] != v["a"] and v["twice"] != v["a"]
+    wide = spark.createDataFrame([(v["a"], v["b"], v["ab"])], "a array<bigint>, b array<bigint>, ab array<bigint>")
+    added, taken = wide.select(fingerprints.combine(F.col("a"), F.col("b")), fingerprints.combine(F.col("ab"), F.col("b"), -1)).first()
+    assert (added, taken) == (v["ab"], v["a"])
+    back = wide.select(fingerprints.read(fingerprints.written(F.col("ab")))).first()[0]
+    assert back == v["ab"]
+    # A key over several rows has the sum of its texts.
+    both = fingerprints.fingerprint(df.where("k IN ('a', 'b')").withColumn("g", F.lit(1)), ["g"])
+    assert both.first().vector == v["ab"]
+
+
+def test_likeness_of_very_long_texts_survives_lane_overflow(spark):
+    """More pieces than a lane can count."""
+    text = "\n".join(f"p{i % 50_000} q{i}" for i in range(150_000))
+    df = spark.createDataFrame([(1, text), (2, text + "\nmore words"), (3, text[: len(text) // 2])], "k int, text string")
+    v = {r.k: r.vector for r in fingerprints.fingerprint(df, ["k"]).collect()}
+    rows = spark.createDataFrame([(v[1], v[2], v[3])], "a array<bigint>, b array<bigint>, c array<bigint>")
+    r = fingerprints.with_likeness(rows, {"ab": ("a", "b"), "ac": ("a", "c")}).first()
+    assert 0.999 < r.ab < 1.0
+    assert r.ac == pytest.approx(0.71, abs=0.15)
+
+
+def test_no_python_in_the_plan(spark):
+    df = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id bigint, text string")
+    plan = fingerprints.fingerprints_query(df)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
