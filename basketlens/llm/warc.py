@@ -252,7 +252,7 @@ def commit(spark: SparkSession, parts: DataFrame, folder: str) -> DataFrame:
             yield batch.set_column(0, "file", pa.array(final, pa.string()))
 
     manifest = f"{folder}/manifest.parquet"
-    parts.mapInArrow(run, MANIFEST).write.parquet(manifest)
+    parts.mapInArrow(run, MANIFEST).write.mode("overwrite").parquet(manifest)
     return spark.read.schema(MANIFEST).parquet(manifest)
 
 

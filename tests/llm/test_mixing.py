@@ -1,0 +1,72 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from basketlens.llm import mixing
+from tests.llm.brute import mixed, shared_out
+from tools.check_oracles import differences
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, epoch string, tokens int"
+
+
+def docs(n=400, seed=2):
+    draw = random.Random(seed)
+    rows = []
+    for i in range(n):
+        source = "src0" if draw.random() < 0.35 else f"src{draw.randrange(9)}"
+        rows.append((i, "w " * draw.randrange(60), draw.choice(["en", "en", "de", "xx"]), source, "e", 1))
+    return rows
+
+
+def test_equals_sql_on_odd_rows(given, monkeypatch):
+    monkeypatch.setattr(mixing, "CELL_ROWS", 8)
+    rows = docs()
+    rows += [(500, None, "en", "src1", "e", 1), (501, "", None, "src1", "e", 1), (502, "a b", "en", None, None, 1)]
+    rows += [(503, "a b c", "en", "no number", "e", 1), (504, "a b", "de", "x" + "9" * 40, "e", 1)]
+    rows += [(None, "a b c d", "en", "src2", "e", 1), (7, rows[7][1], *rows[7][2:])]
+    df, con = given("documents", rows, SCHEMA)
+    assert differences(mixing.mixing_query(df), con, mixing.mixing_sql()) == []
+
+
+@pytest.mark.parametrize("share", [(1, 10), (4, 5), (3, 2), (5, 1)])
+def test_equals_brute_force_for_any_budget(spark, monkeypatch, share):
+    monkeypatch.setattr(mixing, "CELL_ROWS", 16)
+    draw = random.Random(4)
+    rows = [(i, f"d{draw.randrange(2)}", draw.choice(["en", "de"]), f"s{min(draw.randrange(6), draw.randrange(6))}", draw.randrange(30))
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id bigint, domain string, lang string, source string, n_tokens bigint")
+    got = mixing.mix(df, share=share)
+    assert got.columns == [*df.columns, "epoch"]
+    assert sorted((r.doc_id, r.epoch) for r in got.collect()) == mixed(rows, share=share)
+
+
+def test_leaves_beyond_the_broadcast_bound_are_joined_otherwise(spark, monkeypatch):
+    rows = [(i, "d", "en", f"s{i % 50}", i % 7) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id bigint, domain string, lang string, source string, n_tokens bigint")
+    one = sorted(mixing.mix(df).collect())
+    monkeypatch.setattr(mixing, "BROADCAST_LEAVES", 0)
+    assert sorted(mixing.mix(df).collect()) == one
+
+
+def test_shortages_go_to_siblings_before_ancestors(spark):
+    """Domain a is to get half; its German leaf is short, and its English one makes up for it."""
+    rows = [(i, "a", "de" if i < 2 else "en", "s", 10) for i in range(60)]
+    rows += [(100 + i, "b", "en", "s", 10) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id bigint, domain string, lang string, source string, n_tokens bigint")
+    leaves = {(r.domain, r.lang): r.budget for r in mixing.budgets(df, epochs=1, share=(1, 2), weights={}).collect()}
+    assert leaves == {("a", "de"): 20, ("a", "en"): 280, ("b", "en"): 300}
+
+
+def test_children_are_filled_in_the_order_of_supply_per_weight():
+    assert shared_out(100, {"x": (1, 10), "y": (1, 1000), "z": (2, 1000)}) == {"x": 10, "y": 30, "z": 60}
+    assert shared_out(100, {"x": (1, 10), "y": (1, 20)}) == {"x": 10, "y": 20}
+
+
+def test_weight_zero_gets_nothing_and_empty_table(spark):
+    rows = [(i, "d", "en", f"s{i % 2}", 5) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, domain string, lang string, source string, n_tokens bigint")
+    got = mixing.mix(df, weights={"source": {"s0": 0}}, share=(1, 4)).collect()
+    assert got and {r.source for r in got} == {"s1"}
+    assert mixing.mix(df.limit(0)).count() == 0

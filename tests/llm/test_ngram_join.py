@@ -1,0 +1,102 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+from basketlens.llm import ngram_join
+from basketlens.llm.components import components
+from basketlens.llm.shingles import CHUNK, shingle_sets
+from tests.llm.brute import jaccard_classes, shingles
+
+SCHEMA = "doc_id bigint, text string, rep string, class_id int, n int"
+
+
+def corpus(seed=5):
+    draw = random.Random(seed)
+
+    def prose(n):
+        return [f"w{draw.randrange(400)}" for _ in range(n)]
+
+    texts, passage = [], prose(60)
+    for n in (30, 120, 400):
+        base = prose(n)
+        for change in range(12):
+            near = list(base)
+            for _ in range(change * n // 200):
+                near[draw.randrange(n)] = "changed"
+            texts.append(" ".join(near))
+    texts += [" ".join(prose(150) + passage) for _ in range(20)]
+    texts += [texts[3]] * 6 + ["  ".join(texts[20].upper().split())]
+    texts += ["", None, " \n ", "one two", "one\ttwo", "one two three four five", "x " * 300]
+    return texts
+
+
+@pytest.mark.parametrize("block", [ngram_join.BUCKET_BLOCK, 3])
+def test_equals_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BUCKET_BLOCK", block)
+    monkeypatch.setattr(ngram_join, "BLOCK_ROWS", block)
+    rows = [(i, t, "x", 1, 2) for i, t in enumerate(corpus())]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.join_query(df).collect()}
+    assert got == jaccard_classes([(i, t) for i, t, *_ in rows])
+
+
+def test_null_ids_repeated_rows_and_one_id_for_two_texts(spark):
+    text = " ".join(f"a{i}" for i in range(40))
+    rows = [(1, text), (1, text), (2, text), (None, text), (None, None), (3, "other words"), (3, "two")]
+    df = spark.createDataFrame([(*r, "", 0, 0) for r in rows], SCHEMA)
+    got = sorted(map(str, (tuple(r) for r in ngram_join.join_query(df).collect())))
+    assert got == sorted(map(str, [(1, 1, 1), (2, 1, 1), (None, None, 0), (None, None, 0), (3, 3, 0), (3, 3, 0)]))
+    kept = ngram_join.keep_one(df)
+    assert kept.columns == df.columns
+    left = sorted((str(r.doc_id), str(r.text)) for r in kept.collect())
+    assert left == sorted([("1", text), ("None", text), ("None", "None"), ("3", "other words"), ("3", "two")])
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    assert ngram_join.join_query(df).count() == 0
+    assert ngram_join.keep_one(df).count() == 0
+
+
+def test_one_document_of_each_class_stays(spark):
+    rows = [(i, t, "x", 1, 2) for i, t in enumerate(corpus(8))]
+    classes = jaccard_classes([(i, t) for i, t, *_ in rows])
+    kept = ngram_join.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(r.doc_id for r in kept) == sorted({c for c, _ in classes.values()})
+
+
+def test_shingles_of_odd_and_very_long_texts():
+    long = " ".join(f"word{i % 977}" for i in range(300_000))
+    texts = ["", None, "a b", "é ü\n\nñ ß 日本 x", "a  b\x0bc d\re f g", long, "z" * (CHUNK + 100), "a " + "y" * CHUNK + " b c d e f"]
+    assert len(long) > 2 * CHUNK
+    sizes = [len(s) for s in shingle_sets(texts)]
+    assert sizes == [len(shingles(t)) for t in texts]
+    (alone,) = shingle_sets([long])
+    (together,) = list(shingle_sets(["some other text", long]))[1:]
+    assert (alone == together).all()
+
+
+def test_pruning_keeps_pairs_at_the_threshold_and_drops_others():
+    least = ngram_join.least_matches()
+    draw = np.random.default_rng(1)
+
+    def share_kept(similarity, n=20_000):
+        left = draw.integers(0, 2**16, (n, ngram_join.HASHES)).astype(np.uint16)
+        right = np.where(draw.random(left.shape) < similarity, left, left + np.uint16(1))
+        pairs = np.arange(n), np.arange(n, 2 * n)
+        return len(ngram_join._surviving(*pairs, np.concatenate([left, right]), least)[0]) / n
+
+    assert share_kept(0.8) > 0.9999
+    assert share_kept(0.3) == 0.0
+    assert list(least) == sorted(least) and list(least.values()) == sorted(least.values())
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 150)] + [(7, 7), (300, 200)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    expected = {i: 0 for i in range(1, 41)} | {i: 100 for i in range(101, 150)} | {300: 200}
+    assert got == expected
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0

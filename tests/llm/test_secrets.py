@@ -1,0 +1,89 @@
+from __future__ import annotations
+
+import re
+
+import pytest
+
+from basketlens.llm import secrets
+from tests.llm.brute import redacted, secret_spans
+from tools.check_oracles import differences
+
+SCHEMA = "doc_id bigint, text string, secret_spans string, kinds int, spans string"
+
+TEXTS = [
+    None, "", "nothing here", "password = hunter22", "PassWord:'abcdef' token=short", "api_key=ABCDEF123 apikey: zzzzzz",
+    "token:token = abcdef", "secret=secret=abcdef", "AKIA" + "A" * 16, "AKIA" + "B" * 15, "xAKIAAKIA" + "C" * 20 + "d",
+    "deadbeef" * 3, "deadbeef" * 3 + "g" + "0" * 23, "é日本 token = \"24be64439e3e49cf46b2d7c90f3602a3d0b907ff\" 日",
+    "ghp_" + "a1" * 20, "-----BEGIN RSA PRIVATE KEY-----", "eyJ" + "a" * 9 + ".eyJ" + "b" * 9 + ".c_-",
+    "token=" + "f" * 30 + " AKIA" + "0" * 20, "tokenpassword=abcdef", "Secret" + " " * 9 + ":=abcdef",
+    ("word " * 9000) + "passwd=abcdefg " + "x" * 50_000 + " token:abcdefgh",
+]
+
+
+def test_equals_sql_and_python(given):
+    rows = [(i, t, "s", 1, "q") for i, t in enumerate(TEXTS)] + [(3, TEXTS[3], "s", 1, "q"), (None, TEXTS[3], "", 1, "")]
+    df, con = given("documents", rows, SCHEMA)
+    found = secrets.secrets_query(df)
+    assert differences(found, con, secrets.secrets_sql()) == []
+    spans = {r.doc_id: r.spans for r in found.collect()}
+    for i, text in enumerate(TEXTS):
+        assert spans[i] == ",".join(f"{k}:{a}:{b}" for a, _, k, b in secret_spans(text))
+
+
+def test_redaction_keeps_columns_rows_and_other_text(spark):
+    rows = [(i, t, "s", 1, "q") for i, t in enumerate(TEXTS)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    clean = secrets.redact(df)
+    assert clean.dtypes == df.dtypes
+    got = {r.doc_id: (r.text, r.secret_spans) for r in clean.collect()}
+    assert got == {i: (t if t is None else redacted(t), "s") for i, t in enumerate(TEXTS)}
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    assert secrets.secrets_query(df).count() == 0
+
+
+@pytest.mark.parametrize("pattern, query", [
+    ("abcd", ("and", ("abc", "bcd"))),
+    ("(abc|xyz)[0-9]+", ("or", ("abc", "xyz"))),
+    ("ab", True),
+    ("[a-z]+", True),
+    ("ABC?D", ("and", ("abd",))),
+    ("a(bc)?d", True),
+    ("abc.*xyz", ("and", ("abc", "xyz"))),
+    ("(abc)*xyz", "xyz"),
+    ("(abc|[0-9]+)xyz", "xyz"),
+])
+def test_trigram_queries(pattern, query):
+    found = secrets.trigram_query(pattern)
+    if pattern == "ABC?D":
+        found, query = secrets.trigrams(found), {"abc", "bcd", "abd"}
+    assert found == query
+
+
+@pytest.mark.parametrize("rule", secrets.RULES, ids=lambda r: r.kind)
+def test_every_match_meets_its_trigram_query(rule):
+    def holds(query, text):
+        if query is True:
+            return True
+        if isinstance(query, str):
+            return query in text
+        return (all if query[0] == "and" else any)(holds(q, text) for q in query[1])
+
+    query = secrets.trigram_query(rule.pattern)
+    matches = [m[0] for t in TEXTS for m in re.finditer(rule.pattern, t or "", re.ASCII)]
+    assert matches and all(holds(query, m.lower()) for m in matches)
+
+
+def test_only_indexed_rules_wait_for_postings(spark):
+    df = spark.createDataFrame([(1, "token = abcdef"), (2, "none")], "doc_id int, text string")
+    grams = sorted(secrets.trigrams(secrets.trigram_query(secrets.RULES[0].pattern)))
+    found = secrets.candidates(secrets.build_index(df, grams), secrets.RULES)
+    assert [r.kinds for r in found.collect()] == [["assign"]]
+
+
+def test_no_python_in_the_plan(spark):
+    df = spark.createDataFrame([(1, "token = abcdef")], "doc_id int, text string")
+    plan = secrets.secrets_query(df)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
