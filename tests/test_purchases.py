@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 from basketlens.operators import profile
+from basketlens.operators.clean import clean_counts
 from basketlens.plans import purchases as plan
 from basketlens.plans.oracles import ORACLES
 from basketlens.plans.queries import QUERIES
@@ -85,3 +86,39 @@ def test_landed_once_and_read_by_column(spark, hot_folder):
     text = profile.group_counts(rows, "gender")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<gender:string>" in text
     assert "Join" not in text
+
+
+def test_lines_without_a_match_are_kept_for_cleaning_to_count(spark, hot_folder, tmp_path):
+    folder = str(tmp_path)
+    for table in ("nation", "customer", "orders", "part", "lineitem"):
+        spark.read.parquet(f"{hot_folder}/{table}.parquet").limit(40).write.parquet(
+            f"{folder}/{table}.parquet"
+        )
+    odd = [(-1, 0, 1, 0, 5.0, 5.0, 0.0, 0.0, "F"), (0, -1, 2, 0, 5.0, 5.0, 0.0, 0.0, "F"), (0, 0, 3, 0, 5.0, 5.0, 0.0, 0.0, None)]
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    spark.createDataFrame(odd, lines.schema).write.mode("append").parquet(f"{folder}/lineitem.parquet")
+    rows = plan.order_lines(spark, folder)
+    assert rows.count() == 43
+    orphan = rows.where("l_discount = 0 AND province IS NULL AND is_member IS NULL")
+    assert orphan.count() >= 1
+    counts = clean_counts(rows).first()
+    assert counts.rows_in == 43
+    assert counts.missing_province >= 1 and counts.missing_category >= 1
+    assert counts.missing_gender == 1
+    con = duckdb.connect()
+    for table in ("nation", "customer", "orders", "part", "lineitem"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet/*.parquet'")
+    for name in ("category_counts", "clean_counts"):
+        assert differences(QUERIES[name](spark, folder), con, ORACLES[name]) == []
+
+
+def test_refresh_reads_the_source_again(spark, hot_folder, tmp_path):
+    folder = str(tmp_path / "copy")
+    for table in ("nation", "customer", "orders", "part", "lineitem"):
+        spark.read.parquet(f"{hot_folder}/{table}.parquet").write.parquet(f"{folder}/{table}.parquet")
+    n = plan.purchases(spark, folder).count()
+    spark.read.parquet(f"{hot_folder}/lineitem.parquet").write.mode("append").parquet(
+        f"{folder}/lineitem.parquet"
+    )
+    assert plan.purchases(spark, folder).count() == n
+    assert plan.purchases(spark, folder, refresh=True).count() == 2 * n

@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import pytest
 
-from basketlens.operators import profile
+from pyspark.sql import functions as F
+
+from basketlens.operators import clean, explain, models, profile
 from basketlens.plans import report
 from basketlens.schema import PurchaseValues
 from basketlens.sources.landing import write_tables
@@ -60,3 +62,17 @@ def test_chart_tables_can_be_saved(spark, planted, tmp_path):
     write_tables({"c": tables["category_distribution"]}, str(tmp_path / "csv"), "csv")
     back = spark.read.option("header", True).csv(str(tmp_path / "csv" / "c"))
     assert back.columns == ["category", "n"]
+
+
+def test_lines_about_cleaning_and_models(spark, planted):
+    lines = report.cleaning_lines(clean.clean_counts(planted)).collect()
+    assert [(r.metric, r.value) for r in lines] == [("rows read", 4000.0), ("rows kept", 4000.0)]
+    rows = planted.withColumn("held_out", F.pmod(F.xxhash64("row_id"), F.lit(4)) == 0)
+    rows = rows.withColumn("fold", F.pmod(F.xxhash64("row_id"), F.lit(3)).cast("int"))
+    candidates = {"forest": models.forest_grid(trees=(3,), depths=(2,))}
+    board, fitted = models.leaderboard(rows, candidates)
+    importance = explain.feature_importance(fitted["forest"], rows)
+    found = report.model_lines(board, importance, fitted["forest"]).collect()
+    chosen = [r["item"] for r in found if r.metric == "chosen parameters"]
+    assert chosen == ["forest: maxDepth=2, numTrees=3"]
+    assert "feature_importance" in report.chart_tables(planted, importance=importance)

@@ -70,6 +70,15 @@ def test_landed_tables_go_to_the_configured_folder(spark, planted):
     assert first != second
 
 
+def test_clear_deletes_only_what_this_application_landed(spark, monkeypatch, tmp_path):
+    (tmp_path / "other").mkdir()
+    monkeypatch.setattr(landing, "shared_folder", lambda spark: str(tmp_path))
+    landing.land(spark.range(3), "t")
+    assert landing.clear(spark)
+    assert [p.name for p in (tmp_path / "basketlens").iterdir()] == []
+    assert (tmp_path / "other").exists() and not landing.clear(spark)
+
+
 def test_landed_tables_keep_column_metadata(planted):
     model = features.fit_features(planted)
     indexed = model.indexers[0].transform(planted)
