@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from basketlens.sources.landing import land
+
 TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
 RANKS = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
 SPAN = 256
@@ -74,7 +76,8 @@ def suffix_sums(histogram: DataFrame) -> DataFrame:
     ``truncated_total`` is the number of tokens left when every document keeps its
     first ``length`` tokens.
     """
-    rows = histogram.select(
+    # It is read twice below, and the texts are to be encoded once.
+    rows = land(histogram, "histogram").select(
         "length", "n_docs", (F.col("length") * F.col("n_docs")).alias("tokens"),
         F.floor(F.col("length") / SPAN).alias("span"),
     )
