@@ -167,7 +167,8 @@ def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url",
         place("key").alias("shard"), "key", F.lit(0).alias("kind"), nothing.cast("string").alias("url"),
         nothing.cast("binary").alias("payload"), "digest", "refers_to",
     ))
-    ordered = together.repartition(shards, "shard").sortWithinPartitions("shard", "key", "kind", "url", F.sha1("payload"))
+    # One shard to a task, which a hash of the shard's number would not give.
+    ordered = together.repartitionById(shards, "shard").sortWithinPartitions("shard", "key", "kind", "url", F.sha1("payload"))
     temporary = f"{folder}/_temporary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,7 +316,7 @@ def parsed(content: bytes) -> dict | None:
 
 
 def read(manifest: DataFrame, payloads: bool = True) -> DataFrame:
-    """The page records of an archive's files; a file is read as a stream by one task."""
+    """The page records of an archive's files; a task reads the files of a shard as streams."""
     schema = RECORD if payloads else RECORD.replace(", payload binary", "")
     names = [x.split()[0] for x in schema.split(", ")]
     kinds = {"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}
@@ -340,8 +341,9 @@ def read(manifest: DataFrame, payloads: bool = True) -> DataFrame:
                             rows, held = [], 0
                 yield batch_of(rows)
 
-    files = manifest.select("file")
-    return files.repartition(max(1, manifest.count()), "file").mapInArrow(run, schema)
+    last = manifest.agg(F.max("shard")).first()[0]
+    files = manifest.repartitionById((last or 0) + 1, "shard").select("file")
+    return files.mapInArrow(run, schema)
 
 
 def warc_query(pages: DataFrame) -> DataFrame:
