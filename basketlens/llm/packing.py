@@ -128,7 +128,8 @@ def best_fit(docs: DataFrame, length: str, key: str = "doc_id", capacities: tupl
 
     kind = dict(rests.dtypes)["key"]
     schema = f"key {kind}, piece bigint, start bigint, length bigint, bin string, capacity bigint, place bigint"
-    dealt = rests.repartition(shards, "shard").sortWithinPartitions("shard")
+    # One shard to a task, which a hash of the shard's number would not give.
+    dealt = rests.repartitionById(shards, "shard").sortWithinPartitions("shard")
     return (
         dealt.mapInArrow(packed, schema).unionByName(cut).unionByName(none)
         .withColumnRenamed("key", key)
