@@ -99,20 +99,17 @@ def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
     return rows.mapInArrow(run, "doc bigint, set_key binary, n bigint, sig binary")
 
 
-def _pairs(tile: np.ndarray, block: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _pairs(tile: np.ndarray, block: np.ndarray, cross: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows of the same tile, in portions; rows are sorted by tile.
 
-    In a tile of two blocks only rows of different blocks pair up.
+    In a tile across two blocks, of which one may be empty, only rows of different
+    blocks pair up.
     """
     n = len(tile)
     new = np.concatenate(([True], tile[1:] != tile[:-1]))
     first = np.maximum.accumulate(np.where(new, np.arange(n), 0))
     earlier = np.arange(n) - first
     ends = np.cumsum(earlier)
-    # Whether a tile has two blocks, known at each of its rows.
-    number = np.cumsum(new) - 1
-    low = np.minimum.reduceat(block, np.flatnonzero(new))
-    two = (low != np.maximum.reduceat(block, np.flatnonzero(new)))[number]
     at = 0
     while at < n:
         to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS, side="right")))
@@ -120,7 +117,7 @@ def _pairs(tile: np.ndarray, block: np.ndarray) -> Iterator[tuple[np.ndarray, np
         right = np.repeat(np.arange(at, min(to, n)), count)
         within = np.arange(len(right)) - np.repeat(np.cumsum(count) - count, count)
         left = first[right] + within
-        keep = ~two[right] | (block[left] != block[right])
+        keep = ~cross[right] | (block[left] != block[right])
         yield left[keep], right[keep]
         at = to
 
@@ -178,12 +175,12 @@ def _whole_tiles(batches: Iterator[pa.RecordBatch], rows: int, size: int = 32 <<
 
 
 def cluster_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spanning edges (a < b) of what survives in each tile of (tile, block, rep, sig)."""
+    """Spanning edges (a < b) of what survives in each tile of (tile, block, cross, rep, sig)."""
     least = least_matches()
     for table in _whole_tiles(batches, 8192):
         reps, sig = table["rep"].to_numpy(), _signatures(table["sig"])
         labels = np.arange(len(reps))
-        for left, right in _pairs(table["tile"].to_numpy(), table["block"].to_numpy()):
+        for left, right in _pairs(*(table[c].to_numpy() for c in ("tile", "block", "cross"))):
             labels = _merge(labels, *_surviving(left, right, sig, least))
         linked = np.flatnonzero(labels != np.arange(len(labels)))
         edges = np.unique(np.stack([reps[labels[linked]], reps[linked]]), axis=1)
@@ -214,7 +211,7 @@ def _verified(left: np.ndarray, right: np.ndarray, sets: list[np.ndarray]) -> np
 
 
 def verified_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From tiles of (tile, block, rep, copies, sig, shingles): rows (a, b, links).
+    """From tiles of (tile, block, cross, rep, copies, n, sig, shingles): rows (a, b, links).
 
     With b null, ``links`` is how many documents of the tile a is linked to; else a
     and b are an edge of a spanning set.
@@ -227,14 +224,14 @@ def verified_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         # A document whose row is repeated comes only once.
         once = np.concatenate(([True], (tiles[1:] != tiles[:-1]) | (reps[1:] != reps[:-1])))
         table, tiles, reps = table.filter(pa.array(once)), tiles[once], reps[once]
-        block, copies = table["block"].to_numpy(), table["copies"].to_numpy()
+        block, cross, copies = (table[c].to_numpy() for c in ("block", "cross", "copies"))
         sig, sizes = _signatures(table["sig"]), table["n"].to_numpy()
         labels, links = np.arange(len(reps)), np.zeros(len(reps), np.int64)
         bounds = np.flatnonzero(np.concatenate(([True], tiles[1:] != tiles[:-1])))
         shingles = table["shingles"]
         for a, b in zip(bounds, [*bounds[1:], len(tiles)]):
             sets = None
-            for left, right in _pairs(tiles[a:b], block[a:b]):
+            for left, right in _pairs(tiles[a:b], block[a:b], cross[a:b]):
                 small, large = np.minimum(sizes[a:b][left], sizes[a:b][right]), np.maximum(sizes[a:b][left], sizes[a:b][right])
                 fits = small * down >= large * up
                 left, right = _surviving(left[fits], right[fits], sig[a:b], least)
@@ -265,7 +262,7 @@ def verified_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _tiled(rows: DataFrame, group: str, blocks: Column) -> DataFrame:
-    """``rows`` once for each tile they take part in: columns ``tile`` and ``block`` are added.
+    """``rows`` once for each tile they take part in, with ``tile``, ``block`` and ``cross``.
 
     A group of one block is one tile. Otherwise each pair of different blocks is a
     tile, and each block by itself.
@@ -276,7 +273,8 @@ def _tiled(rows: DataFrame, group: str, blocks: Column) -> DataFrame:
     other = F.sequence(F.lit(0), (F.col("__blocks") - 1).cast("int"))
     spread = placed.withColumn("__other", F.explode(other))
     low, high = F.least("block", "__other"), F.greatest("block", "__other")
-    return spread.withColumn("tile", F.xxhash64(group, low, high)).drop("__blocks", "__other")
+    named = spread.withColumn("tile", F.xxhash64(group, low, high)).withColumn("cross", low < high)
+    return named.drop("__blocks", "__other")
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -299,8 +297,8 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     )
     shared = postings.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
     members = _tiled(postings.join(shared, "bucket"), "bucket", F.ceil(F.col("members") / BUCKET_BLOCK))
-    with_sig = members.select("tile", "block", "rep").join(reps.select("rep", "sig"), "rep")
-    tiles = with_sig.repartition("tile").sortWithinPartitions("tile", "rep").select("tile", "block", "rep", "sig")
+    with_sig = members.select("tile", "block", "cross", "rep").join(reps.select("rep", "sig"), "rep")
+    tiles = with_sig.repartition("tile").sortWithinPartitions("tile", "rep").select("tile", "block", "cross", "rep", "sig")
     clusters = components(tiles.mapInArrow(cluster_edges, "a bigint, b bigint"))
     found = land(_verify(docs, reps, clusters, key, text), "links")
     links = found.where("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
@@ -357,9 +355,9 @@ def _verify(docs: DataFrame, reps: DataFrame, clusters: DataFrame, key: str, tex
                 )
 
     sets = texts.mapInArrow(shingled, "rep bigint, shingles binary")
-    tiles = _tiled(placed, "cluster", F.col("blocks")).select("tile", "block", "rep", "copies", "n", "sig")
+    tiles = _tiled(placed, "cluster", F.col("blocks")).select("tile", "block", "cross", "rep", "copies", "n", "sig")
     full = tiles.join(sets, "rep").repartition("tile").sortWithinPartitions("tile", "rep")
-    columns = ("tile", "block", "rep", "copies", "n", "sig", "shingles")
+    columns = ("tile", "block", "cross", "rep", "copies", "n", "sig", "shingles")
     return full.select(*columns).mapInArrow(verified_links, "a bigint, b bigint, links bigint")
 
 

@@ -33,10 +33,12 @@ def corpus(seed=5):
     return texts
 
 
-@pytest.mark.parametrize("block", [ngram_join.BUCKET_BLOCK, 3])
-def test_equals_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, shingles", [(ngram_join.BUCKET_BLOCK, 500_000), (3, 500_000), (1024, 40)])
+def test_equals_brute_force(spark, monkeypatch, block, shingles):
+    """Also with small blocks, and with so many that some are empty."""
     monkeypatch.setattr(ngram_join, "BUCKET_BLOCK", block)
     monkeypatch.setattr(ngram_join, "BLOCK_ROWS", block)
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", shingles)
     rows = [(i, t, "x", 1, 2) for i, t in enumerate(corpus())]
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
     got = {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.join_query(df).collect()}
