@@ -141,8 +141,9 @@ def _value_lists(
 ) -> list[dict[str, list[tuple[str, int]]]]:
     """For each part, the values and counts of each column from the most frequent on.
 
-    One pass counts all columns and parts; of each list ``at_most`` values and one
-    more come to the driver, and the total under the value None.
+    One pass counts all columns and parts. Of each list ``at_most`` values and one
+    more are used, and the total under the value None. If all lists together are no
+    longer than that they come to the driver at once, else cut for each part.
     """
     pairs = F.array(
         *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
@@ -151,24 +152,28 @@ def _value_lists(
     sums = [F.sum(f"part{i}").alias(f"n{i}") for i in range(len(parts))]
     counted = df.select(*inside, F.inline(pairs)).where("value IS NOT NULL")
     counted = land(counted.groupBy("column", "value").agg(*sums), "value-counts")
+    most = len(columns) * (at_most + 1)
+    few = counted.limit(most + 1).collect()
     lists = []
     for i in range(len(parts)):
-        n = F.col(f"n{i}").alias("n")
-        tops = [
-            counted.where((F.col("column") == c) & (n > 0))
-            .select("column", "value", n).orderBy(F.desc("n"), "value").limit(at_most + 1)
-            for c in columns
-        ]
-        totals = counted.groupBy("column").agg(F.sum(n).alias("n")).select(
-            "column", F.lit(None).cast("string").alias("value"), "n"
-        )
-        found: dict[str, list[tuple[str, int]]] = {c: [] for c in columns}
-        rows = reduce(DataFrame.unionAll, [*tops, totals]).collect()
-        for r in sorted(rows, key=lambda r: (-r["n"], (r["value"] or "").encode())):
-            if r["value"] is not None:
-                found[r["column"]].append((r["value"], r["n"]))
-        all_of = {r["column"]: r["n"] for r in rows if r["value"] is None}
-        lists.append({c: [*v, (None, all_of.get(c, 0))] for c, v in found.items()})
+        n = f"n{i}"
+        totals = {c: 0 for c in columns}
+        found: dict[str, list[tuple]] = {c: [] for c in columns}
+        if len(few) <= most:
+            rows = [(r["column"], r["value"], r[n]) for r in few if r[n]]
+            for column, _, count in rows:
+                totals[column] += count
+        else:
+            tops = [
+                counted.where((F.col("column") == c) & (F.col(n) > 0))
+                .select("column", "value", n).orderBy(F.desc(n), "value").limit(at_most + 1)
+                for c in columns
+            ]
+            rows = [tuple(r) for r in reduce(DataFrame.unionAll, tops).collect()]
+            totals |= dict(map(tuple, counted.groupBy("column").agg(F.sum(n)).collect()))
+        for column, value, count in sorted(rows, key=lambda r: (-r[2], r[1].encode())):
+            found[column].append((value, count))
+        lists.append({c: [*v[: at_most + 1], (None, totals[c])] for c, v in found.items()})
     return lists
 
 

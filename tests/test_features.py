@@ -113,6 +113,13 @@ def test_rare_values_share_one_place_only_when_asked(planted):
     assert sum(s.source_column == "province" for s in model.slots) == 4
     counts = sorted((r["count"] for r in planted.groupBy("province").count().collect()), reverse=True)
     assert model.folded == {"province": sum(counts[4:])}
+    # With one feature column the lists are too long to be brought over whole.
+    only = features.FeatureSpec(categorical=("province",), max_categories=4, fold_rare=True)
+    alone = features.fit_features(planted, only)
+    assert alone.folded == model.folded
+    assert [s.feature for s in alone.slots][:4] == [
+        s.feature for s in model.slots if s.source_column == "province"
+    ]
     for spec in (
         features.FeatureSpec(max_categories=4, unseen="error", fold_rare=True),
         features.FeatureSpec(max_categories=3, fold_rare=True),
