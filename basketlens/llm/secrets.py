@@ -8,8 +8,9 @@ these rules run on it. A rule without mandatory trigrams runs on every text.
 
 All steps are DataFrame operations. Texts are indexed under a 64-bit hash: two
 texts with the same hash only become candidates together, the expressions
-themselves decide. A hot text is therefore a hot join key on the documents'
-side of a left join, which adaptive execution splits.
+themselves decide. A hot text is a hot join key on the documents' side, so
+documents are salted by their other columns, and the short list of candidates is
+repeated for each of ``SALTS`` salts.
 
 Defined cases: a null text counts as empty and has no spans; repeated rows and
 rows with a null id each give a row of their own; an empty table gives an empty
@@ -32,6 +33,8 @@ from basketlens.llm.tables import whole
 
 #: Strings that a part of an expression may stand for before it counts as open.
 MAX_STRINGS = 64
+#: Parts that the documents with one text are dealt to.
+SALTS = 16
 
 
 def either_case(word: str) -> str:
@@ -219,13 +222,18 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text",
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     grams = sorted(set().union(*map(trigrams, queries.values())))
     names = [n for n in docs.columns if n != spans]
-    key, flags = "__text_key", "__kinds"
-    rows = docs.withColumn(key, F.xxhash64(whole(text)))
+    key, salt, flags = "__text_key", "__salt", "__kinds"
+    # Any salt is right, as candidates have all of them. Maps cannot be hashed.
+    others = [F.col(f"`{n}`") for n, kind in docs.dtypes if n != text and "map<" not in kind and kind != "variant"]
+    rows = docs.withColumn(key, F.xxhash64(whole(text))).withColumn(
+        salt, F.pmod(F.xxhash64(*others), F.lit(SALTS)).cast("int") if others else F.lit(0)
+    )
     if grams:
-        found = candidates(build_index(docs, grams, text), rules)
-        rows = rows.join(
-            found.select(F.col("text_key").alias(key), F.col("kinds").alias(flags)), key, "left"
+        found = candidates(build_index(docs, grams, text), rules).select(
+            F.col("text_key").alias(key), F.col("kinds").alias(flags),
+            F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias(salt),
         )
+        rows = rows.join(found, [key, salt], "left")
     else:
         rows = rows.withColumn(flags, F.array().cast("array<string>"))
     for i, r in enumerate(rules):
