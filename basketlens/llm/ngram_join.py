@@ -23,8 +23,9 @@ pairs of a group as rows.
 Defined cases: a null or wordless text is linked to nothing; one of fewer than
 five words has a single shingle; rows with a null id are linked to nothing and
 keep a row each with a null class; repeated rows are one document, and two
-different texts of one id are two documents of that name; an empty table gives an
-empty result; other columns are ignored.
+different texts of one id are two documents of that name, also where their sets
+are equal, so that classes may share the name of such an id; an empty table gives
+an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -76,11 +77,16 @@ def least_matches(step: int = STEP, hashes: int = HASHES, threshold: float = THR
     return out
 
 
+def text_digest(text: str) -> Column:
+    """16 bytes that tell apart the texts of one id; null for a null text."""
+    return F.substring(F.unhex(F.sha2(F.col(text), 256)), 1, 16)
+
+
 # --- in tasks ------------------------------------------------------------------
 
 
 def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(doc, set_key, n, sig) of each row: a digest of its shingle set, its size, its signature."""
+    """(doc, text_key, set_key, n, sig) of each row: digests of text and shingle set, the set's size, its signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family = hash_family(HASHES)
@@ -91,12 +97,13 @@ def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
                 sizes.append(len(s))
                 signatures.append(signature(s, family).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary())],
-                names=["doc", "set_key", "n", "sig"],
+                [batch.column("doc"), batch.column("text_key"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
+                 pa.array(signatures, pa.binary())],
+                names=["doc", "text_key", "set_key", "n", "sig"],
             )
 
-    rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc bigint, set_key binary, n bigint, sig binary")
+    rows = docs.select(F.col(key).cast("long").alias("doc"), text_digest(text).alias("text_key"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, "doc bigint, text_key binary, set_key binary, n bigint, sig binary")
 
 
 def _pairs(tile: np.ndarray, block: np.ndarray, cross: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -221,7 +228,7 @@ def verified_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for table in _whole_tiles(batches, 4096):
         table = table.sort_by([("tile", "ascending"), ("rep", "ascending")])
         tiles, reps = table["tile"].to_numpy(), table["rep"].to_numpy()
-        # A document whose row is repeated comes only once.
+        # A representative whose row is repeated comes only once.
         once = np.concatenate(([True], (tiles[1:] != tiles[:-1]) | (reps[1:] != reps[:-1])))
         table, tiles, reps = table.filter(pa.array(once)), tiles[once], reps[once]
         block, cross, copies = (table[c].to_numpy() for c in ("block", "cross", "copies"))
@@ -277,17 +284,25 @@ def _tiled(rows: DataFrame, group: str, blocks: Column) -> DataFrame:
     return named.drop("__blocks", "__other")
 
 
+def _with_roots(found: DataFrame) -> DataFrame:
+    """(node, root) of ``components``, with the roots as nodes of their own."""
+    return found.unionByName(found.select(F.col("root").alias("node")).distinct().withColumn("root", F.col("node")))
+
+
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, class_id, n_links, is_first): a row for each document.
+    """(key, text_key, class_id, n_links, is_first): a row for each document, with its text's digest.
 
     The class is named by its least id; ``n_links`` is the number of other documents
     whose similarity reaches the threshold. ``is_first`` marks the one document which
     stands for its class.
     """
     sketched = land(sketches(docs, key, text), "sketches")
-    named = sketched.where("doc IS NOT NULL AND n > 0").groupBy("doc", "set_key", "sig", "n").agg(F.lit(1).alias("one"))
-    reps = named.groupBy("set_key", "sig", "n").agg(F.min("doc").alias("rep"), F.count("*").alias("copies"))
-    reps = land(reps, "representatives")
+    named = sketched.where("doc IS NOT NULL AND n > 0").select("doc", "text_key", "set_key", "sig", "n").distinct()
+    reps = named.groupBy("set_key", "sig", "n").agg(
+        F.min(F.struct("doc", "text_key")).alias("first"), F.count("*").alias("copies")
+    )
+    # Numbered as they are written: an id may stand for several texts, a number for one set only.
+    reps = land(reps.withColumn("rep", F.monotonically_increasing_id()), "representatives")
     postings = reps.select(
         "rep",
         F.explode(F.transform(
@@ -303,32 +318,34 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     found = land(_verify(docs, reps, clusters, key, text), "links")
     links = found.where("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     classes = components(found.where("b IS NOT NULL").select("a", "b"))
+    linked_reps = _with_roots(classes).select(F.col("node").alias("rep"), "root")
+    heads = linked_reps.join(reps.select("rep", "first"), "rep").groupBy("root").agg(F.min("first").alias("head"))
     known = (
-        reps.select("set_key", "rep", "copies")
+        reps.select("set_key", "rep", "first", "copies")
         .join(links, "rep", "left")
-        .join(classes.select(F.col("node").alias("rep"), "root"), "rep", "left")
+        .join(linked_reps.join(heads, "root").select("rep", "head"), "rep", "left")
         .select(
-            "set_key", "rep", F.coalesce("root", "rep").alias("class_id"),
+            "set_key", F.coalesce("head", "first").alias("head"),
             (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         )
     )
-    every = sketched.where("doc IS NOT NULL").select("doc", "set_key", "n").distinct().unionByName(
-        sketched.where("doc IS NULL").select("doc", "set_key", "n")
+    every = sketched.where("doc IS NOT NULL").select("doc", "text_key", "set_key", "n").distinct().unionByName(
+        sketched.where("doc IS NULL").select("doc", "text_key", "set_key", "n")
     )
     linked = F.col("doc").isNotNull() & (F.col("n") > 0)
     joined = every.join(known, "set_key", "left")
+    first = (F.col("doc") == F.col("head.doc")) & (F.col("text_key") == F.col("head.text_key"))
     return joined.select(
-        F.col("doc").alias(key),
-        F.when(linked, F.col("class_id")).otherwise(F.col("doc")).alias("class_id"),
+        F.col("doc").alias(key), "text_key",
+        F.when(linked, F.col("head.doc")).otherwise(F.col("doc")).alias("class_id"),
         F.when(linked, F.col("n_links")).otherwise(0).cast("long").alias("n_links"),
-        (~linked | ((F.col("doc") == F.col("class_id")) & (F.col("rep") == F.col("doc")))).alias("is_first"),
+        (~linked | first).alias("is_first"),
     )
 
 
 def _verify(docs: DataFrame, reps: DataFrame, clusters: DataFrame, key: str, text: str) -> DataFrame:
     """Links and edges within clusters, from the shingles of their members' texts."""
-    roots = clusters.select(F.col("root").alias("node")).distinct().withColumn("root", F.col("node"))
-    inside = clusters.unionByName(roots).select(F.col("node").alias("rep"), F.col("root").alias("cluster"))
+    inside = _with_roots(clusters).select(F.col("node").alias("rep"), F.col("root").alias("cluster"))
     members = land(inside.join(reps, "rep"), "clusters")
     sizes = members.groupBy("cluster").agg(F.count("*").alias("m"), F.sum("n").alias("shingles"))
     blocks = sizes.select("cluster", F.greatest(
@@ -336,23 +353,18 @@ def _verify(docs: DataFrame, reps: DataFrame, clusters: DataFrame, key: str, tex
     ).alias("blocks"))
     placed = members.join(blocks, "cluster")
     small = members.count() <= BROADCAST_IDS
-    wanted = members.select(F.col("rep").alias("__rep"), F.col("set_key").alias("__set")).distinct()
-    texts = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    texts = texts.join(F.broadcast(wanted) if small else wanted, F.col("doc") == F.col("__rep")).select("doc", "text", "__set")
+    wanted = members.select("rep", F.col("first.doc").alias("__doc"), F.col("first.text_key").alias("__text"))
+    texts = docs.select(F.col(key).cast("long").alias("doc"), text_digest(text).alias("text_key"), F.col(text).alias("text"))
+    same = (F.col("doc") == F.col("__doc")) & (F.col("text_key") == F.col("__text"))
+    texts = texts.join(F.broadcast(wanted) if small else wanted, same).select("rep", "text")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             # In small portions, as a text's shingles may be as large as the text.
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                sets = list(shingle_sets(part.column("text").to_pylist()))
-                same = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() == k
-                        for s, k in zip(sets, part.column("__set").to_pylist())]
-                keep = np.flatnonzero(same)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc").take(pa.array(keep)), pa.array([sets[i].tobytes() for i in keep], pa.binary())],
-                    names=["rep", "shingles"],
-                )
+                sets = [s.tobytes() for s in shingle_sets(part.column("text").to_pylist())]
+                yield pa.RecordBatch.from_arrays([part.column("rep"), pa.array(sets, pa.binary())], names=["rep", "shingles"])
 
     sets = texts.mapInArrow(shingled, "rep bigint, shingles binary")
     tiles = _tiled(placed, "cluster", F.col("blocks")).select("tile", "block", "cross", "rep", "copies", "n", "sig")
@@ -367,8 +379,9 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     A repeated row counts as one document, too.
     """
     marked = land(join(docs, key, text), "classes")
-    gone = marked.where("NOT is_first").select(F.col(key).alias("__gone")).distinct()
-    kept = docs.join(gone, F.col(key) == F.col("__gone"), "left_anti")
+    gone = marked.where("NOT is_first").select(F.col(key).alias("__gone"), F.col("text_key").alias("__gone_text"))
+    same = (F.col(key) == F.col("__gone")) & (F.col("__text_key") == F.col("__gone_text"))
+    kept = docs.withColumn("__text_key", text_digest(text)).join(gone, same, "left_anti").drop("__text_key")
     repeated = docs.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__again")).agg(F.count("*").alias("c"))
     repeated = land(repeated.where("c > 1").select("__again"), "repeated")
     if repeated.isEmpty():

@@ -57,6 +57,33 @@ def test_null_ids_repeated_rows_and_one_id_for_two_texts(spark):
     assert left == sorted([("1", text), ("None", text), ("None", "None"), ("3", "other words"), ("3", "two")])
 
 
+def test_one_id_for_texts_of_different_classes(spark):
+    """A text stays though another of its id goes, and each text has the links of its own."""
+    t, u, v = ([f"{c}{i}" for i in range(60)] for c in "tuv")
+    near_u, near_v = [*u[:-1], "other"], [*v[:-2], "other", "end"]
+    t, u, v, near_u, near_v = (" ".join(x) for x in (t, u, v, near_u, near_v))
+
+    def frame(rows):
+        return spark.createDataFrame([(*r, "", 0, 0) for r in rows], SCHEMA)
+
+    def kept(rows):
+        return sorted((r.doc_id, r.text) for r in ngram_join.keep_one(frame(rows)).collect())
+
+    def joined(rows):
+        return sorted(tuple(r) for r in ngram_join.join_query(frame(rows)).collect())
+
+    assert kept([(1, t), (3, t), (3, u)]) == [(1, t), (3, u)]
+    assert joined([(1, t), (3, t), (3, u)]) == [(1, 1, 1), (3, 1, 1), (3, 3, 0)]
+    # Id 5 is the representative of two sets, each of which is linked to another text.
+    two = [(5, u), (5, v), (6, near_u), (7, near_v), (8, near_v)]
+    assert joined(two) == [(5, 5, 1), (5, 5, 2), (6, 5, 1), (7, 5, 2), (8, 5, 2)]
+    assert kept(two) == sorted([(5, u), (5, v)])
+    # Two linked texts of one id, and two with equal sets: one of each pair stays.
+    linked = [(5, u), (5, near_u), (9, t), (9, t.upper())]
+    assert joined(linked) == [(5, 5, 1)] * 2 + [(9, 9, 1)] * 2
+    assert [d for d, _ in kept(linked)] == [5, 9]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert ngram_join.join_query(df).count() == 0
