@@ -3,10 +3,13 @@
 Every paragraph is cut into pieces of ``PIECE_WORDS`` words, counted from its
 start, so that a change at its end leaves the earlier pieces alone. A piece is
 hashed to a wide vector of ``LANES`` bits, and the vectors of all pieces are added
-lane by lane. A 64-bit word holds three lanes, ``LANE_BITS`` apart: the two lower
-ones count modulo 2**14 and hand what goes beyond to the lane above, so that a word
-stays below 2**63 for any text of under 2**35 pieces. A fingerprint is the number
-of pieces followed by the words.
+lane by lane. A 64-bit sum holds two lanes, ``SUM_BITS`` apart, so that both counts
+are exact for under 2**31 pieces, which no single text exceeds. A vector is the
+number of pieces followed by the sums.
+
+Written, the vector of at most 16,383 pieces takes three lanes to a word,
+``LANE_BITS`` apart, and that of more pieces takes its sums as they are; ``read``
+gives the same vector back from either.
 
 The sum does not depend on the order of paragraphs. Adding or taking away the
 fingerprint of some paragraphs gives that of the longer or shorter text, without
@@ -34,18 +37,23 @@ from pyspark.sql import functions as F
 from basketlens.llm.tables import SPACE, WORD, whole
 
 PIECE_WORDS = 4
-#: Each 64-bit hash of a piece gives 14 words of 3 lanes.
+#: Each 64-bit hash of a piece gives 42 lanes: 21 sums of 2, written as 14 words of 3 where these hold the counts.
 HASHES = 3
 LANE_BITS = 14
 WORDS = HASHES * LANE_BITS
 LANES = 3 * WORDS
+SUM_BITS = 31
+SUMS_OF_HASH = LANES // HASHES // 2
+SUMS = HASHES * SUMS_OF_HASH
 #: Documents that one slice of the id order should hold, and the slices' ranges.
 SLICE_ROWS = 1000
 RANGES = 512
 MAX_SLICES = 65_536
 
-_LOWEST_BITS = 1 | 1 << LANE_BITS | 1 << 2 * LANE_BITS
+_LOWEST_BITS = 1 | 1 << SUM_BITS
+_LOW_LANES = (1 << SUMS_OF_HASH) - 1
 _RANGE = 1 << LANE_BITS
+_SUM_RANGE = 1 << SUM_BITS
 
 
 def pieces(text: Column) -> Column:
@@ -56,34 +64,27 @@ def pieces(text: Column) -> Column:
 
 
 def _vector_sums(piece: Column, sign: Column) -> list[Column]:
-    """Sums of the words of the pieces' vectors."""
+    """For each hash and k below 21: its bit k, with bit k + 21 in the upper half, summed over the pieces."""
     hashes = [F.xxhash64(F.lit(k), piece) for k in range(HASHES)]
-    words = [F.shiftrightunsigned(h, k) for h in hashes for k in range(LANE_BITS)]
-    return [F.sum(sign * w.bitwiseAND(F.lit(_LOWEST_BITS))) for w in words]
+    spread = [
+        h.bitwiseAND(F.lit(_LOW_LANES)).bitwiseOR(
+            F.shiftleft(h.bitwiseAND(F.lit(_LOW_LANES << SUMS_OF_HASH)), SUM_BITS - SUMS_OF_HASH)
+        )
+        for h in hashes
+    ]
+    sums = [F.shiftrightunsigned(h, k) for h in spread for k in range(SUMS_OF_HASH)]
+    return [F.sum(sign * w.bitwiseAND(F.lit(_LOWEST_BITS))) for w in sums]
 
 
 def lanes(vector: Column) -> Column:
-    """For each lane, bits set less bits not set: between minus and plus the number of pieces.
-
-    A lower lane is known modulo 2**14. Of the numbers of set bits that it may stand
-    for, the one nearest to half the number of pieces is taken, which is right for
-    texts of up to millions of pieces; what it has handed on follows from that.
-    """
+    """For each lane, bits set less bits not set: between minus and plus the number of pieces."""
     n = F.element_at(vector, 1)
 
-    def surplus(word: Column) -> Column:
-        twice = 2 * word.bitwiseAND(F.lit(_RANGE - 1)) - n
-        return F.pmod(twice + _RANGE, F.lit(2 * _RANGE)) - _RANGE
+    def both(word: Column) -> Column:
+        low = word.bitwiseAND(F.lit(_SUM_RANGE - 1))
+        return F.array(2 * low - n, 2 * F.shiftright(word, SUM_BITS) - n)
 
-    def above(word: Column) -> Column:
-        count = ((surplus(word) + n) / 2).cast("long")
-        return F.shiftright(word - count, LANE_BITS)
-
-    def one(word: Column) -> Column:
-        second = above(word)
-        return F.array(surplus(word), surplus(second), 2 * above(second) - n)
-
-    return F.flatten(F.transform(F.slice(vector, 2, WORDS), one))
+    return F.flatten(F.transform(F.slice(vector, 2, SUMS), both))
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -116,9 +117,39 @@ def combine(a: Column, b: Column, sign: int = 1) -> Column:
     return F.zip_with(a, b, lambda x, y: x + sign * y)
 
 
+def _packed(vector: Column) -> Column:
+    """The number of pieces, at most 16,383, and the words of three lanes."""
+
+    def count(h: int, bit: int) -> Column:
+        word = F.element_at(vector, 2 + SUMS_OF_HASH * h + bit % SUMS_OF_HASH)
+        return word.bitwiseAND(F.lit(_SUM_RANGE - 1)) if bit < SUMS_OF_HASH else F.shiftright(word, SUM_BITS)
+
+    words = [
+        reduce(add, [F.shiftleft(count(h, k + part * LANE_BITS), part * LANE_BITS) for part in range(3)])
+        for h in range(HASHES) for k in range(LANE_BITS)
+    ]
+    return F.array(F.element_at(vector, 1), *words)
+
+
+def _unpacked(words: Column) -> Column:
+    """The vector of what ``_packed`` gives."""
+
+    def count(h: int, bit: int) -> Column:
+        word = F.element_at(words, 2 + LANE_BITS * h + bit % LANE_BITS)
+        return F.shiftright(word, bit // LANE_BITS * LANE_BITS).bitwiseAND(F.lit(_RANGE - 1))
+
+    sums = [
+        count(h, k) + F.shiftleft(count(h, k + SUMS_OF_HASH), SUM_BITS)
+        for h in range(HASHES) for k in range(SUMS_OF_HASH)
+    ]
+    return F.array(F.element_at(words, 1), *sums)
+
+
 def written(vector: Column) -> Column:
-    """A vector as hexadecimal text, 16 characters for each element."""
-    return F.array_join(F.transform(vector, lambda w: F.lpad(F.hex(w), 16, "0")), "")
+    """A vector as hexadecimal text, 16 characters for each word, packed where the counts fit."""
+    fits = F.element_at(vector, 1).between(0, _RANGE - 1)
+    words = F.when(fits, _packed(vector)).otherwise(vector)
+    return F.array_join(F.transform(words, lambda w: F.lpad(F.hex(w), 16, "0")), "")
 
 
 def read(text: Column) -> Column:
@@ -127,10 +158,14 @@ def read(text: Column) -> Column:
     def half(at: Column) -> Column:
         return F.conv(F.substr(text, at, F.lit(8)), 16, 10).cast("long")
 
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(WORDS)),
+    last = F.floor(F.length(text) / 16).cast("int") - 1
+    words = F.transform(
+        F.sequence(F.lit(0), last),
         lambda i: F.shiftleft(half(16 * i + 1), 32).bitwiseOR(half(16 * i + 9)),
     )
+    # Within a function, so that the words are read once.
+    vectors = F.transform(F.array(words), lambda w: F.when(F.size(w) == WORDS + 1, _unpacked(w)).otherwise(w))
+    return F.element_at(vectors, 1)
 
 
 def _summed(rows: DataFrame, keys: list[str]) -> DataFrame:

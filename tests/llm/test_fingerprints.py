@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+from collections import Counter
 
 import pytest
 import xxhash
@@ -130,6 +131,34 @@ def test_likeness_of_very_long_texts_survives_lane_overflow(spark):
     assert r.ac == pytest.approx(0.71, abs=0.15)
 
 
+def exact_likeness(a, b, seeds):
+    """The cosine of two lists of pieces, from one count for each lane."""
+
+    def lanes(found):
+        counts = Counter(found)
+        hashed = [(c, [xxhash.xxh64_intdigest(p.encode(), seed=s) for s in seeds]) for p, c in counts.items()]
+        return [sum(c * (1 if h[i] >> k & 1 else -1) for c, h in hashed) for i in range(len(seeds)) for k in range(42)]
+
+    return min(max(cosine(lanes(a), lanes(b)), 0.0), 1 - 2.0**-20)
+
+
+@pytest.mark.parametrize("times", [20_000, 50_000])
+def test_likeness_of_one_line_repeated_more_often_than_a_written_lane_counts(spark, seeds, times):
+    long, short = "the same four words\n" * times, "a short text of other words\n" * 9
+    df = spark.createDataFrame([(2, long, 1, "r", "v"), (1, short, 1, "r", "v")], SCHEMA)
+    r = fingerprints.fingerprints_query(df).where("doc_id = 2").first()
+    changed = pieces(edited(long, short))
+    assert r.near_edited == pytest.approx(exact_likeness(pieces(long), changed, seeds)) and r.near_edited > 0.99
+    assert r.near_next == pytest.approx(exact_likeness(pieces(long), pieces(short), seeds))
+    # Written and read, the likeness is the same, and so are the vectors.
+    rows = spark.createDataFrame([(r.fingerprint, r.edited_fingerprint)], "a string, b string")
+    vectors = rows.select(fingerprints.read(F.col("a")).alias("a"), fingerprints.read(F.col("b")).alias("b"))
+    assert vectors.first().a[0] == times
+    assert fingerprints.with_likeness(vectors, {"ab": ("a", "b")}).first().ab == pytest.approx(r.near_edited)
+    again = vectors.select(fingerprints.written(F.col("a")), fingerprints.written(F.col("b"))).first()
+    assert tuple(again) == (r.fingerprint, r.edited_fingerprint)
+
+
 def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id bigint, text string")
     plan = fingerprints.fingerprints_query(df)._jdf.queryExecution().toString()
