@@ -126,7 +126,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "
     texts = docs.select(F.col(key).alias("k"), whole(text).alias("text"))
     order = F.xxhash64(F.col("k").cast("string"))
     present = known.join(texts.select("k"), "k", "left_semi")
-    chosen = present.orderBy(order, "k", "label").limit(sample)
+    # A document labelled twice takes one place.
+    chosen = present.dropDuplicates(["k", "label"]).orderBy(order, "k", "label").limit(sample)
     # Two documents of one key both stand for it; the first of them by hash is used.
     one = (
         texts.join(F.broadcast(chosen), "k")

@@ -69,6 +69,18 @@ def test_sample_is_bounded_and_does_not_depend_on_partitions(spark):
     assert np.allclose(abs(models[0].vectors), abs(models[1].vectors), atol=1e-4)
 
 
+def test_repeated_labels_take_one_place_in_the_sample(spark):
+    rows, labels = made()
+    docs = spark.createDataFrame(rows, SCHEMA)
+    once, often = (
+        quality.fit(docs, spark.createDataFrame(x, LABELS), sample=20)
+        for x in (labels, labels * 2 + [x for x in labels if x[0] % 3 == 1] * 9)
+    )
+    assert len(often.labels) == 20
+    assert (once.labels == often.labels).all()
+    assert np.allclose(abs(once.vectors), abs(often.vectors), atol=1e-4)
+
+
 def test_odd_rows_and_tables(spark):
     rows, labels = made()
     odd = [(500, None, 0, "", 0), (501, "", 0, "", 0), (None, "some text", 0, "", 0), (None, None, 0, "", 0), (3, rows[3][1], 0, "", 0)]
