@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketlens.llm import chat, fingerprints, lengths, mixing, ngram_join, packing, quality, secrets, topk, warc
+from basketlens.llm import (
+    chat,
+    fingerprints,
+    lengths,
+    mixing,
+    ngram_join,
+    packing,
+    quality,
+    repair,
+    resampling,
+    secrets,
+    topk,
+    url_filter,
+    warc,
+)
 from basketlens.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +66,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_query(table(spark, sf_dir, "conversations"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampling_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_filter_query(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_topk": op1_topk,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -63,6 +89,9 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_lengths": op9_lengths,
     "op10_quality": op10_quality,
+    "op11_repair": op11_repair,
+    "op12_resampling": op12_resampling,
+    "op13_url_filter": op13_url_filter,
 }
 
 ORACLES: dict[str, str] = {
@@ -72,4 +101,7 @@ ORACLES: dict[str, str] = {
     "op4_mixing": mixing.mixing_sql(),
     "op5_secrets": secrets.secrets_sql(),
     "op6_chat": chat.CHAT_SQL,
+    "op11_repair": repair.REPAIR_SQL,
+    "op12_resampling": resampling.RESAMPLING_SQL,
+    "op13_url_filter": url_filter.URL_FILTER_SQL,
 }
