@@ -179,19 +179,19 @@ def crc32_sql(text: str) -> str:
     )
 
 
-def _grams_sql(name: str, table: str) -> str:
+def _grams_sql(name: str, table: str, key: str) -> str:
     """Features of a table's texts: its rows numbered, and one line for each feature."""
     words = (
         f"regexp_extract_all(translate(text, '{ascii_uppercase}', '{ascii_lowercase}'), "
         r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
     )
     pairs = "list_transform(range(1, len(w)::BIGINT), lambda i: w[i::INTEGER] || ' ' || w[i::INTEGER + 1])"
-    return f"""{name}_w AS MATERIALIZED (SELECT *, row_number() OVER () AS row, coalesce({words}, []) AS w FROM {table}),
+    return f"""{name}_w AS MATERIALIZED (SELECT {key}, row_number() OVER () AS row, coalesce({words}, []) AS w FROM {table}),
 {name}_f AS MATERIALIZED (SELECT row, unnest(w || {pairs}) AS f FROM {name}_w)"""
 
 
 RESAMPLING_SQL = f"""
-WITH {_grams_sql("s", "documents")}, {_grams_sql("t", "benchmark")},
+WITH {_grams_sql("s", "documents", "doc_id")}, {_grams_sql("t", "benchmark", "item_id")},
 codes AS MATERIALIZED (SELECT f, {crc32_sql("f")} % {BUCKETS} AS bucket
   FROM (SELECT f FROM s_f UNION SELECT f FROM t_f)),
 s_b AS (SELECT bucket, count(*) AS n FROM s_f JOIN codes USING (f) GROUP BY bucket),

@@ -235,4 +235,4 @@ reached(node) AS (SELECT node FROM judged WHERE verdict = 'block'
   UNION SELECT b FROM reached JOIN pairs ON a = node)
 SELECT page_id, host, path, rule,
   coalesce(verdict, CASE WHEN node IN (SELECT node FROM reached) THEN 'block' ELSE 'allow' END) AS verdict
-FROM pages p JOIN judged j ON j.url = coalesce(p.url, '')"""
+FROM (SELECT page_id, coalesce(url, '') AS url FROM pages) JOIN judged USING (url)"""
