@@ -50,7 +50,12 @@ def percent(part: Column, whole: Column, digits: int | None = None) -> Column:
     return value if digits is None else F.round(value, digits)
 
 
-def key_hash(keys: Sequence[str], seed: int) -> Column:
-    """Eight hex digits which depend on the key values and the seed only."""
+def key_digest(keys: Sequence[str], seed: int) -> Column:
+    """32 hex digits which depend on the key values and the seed only."""
     parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
-    return F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *parts)), 1, 8)
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
+
+
+def key_hash(keys: Sequence[str], seed: int) -> Column:
+    """The first eight of these digits."""
+    return F.substring(key_digest(keys, seed), 1, 8)

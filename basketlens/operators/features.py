@@ -18,6 +18,7 @@ from pyspark.ml.feature import (
     Bucketizer,
     OneHotEncoder,
     OneHotEncoderModel,
+    SQLTransformer,
     StringIndexerModel,
     VectorAssembler,
 )
@@ -29,6 +30,9 @@ from basketlens.operators.quantiles import fit_bins_of_parts
 from basketlens.schema import AGE_BINS, PRICE_BINS
 from basketlens.sources.landing import land
 
+#: Values that a sketch of frequent values holds at least.
+SKETCH = 10_000
+
 
 @dataclass(frozen=True)
 class FeatureSpec:
@@ -41,6 +45,12 @@ class FeatureSpec:
     ``fold_rare`` the rarer values of a feature column count as unseen instead
     (only under ``"keep"``, never for the label), and the fitted model says how
     many purchases that are.
+
+    ``unseen="hash"`` takes a feature column with any number of values. A sketch
+    of frequent values, merged over the tasks, finds the up to ``max_categories``
+    less ``hash_slots`` values that keep a slot; where others are left, they and
+    values not met in training share ``hash_slots`` slots by a hash of the value.
+    Where every value has a slot the result is that of ``"keep"``.
     """
 
     categorical: tuple[str, ...] = ("gender", "is_member", "province")
@@ -52,6 +62,7 @@ class FeatureSpec:
     relative_error: float = 0.001
     max_categories: int = 10_000
     fold_rare: bool = False
+    hash_slots: int = 64
 
 
 @dataclass(frozen=True)
@@ -76,6 +87,9 @@ class FeatureModel:
     slots: list[Slot]
     # Training purchases whose value was too rare for the list, by column.
     folded: dict[str, int] = field(default_factory=dict)
+    # Names of the slots, own and shared, of columns with shared slots.
+    hashed: dict[str, list[str]] = field(default_factory=dict)
+    hashers: list[SQLTransformer] = field(default_factory=list)
 
     @property
     def label_indexer(self) -> StringIndexerModel:
@@ -86,20 +100,25 @@ class FeatureModel:
 
     @property
     def index_columns(self) -> list[str]:
-        return [i.getOutputCol() for i in self.indexers]
+        return [f"{c}_index" for c in self.indexed]
 
     @property
     def indexed(self) -> list[str]:
         """The categorical columns which have slots."""
-        return [i.getInputCol() for i in self.indexers]
+        bins = self.spec.bins
+        return list(dict.fromkeys(s.source_column for s in self.slots if s.source_column not in bins))
 
     @property
     def bin_columns(self) -> list[str]:
         return list(self.bucketizer.getOutputCols())
 
+    @property
+    def number_stages(self) -> list:
+        return [*self.indexers, *self.hashers, self.bucketizer]
+
     @property
     def stages(self) -> list:
-        return [*self.indexers, self.bucketizer, self.encoder, self.assembler]
+        return [*self.number_stages, self.encoder, self.assembler]
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Purchases with their ``features`` vector, row by row."""
@@ -177,6 +196,49 @@ def _value_lists(
     return lists
 
 
+def _frequent_values(
+    df: DataFrame, columns: list[str], parts: list[Column], own: int
+) -> list[dict[str, tuple[list[tuple[str, int]], int, bool]]]:
+    """For each part and column: frequent values with counts, the total, and whether these are all.
+
+    One pass builds a sketch of frequent items for each part and column; only
+    sketches are shuffled. Counts are exact while a column has no more values than
+    a sketch holds, ``SKETCH`` or four times ``own``. A sketch of over ``2 * own``
+    items that ever dropped some overstates its counts so much that at most ``own``
+    of them can't add up to the total: so equal sums tell that these are all values.
+    """
+    inside = [F.coalesce(p, F.lit(False)).alias(f"__part{i}") for i, p in enumerate(parts)]
+    rows = df.select(*inside, *[F.col(c).cast("string").alias(c) for c in columns])
+    tracked = max(SKETCH, 4 * own)
+    found = rows.agg(*[
+        F.struct(
+            F.expr(f"approx_top_k(`{c}`, {own + 1}, {tracked}) FILTER (WHERE __part{i} AND `{c}` IS NOT NULL)").alias("items"),
+            F.count_if(F.col(f"__part{i}") & F.col(f"`{c}`").isNotNull()).alias("total"),
+        ).alias(f"{i} {c}")
+        for i in range(len(parts)) for c in columns
+    ]).first()
+    lists = []
+    for i in range(len(parts)):
+        part = {}
+        for c in columns:
+            items, total = found[f"{i} {c}"]["items"] or [], found[f"{i} {c}"]["total"]
+            pairs = sorted(((x["item"], x["count"]) for x in items), key=lambda x: (-x[1], x[0].encode()))
+            complete = len(pairs) <= own and sum(n for _, n in pairs) == total
+            part[c] = (pairs[:own], total, complete)
+        lists.append(part)
+    return lists
+
+
+def _hasher(column: str, known: int, shared: int) -> SQLTransformer:
+    """Numbers behind the ``known`` ones for the other values of a column; nulls come last."""
+    place = f"{known} + conv(substring(md5(CAST(`{column}` AS STRING)), 1, 8), 16, 10) % {shared}"
+    own = f"WHEN `{column}_known` < {known} THEN `{column}_known`" if known else ""
+    return SQLTransformer(statement=(
+        f"SELECT *, CAST(CASE WHEN `{column}` IS NULL THEN {known + shared} {own} ELSE {place} END AS DOUBLE) "
+        f"AS `{column}_index` FROM __THIS__"
+    ))
+
+
 def fit_features(train: DataFrame, spec: FeatureSpec = FeatureSpec()) -> FeatureModel:
     """Learn value lists, cut points and the vector layout from ``train``."""
     return fit_feature_models(train, {"all": F.lit(True)}, spec)["all"]
@@ -189,19 +251,30 @@ def fit_feature_models(
 
     Exact cut points (``relative_error`` 0) take passes of their own for each part.
     """
-    lists = _value_lists(df, [spec.label, *spec.categorical], list(parts.values()), spec.max_categories)
+    listed = [spec.label] if spec.unseen == "hash" else [spec.label, *spec.categorical]
+    lists = _value_lists(df, listed, list(parts.values()), spec.max_categories)
+    frequent = [{}] * len(parts)
+    if spec.unseen == "hash":
+        if not 0 < spec.hash_slots < spec.max_categories:
+            raise ValueError("hash_slots must be positive and below max_categories")
+        own = spec.max_categories - spec.hash_slots
+        frequent = _frequent_values(df, list(spec.categorical), list(parts.values()), own)
     bin_names = [f"{c}_bin" for c in spec.bins]
     bucketizers = fit_bins_of_parts(df, list(parts.values()), spec.bins, bin_names, spec.relative_error)
     return {
-        name: _feature_model(df, spec, values, bucketizer)
-        for name, values, bucketizer in zip(parts, lists, bucketizers)
+        name: _feature_model(df, spec, values, bucketizer, most)
+        for name, values, bucketizer, most in zip(parts, lists, bucketizers, frequent)
     }
 
 
 def _feature_model(
-    df: DataFrame, spec: FeatureSpec, counted: dict[str, list[tuple]], bucketizer: Bucketizer
+    df: DataFrame,
+    spec: FeatureSpec,
+    counted: dict[str, list[tuple]],
+    bucketizer: Bucketizer,
+    frequent: dict[str, tuple],
 ) -> FeatureModel:
-    values, folded = {}, {}
+    values, folded, hashed = {}, {}, {}
     for column, pairs in counted.items():
         known, total = pairs[:-1], pairs[-1][1]
         if len(known) > spec.max_categories:
@@ -210,17 +283,24 @@ def _feature_model(
             known = known[: spec.max_categories]
             folded[column] = total - sum(n for _, n in known)
         values[column] = [v for v, _ in known]
+    for column, (pairs, total, complete) in frequent.items():
+        values[column] = [v for v, _ in pairs]
+        if not complete:
+            hashed[column] = [*values[column], *[f"#{i}" for i in range(spec.hash_slots)]]
+            folded[column] = max(0, total - sum(n for _, n in pairs))
     # A single value carries no information, and the encoder does not take it.
-    used = [c for c in spec.categorical if len(values[c]) > 1]
+    used = [c for c in spec.categorical if len(values[c]) > 1 or c in hashed]
     # One stage per column: PySpark pads label lists of unequal length with nulls.
     indexers = [
         StringIndexerModel.from_labels(
-            values[c], inputCol=c, outputCol=f"{c}_index", handleInvalid=spec.unseen
+            values[c], inputCol=c, outputCol=f"{c}_known" if c in hashed else f"{c}_index",
+            handleInvalid="keep" if spec.unseen == "hash" else spec.unseen,
         )
-        for c in used
+        for c in used if values[c]
     ]
+    hashers = [_hasher(c, len(values[c]), spec.hash_slots) for c in used if c in hashed]
     bin_names = [f"{c}_bin" for c in spec.bins]
-    indexed = PipelineModel(stages=[*indexers, bucketizer]).transform(df)
+    indexed = _named(PipelineModel(stages=[*indexers, *hashers, bucketizer]).transform(df), hashed)
     # The encoder takes its sizes from column metadata: no job runs.
     encoder = OneHotEncoder(
         inputCols=[f"{c}_index" for c in used], outputCols=[f"{c}_vec" for c in used]
@@ -231,10 +311,18 @@ def _feature_model(
     layout = assembler.transform(encoder.transform(indexed)).schema
     slots = _slots(layout, used, list(spec.bins))
     return FeatureModel(
-        spec, values[spec.label], indexers, bucketizer, encoder, assembler, slots, folded
+        spec, values[spec.label], indexers, bucketizer, encoder, assembler, slots, folded, hashed, hashers
     )
 
 
+def _named(numbered: DataFrame, hashed: dict[str, list[str]]) -> DataFrame:
+    """Numbers of columns with shared slots, with the slots' names for the encoder; null's place is the last."""
+    for column, names in hashed.items():
+        nominal = {"ml_attr": {"type": "nominal", "name": f"{column}_index", "vals": [*names, "__unknown"]}}
+        numbered = numbered.withMetadata(f"{column}_index", nominal)
+    return numbered
+
+
 def _slots(layout, categorical: list[str], binned: list[str]) -> list[Slot]:
     """Slot names from the metadata which the assembler leaves on its column."""
     groups = layout["features"].metadata["ml_attr"]["attrs"].values()
@@ -259,15 +347,15 @@ def cells(df: DataFrame, model: FeatureModel, *also_by: str) -> DataFrame:
     The result is landed: its size depends on the number of distinct feature
     combinations, and everything after it reads it many times.
     """
-    numbers = PipelineModel(stages=[model.label_indexer, *model.indexers, model.bucketizer])
-    numbered = numbers.transform(df)
+    numbers = PipelineModel(stages=[model.label_indexer, *model.number_stages])
+    numbered = _named(numbers.transform(df), model.hashed)
     by = [*also_by, *model.index_columns, *model.bin_columns, "label"]
     return land(numbered.groupBy(*by).agg(F.count("*").alias("n")), "cells")
 
 
 def nonzero_entries(df: DataFrame, model: FeatureModel, key: str) -> DataFrame:
     """The feature matrix in long form: ``(key, slot, value)`` for non-zero entries."""
-    numbered = PipelineModel(stages=[*model.indexers, model.bucketizer]).transform(df)
+    numbered = PipelineModel(stages=model.number_stages).transform(df)
     first: dict[str, int] = {}
     width: dict[str, int] = {}
     for slot in model.slots:

@@ -323,6 +323,35 @@ SELECT point, round(place, 9) AS x, round(density, 9) AS density,
   round(density * total * (hi - lo) / 20, 4) AS curve
 FROM d, s"""
 
+# Values shared between the two nearest nodes of a grid, and nodes that reach the
+# points of the curve within five bandwidths.
+PRICE_DENSITY = f"""{PURCHASES},
+b AS (
+  SELECT CAST(min(unit_price) AS DOUBLE) AS lo, CAST(max(unit_price) AS DOUBLE) AS hi,
+    count(*) AS total, stddev_samp(unit_price) * pow(count(*), -0.2) AS h FROM purchases
+),
+s AS (SELECT *, (hi - lo) / 199 AS gap, ceil(4 * ((hi - lo) / 199) / h) AS between FROM b),
+v AS (
+  SELECT (unit_price - lo) / (gap / between) AS place, between * 199 - 1 AS final FROM purchases, s
+),
+halves AS (SELECT least(floor(place), final) AS node, place FROM v),
+nodes AS (
+  SELECT node, sum(mass) AS mass FROM (
+    SELECT node, 1 - (place - node) AS mass FROM halves
+    UNION ALL SELECT node + 1, place - node FROM halves) GROUP BY 1
+),
+grid AS (SELECT CAST(g AS INTEGER) AS point FROM range(200) AS t(g)),
+d AS (
+  SELECT point, sum(mass * exp(-((point * gap - node * gap / between) / h)
+    * ((point * gap - node * gap / between) / h) / 2)) AS mass
+  FROM grid, s, nodes WHERE point >= ceil((node * gap / between - 5 * h) / gap)
+    AND point <= floor((node * gap / between + 5 * h) / gap) GROUP BY 1
+)
+SELECT point, round(lo + point * gap, 6) AS x,
+  round(coalesce(mass, 0) / (total * h * sqrt(2 * pi())), 9) AS density,
+  round(coalesce(mass, 0) / (total * h * sqrt(2 * pi())) * total * (hi - lo) / 20, 4) AS curve
+FROM grid CROSS JOIN s LEFT JOIN d USING (point)"""
+
 REPORT = f"""{PURCHASES},
 c AS (SELECT category, count(*) AS n FROM purchases GROUP BY 1),
 best AS (SELECT * FROM c ORDER BY n DESC, category LIMIT 1),
@@ -349,17 +378,36 @@ FROM worst, t
 UNION ALL SELECT 'advice', 'promote to age band', age_band || ': ' || category, top_band.n
 FROM top_band, best"""
 
+CLEAN_COUNTS = f"""{DIRTY}
+SELECT count(*) AS rows_in,
+  count(*) FILTER (WHERE {COMPLETE.replace("age IS", "typed.age IS")}) AS rows_kept,
+  count(*) FILTER (WHERE gender IS NULL) AS missing_gender,
+  count(*) FILTER (WHERE dirty_age IS NULL) AS missing_age,
+  count(*) FILTER (WHERE is_member IS NULL) AS missing_is_member,
+  count(*) FILTER (WHERE category IS NULL) AS missing_category,
+  count(*) FILTER (WHERE province IS NULL) AS missing_province,
+  count(*) FILTER (WHERE unit_price IS NULL) AS missing_unit_price,
+  count(*) FILTER (WHERE typed.age IS NULL AND dirty_age IS NOT NULL) AS invalid_age,
+  count(*) FILTER (WHERE isnan(unit_price)) AS invalid_unit_price
+FROM typed JOIN (SELECT row_id AS id, age AS dirty_age FROM dirty) d ON row_id = d.id"""
+
+MEMBER_AVERAGES = f"""{PURCHASES}
+SELECT is_member, round(avg(unit_price), 4) AS avg_unit_price, round(avg(age), 4) AS avg_age
+FROM purchases GROUP BY 1"""
+
+CARDINALITY = f"{PURCHASES} SELECT count(DISTINCT province) AS n_distinct FROM purchases"
+
 ORACLES: dict[str, str] = {
     "category_counts": f"{PURCHASES} SELECT category, count(*) AS n FROM purchases GROUP BY 1",
     "gender_counts": f"{PURCHASES} SELECT gender, count(*) AS n FROM purchases GROUP BY 1",
     "basic_stats": f"{PURCHASES} {_stats('age')} UNION ALL {_stats('unit_price')}",
-    "member_averages": f"""{PURCHASES}
-SELECT is_member, round(avg(unit_price), 4) AS avg_unit_price, round(avg(age), 4) AS avg_age
-FROM purchases GROUP BY 1""",
+    "running_stats": f"{PURCHASES} {_stats('age')} UNION ALL {_stats('unit_price')}",
+    "member_averages": MEMBER_AVERAGES,
+    "running_member_averages": MEMBER_AVERAGES,
     "top_provinces": f"""{PURCHASES}
 SELECT province, count(*) AS n FROM purchases GROUP BY 1 ORDER BY n DESC, province LIMIT 10""",
-    "province_cardinality": f"""{PURCHASES}
-SELECT count(DISTINCT province) AS n_distinct FROM purchases""",
+    "province_cardinality": CARDINALITY,
+    "running_cardinality": CARDINALITY,
     "gender_share": _share("gender", "female"),
     "member_share": _share("is_member", "yes"),
     "best_worst_category": f"""{PURCHASES},
@@ -382,27 +430,42 @@ SELECT {BAND} AS age_band, {PIVOT} FROM purchases GROUP BY 1""",
     "age_histogram": _histogram("age"),
     "price_histogram": _histogram("unit_price"),
     "age_density": DENSITY,
+    "price_density": PRICE_DENSITY,
     "insight_report": REPORT,
     "clean_purchases": CLEAN_ROWS,
     "ingest_csv": CLEAN_ROWS,
-    "clean_counts": f"""{DIRTY}
-SELECT count(*) AS rows_in,
-  count(*) FILTER (WHERE {COMPLETE.replace("age IS", "typed.age IS")}) AS rows_kept,
-  count(*) FILTER (WHERE gender IS NULL) AS missing_gender,
-  count(*) FILTER (WHERE dirty_age IS NULL) AS missing_age,
-  count(*) FILTER (WHERE is_member IS NULL) AS missing_is_member,
-  count(*) FILTER (WHERE category IS NULL) AS missing_category,
-  count(*) FILTER (WHERE province IS NULL) AS missing_province,
-  count(*) FILTER (WHERE unit_price IS NULL) AS missing_unit_price,
-  count(*) FILTER (WHERE typed.age IS NULL AND dirty_age IS NOT NULL) AS invalid_age,
-  count(*) FILTER (WHERE isnan(unit_price)) AS invalid_unit_price
-FROM typed JOIN (SELECT row_id AS id, age AS dirty_age FROM dirty) d ON row_id = d.id""",
+    "clean_counts": CLEAN_COUNTS,
+    "landing_counts": CLEAN_COUNTS,
+    "rejected_rows": f"""{DIRTY}
+SELECT t.row_id, d.age, t.is_member, concat_ws(',',
+  CASE WHEN t.gender IS NULL THEN 'missing_gender' END,
+  CASE WHEN d.age IS NULL THEN 'missing_age' END,
+  CASE WHEN t.is_member IS NULL THEN 'missing_is_member' END,
+  CASE WHEN t.category IS NULL THEN 'missing_category' END,
+  CASE WHEN t.province IS NULL THEN 'missing_province' END,
+  CASE WHEN t.unit_price IS NULL THEN 'missing_unit_price' END,
+  CASE WHEN t.age IS NULL AND d.age IS NOT NULL THEN 'invalid_age' END,
+  CASE WHEN isnan(t.unit_price) THEN 'invalid_unit_price' END) AS reasons
+FROM typed t JOIN dirty d USING (row_id) WHERE reasons <> ''""",
     "label_index": _index("category"),
     "province_index": _index("province"),
     "train_test_split": f"""{PURCHASES}
 SELECT row_id, CASE WHEN substr(md5('42|' || row_id), 1, 8) < 'b3333333' THEN 'train'
   ELSE 'test' END AS split
 FROM purchases""",
+    "stratified_split": f"""{PURCHASES},
+ordered AS (
+  SELECT row_id, category, count(*) OVER (PARTITION BY category) AS n,
+    row_number() OVER (PARTITION BY category ORDER BY md5('42|' || row_id)) AS place FROM purchases
+)
+SELECT row_id, category, CASE WHEN place <= floor(n * 0.7::DOUBLE + 0.5) THEN 'train'
+  ELSE 'test' END AS split
+FROM ordered""",
+    "hashed_slots": f"""{PURCHASES}, {_rank("province")}
+SELECT CAST(CASE WHEN r < 10 THEN r
+  ELSE 10 + CAST('0x' || substr(md5(province), 1, 8) AS BIGINT) % 8 END AS INTEGER) AS "index",
+  count(*) AS n
+FROM purchases JOIN province_rank USING (province) GROUP BY 1""",
     "cv_folds": f"""{PURCHASES}
 SELECT row_id,
   CAST(CAST('0x' || substr(md5('43|' || row_id), 1, 8) AS BIGINT) % 3 AS INTEGER) AS fold

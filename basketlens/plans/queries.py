@@ -16,7 +16,9 @@ from basketlens.operators import (
     models,
     profile,
     quantiles,
+    running,
     selection,
+    split,
 )
 from basketlens.plans import report
 from basketlens.plans.purchases import KEY, dirty_purchases, purchases
@@ -64,6 +66,17 @@ def clean_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_counts(dirty_purchases(spark, sf_dir))
 
 
+def landing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of ``clean_counts``, taken while all rows are written."""
+    return clean.clean_and_land(dirty_purchases(spark, sf_dir), keep=(KEY,)).counts
+
+
+def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected purchases with the cells that they came with, and why."""
+    rejects = clean.clean_and_land(dirty_purchases(spark, sf_dir), keep=(KEY,)).rejects
+    return rejects.select(KEY, "age", "is_member", F.array_join("reasons", ",").alias("reasons"))
+
+
 # Description
 
 
@@ -138,6 +151,32 @@ def age_density(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "curve", curve=4)
 
 
+def price_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(distribution.binned_density(purchases(spark, sf_dir), "unit_price"), 9, "density", x=6, curve=4)
+
+
+def _growing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a state that took the purchases in two batches of files."""
+    folder, state = new_path(spark, "growing"), new_path(spark, "state")
+    for part in ("train", "test"):
+        batch = purchases(spark, sf_dir).where(F.col("split") == part)
+        batch.drop("split", "fold").write.mode("append").parquet(folder)
+        running.update(spark, folder, state)
+    return running.current(spark, folder, state)
+
+
+def running_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return running.basic_stats(_growing(spark, sf_dir), digits=4)
+
+
+def running_member_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return running.member_averages(_growing(spark, sf_dir), digits=4)
+
+
+def running_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return running.distinct_count(_growing(spark, sf_dir), "province")
+
+
 def insight_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.insight_report(purchases(spark, sf_dir))
 
@@ -157,6 +196,20 @@ def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return purchases(spark, sf_dir).select(KEY, "split")
 
 
+def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train and test part with their exact shares in every category."""
+    rows = purchases(spark, sf_dir).select(KEY, "category")
+    return split.with_stratified_split(rows, [KEY], ["category"])
+
+
+def hashed_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases for each place of the provinces, of which ten have one of their own."""
+    spec = features.FeatureSpec(unseen="hash", max_categories=18, hash_slots=8)
+    rows = purchases(spark, sf_dir)
+    table = features.cells(rows, features.fit_features(rows, spec))
+    return table.groupBy(F.col("province_index").cast("int").alias("index")).agg(F.sum("n").alias("n"))
+
+
 def cv_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return purchases(spark, sf_dir).select(KEY, "fold")
 
@@ -299,13 +352,21 @@ QUERIES: dict[str, Query] = {
         age_histogram,
         price_histogram,
         age_density,
+        price_density,
+        running_stats,
+        running_member_averages,
+        running_cardinality,
         insight_report,
         clean_purchases,
         clean_counts,
+        landing_counts,
+        rejected_rows,
         ingest_csv,
         label_index,
         province_index,
+        hashed_slots,
         train_test_split,
+        stratified_split,
         cv_folds,
         age_quantile_bins,
         price_quantile_bins,

@@ -81,3 +81,46 @@ def test_empty_table(spark):
     df = raw(spark, [])
     assert clean.clean(df).count() == 0
     assert clean.clean_counts(df).first().rows_in == 0
+
+
+def test_one_pass_gives_rows_rejects_and_counts(spark):
+    cells = [
+        ("f", "23", "y", "c", "p", "1.5"), ("f", "abc", None, "c", "p", "x"), (None, None, "y", "c", "p", "NaN"),
+        ("f", "7.9", "y", "c", "p", "2"), ("f", "23", "y", "c", None, None),
+    ]
+    passed = spark.sparkContext.accumulator(0)
+
+    def met(batches):
+        for batch in batches:
+            passed.add(batch.num_rows)
+            yield batch
+
+    df = raw(spark, cells)
+    scanned = df.mapInArrow(met, df.schema)
+    cleaned = clean.clean_and_land(scanned)
+    assert sorted(cleaned.rows.collect()) == sorted(clean.clean(df).collect())
+    assert cleaned.counts.collect() == clean.clean_counts(df).collect()
+    assert cleaned.counts.schema == clean.clean_counts(df).schema or cleaned.counts.columns == clean.clean_counts(df).columns
+    rejects = {tuple(r)[:6]: r.reasons for r in cleaned.rejects.collect()}
+    assert rejects == {
+        cells[1]: ["missing_is_member", "invalid_age", "invalid_unit_price"],
+        cells[2]: ["missing_gender", "missing_age", "invalid_unit_price"],
+        cells[4]: ["missing_province", "missing_unit_price"],
+    }
+    # Rows, rejects and counts have been read, and the source was met once.
+    assert passed.value == len(cells)
+
+
+def test_rejected_cells_keep_their_text_and_other_columns(spark):
+    df = raw(spark, [("女", "x1", "是", "书", "浙江", "9.5")]).toDF(*[s for _, s in CHINESE_COLUMNS.items()])
+    df = df.withColumn("order_id", F.lit(7)).withColumn("rejected", F.lit("clash"))
+    cleaned = clean.clean_and_land(df, CHINESE_COLUMNS, keep=("order_id",))
+    (row,) = cleaned.rejects.collect()
+    assert (row.order_id, row.gender, row.age, row.unit_price, row.reasons) == (7, "女", "x1", "9.5", ["invalid_age"])
+    assert cleaned.rows.count() == 0 and cleaned.rows.columns[0] == "order_id"
+
+
+def test_one_pass_over_an_empty_table(spark):
+    cleaned = clean.clean_and_land(raw(spark, []))
+    assert cleaned.rows.count() == cleaned.rejects.count() == 0
+    assert cleaned.counts.first().rows_in == 0

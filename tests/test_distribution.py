@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import random
 
 import numpy as np
 import pytest
@@ -61,3 +62,30 @@ def test_density_with_rounded_values_is_close(spark):
     exact = [r.density for r in distribution.density(df, "x").orderBy("point").collect()]
     near = distribution.density(df, "x", resolution=0.05).orderBy("point").collect()
     assert [r.density for r in near] == pytest.approx(exact, rel=1e-2)
+
+
+def test_binned_density_is_close_to_the_sum_over_all_values(spark):
+    source = random.Random(4)
+    rows = [(source.gauss(50, 4) if i % 3 else source.uniform(0, 100),) for i in range(4000)] + [(None,), (49.0,)]
+    df = spark.createDataFrame(rows, "x double").repartition(4)
+    direct = {r.point: r for r in distribution.density(df, "x").collect()}
+    binned = {r.point: r for r in distribution.binned_density(df, "x").collect()}
+    assert set(direct) == set(binned)
+    peak = max(r.density for r in direct.values())
+    for point, r in binned.items():
+        assert abs(r.x - direct[point].x) < 1e-9
+        assert abs(r.density - direct[point].density) < peak / 128
+        assert abs(r.curve / r.density - direct[point].curve / direct[point].density) < 1e-6
+    finer = {r.point: r for r in distribution.binned_density(df, "x", fineness=40, cutoff=9.0).collect()}
+    assert max(abs(r.density - direct[p].density) for p, r in finer.items()) < peak / 10_000
+
+
+def test_binned_density_reaches_only_near_points(spark):
+    far = spark.createDataFrame([(0.0,)] * 5000 + [(1.0,)] * 5000 + [(1000.0,)], "x double")
+    curve = {r.point: r.density for r in distribution.binned_density(far, "x").collect()}
+    assert len(curve) == 200 and curve[0] > 0 and curve[100] == 0.0
+
+
+def test_binned_density_without_spread(spark):
+    assert distribution.binned_density(spark.createDataFrame([(3.0,)] * 5, "x double"), "x").count() == 0
+    assert distribution.binned_density(spark.createDataFrame([], "x double"), "x").count() == 0

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import hashlib
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.ml import Pipeline
@@ -7,7 +9,7 @@ from pyspark.ml.feature import OneHotEncoder, QuantileDiscretizer, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from basketlens.operators import features
+from basketlens.operators import features, models, selection
 
 from .conftest import SCHEMA
 
@@ -172,3 +174,70 @@ def test_null_labels_have_no_number(spark):
     df = spark.createDataFrame([("1", "f", 1, "y", None, "p", 1.0)], SCHEMA)
     assert features.fit_features(df).labels == []
     assert features.value_index(df, "category").count() == 0
+
+
+HASH = features.FeatureSpec(unseen="hash", relative_error=0.0)
+
+
+def test_hash_mode_below_the_limit_gives_the_cells_of_the_exact_mode(planted):
+    exact = features.FeatureSpec(relative_error=0.0)
+    a, b = (features.fit_features(planted, spec) for spec in (exact, HASH))
+    assert a.slots == b.slots and b.hashed == {} and b.folded == {}
+    assert sorted(features.cells(planted, a).collect()) == sorted(features.cells(planted, b).collect())
+
+
+def test_rare_values_share_slots_by_their_hash(planted):
+    spec = features.FeatureSpec(unseen="hash", max_categories=7, hash_slots=3, relative_error=0.0)
+    model = features.fit_features(planted, spec)
+    counts = sorted(((-r["count"], r.province) for r in planted.groupBy("province").count().collect()))
+    kept = [p for _, p in counts[:4]]
+    names = [s.feature for s in model.slots if s.source_column == "province"]
+    assert names == [f"province={v}" for v in [*kept, "#0", "#1", "#2"]]
+    assert model.folded == {"province": -sum(n for n, _ in counts[4:])}
+    place = {p: i for i, p in enumerate(kept)}
+    for p in [p for _, p in counts[4:]] + ["never met"]:
+        place[p] = 4 + int(hashlib.md5(p.encode()).hexdigest()[:8], 16) % 3
+    new = planted.limit(2).withColumn("province", F.lit("never met"))
+    vector = vector_to_array("province_vec").alias("v")
+    for row in model.transform(planted.unionByName(new)).select("province", vector).collect():
+        assert row.v.index(1.0) == place[row.province] and sum(row.v) == 1.0
+    table = features.cells(planted, model)
+    assert table.agg(F.sum("n")).first()[0] == planted.count()
+    long = features.nonzero_entries(planted, model, "row_id").where("slot >= 4 AND slot < 11").count()
+    assert long == planted.count()
+    # A null has no slot.
+    (row,) = model.transform(planted.limit(1).withColumn("province", F.lit(None).cast("string"))).collect()
+    assert row.province_vec.numNonzeros() == 0
+
+
+def test_a_million_values_fit_without_a_list_of_them(spark):
+    rows = spark.range(1_000_000).selectExpr(
+        "CASE WHEN id % 2 = 0 THEN 'f' ELSE 'm' END AS gender", "CAST(20 + id % 40 AS INT) AS age",
+        "CASE WHEN id % 3 = 0 THEN 'yes' ELSE 'no' END AS is_member",
+        "CASE WHEN id % 2 = 0 THEN 'a' ELSE 'b' END AS category",
+        "CASE WHEN id % 10 < 4 THEN 'hot' ELSE concat('P', id) END AS province", "CAST(id % 100 AS DOUBLE) AS unit_price",
+    )
+    spec = features.FeatureSpec(unseen="hash", max_categories=200)
+    with pytest.raises(ValueError, match="province has over 200"):
+        features.fit_features(rows, features.FeatureSpec(max_categories=200))
+    model = features.fit_features(rows, spec)
+    own = [s.feature for s in model.slots if s.source_column == "province"]
+    assert own[0] == "province=hot" and len(own) <= 200 and own[-1] == "province=#63"
+    table = features.cells(rows, model)
+    assert table.agg(F.sum("n")).first()[0] == 1_000_000
+    fitted = models.fit_classifier(
+        models.logistic_regression(iterations=5), table, model, selection.select_slots(table, model)
+    )
+    assert models.accuracy(fitted, table).first().accuracy > 0.99
+
+
+def test_hash_mode_learns_folds_apart(planted):
+    parts = {"young": F.col("age") < 40, "all": F.lit(True)}
+    spec = features.FeatureSpec(unseen="hash", max_categories=7, hash_slots=3, relative_error=0.0)
+    both = features.fit_feature_models(planted, parts, spec)
+    for name, condition in parts.items():
+        alone = features.fit_features(planted.where(condition), spec)
+        assert both[name].slots == alone.slots and both[name].folded == alone.folded
+    assert features.fit_features(planted.limit(0), spec).labels == []
+    with pytest.raises(ValueError, match="hash_slots"):
+        features.fit_features(planted, features.FeatureSpec(unseen="hash", hash_slots=10_000))
