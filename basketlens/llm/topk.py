@@ -10,11 +10,12 @@ that fit in a task allow, and no task holds more than a tile.
 
 Components are turned into whole numbers before, so that products are exact: in
 single precision while every partial sum stays below 2**24, in double precision
-below 2**53, and with 64-bit integers beyond.
+below 2**53, with 64-bit integers below 2**62, and for the rare larger vectors of
+a tile with integers of any size. A score whose absolute value is 2**62 or more
+is ranked by its exact value, and shown as the nearest long if it is none.
 
-Defined cases: vectors that are null or empty, have null or non-finite components,
-or components so large that a product might not fit in 64 bits, take no part, nor
-do rows with a null id. A query only meets candidates with as many components as
+Defined cases: vectors that are null or empty, or have null or non-finite (after scaling)
+components, take no part, nor do rows with a null id. A query only meets candidates with as many components as
 it has. A query's own row is any row with its id; equal rows (id and vector) are
 one query, but as candidates each counts. Ties go to the smaller id. Queries
 without candidates have no rows in the result.
@@ -22,7 +23,7 @@ without candidates have no rows in the result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from heapq import nsmallest
 
 import numpy as np
 import pyarrow as pa
@@ -40,17 +41,22 @@ K = 5
 
 
 def quantised(vectors: DataFrame, scale: int = SCALE, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(id, v): floor(scale * x) of each component, for the vectors that take part."""
-    wide = F.transform(F.col(vector), lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
+    """(id, v): floor(scale * x) of each component, for the vectors that take part.
+
+    Whole numbers as doubles, which are exact at any size.
+    """
+
+    def whole(x):
+        y = F.lit(float(scale)) * x.cast("double")
+        # A double of 2**53 or more has no fraction.
+        return F.when(F.abs(y) < 2.0**53, F.floor(y).cast("double")).otherwise(y)
+
     finite = F.forall(
-        F.col(vector), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf"))
+        F.col(vector),
+        lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(F.lit(float(scale)) * x.cast("double")) < float("inf")),
     )
-    # |a.b| <= n * max|a| * max|b| < 2**62
-    fits = F.forall(
-        F.col(vector), lambda x: F.abs(x.cast("double")) * float(scale) * F.sqrt(F.size(vector)) < 2.0**31 - 1
-    )
-    return vectors.where(F.col(key).isNotNull() & (F.size(vector) > 0) & finite & fits).select(
-        F.col(key).cast("long").alias("id"), wide.alias("v")
+    return vectors.where(F.col(key).isNotNull() & (F.size(vector) > 0) & finite).select(
+        F.col(key).cast("long").alias("id"), F.transform(vector, whole).alias("v")
     )
 
 
@@ -60,18 +66,35 @@ def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of whole-number rows."""
-    bound = int(np.abs(a).max(initial=0)) * int(np.abs(b).max(initial=0)) * a.shape[1]
-    if bound < 2**24:
+    """Exact inner products of rows of whole numbers given as doubles."""
+    n = a.shape[1]
+    # Powers of two above every component, for bounds that can't overflow.
+    tops = [np.frexp(np.abs(m).max(axis=1, initial=0))[1] for m in (a, b)]
+    room = int(tops[0].max(initial=0)) + int(tops[1].max(initial=0)) + n.bit_length()
+    if room <= 24:
         return (a.astype(np.float32) @ b.astype(np.float32).T).astype(np.int64)
-    if bound < 2**53:
-        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a @ b.T
+    if room <= 53:
+        return (a @ b.T).astype(np.int64)
+    if room <= 62:
+        return a.astype(np.int64) @ b.astype(np.int64).T
+    # Rows of which two always fit, and the rest.
+    small = [t <= (62 - n.bit_length()) // 2 for t in tops]
+    out = np.empty((len(a), len(b)), object)
+    out[np.ix_(*small)] = a[small[0]].astype(np.int64) @ b[small[1]].astype(np.int64).T
+    wide = [np.array([[int(x) for x in row] for row in m], object).reshape(m.shape) for m in (a, b)]
+    out[~small[0]] = wide[0][~small[0]] @ wide[1].T
+    out[np.ix_(small[0], ~small[1])] = wide[0][small[0]] @ wide[1][~small[1]].T
+    return out
 
 
 def _best(scores: np.ndarray, taken: np.ndarray, k: int) -> list[np.ndarray]:
     """For each row, the places of the k largest scores that aren't taken; ties go to the left."""
     n = scores.shape[1]
+    if scores.dtype == object:
+        return [
+            np.array(nsmallest(k, np.flatnonzero(~gone).tolist(), key=lambda p: (-row[p], p)), np.int64)
+            for row, gone in zip(scores, taken)
+        ]
     out = []
     if n > k and np.abs(scores).max(initial=0) < 2**62 // n - 1:
         # Score and place in one number, so that a partial selection settles ties.
@@ -86,6 +109,21 @@ def _best(scores: np.ndarray, taken: np.ndarray, k: int) -> list[np.ndarray]:
     return out
 
 
+#: Scores from here on are told apart by ``_beyond``.
+LARGE = 2**62
+
+
+def _beyond(score: int) -> str:
+    """Empty for scores below ``LARGE``; for others a text that sorts larger scores first."""
+    if abs(score) < LARGE:
+        return ""
+    digits = f"{abs(score):x}"
+    text = f"{len(digits):04x}{digits}"
+    if score < 0:
+        return text
+    return text.translate(str.maketrans("0123456789abcdef", "fedcba9876543210"))
+
+
 def tile_best(queries: pa.Table, candidates: pa.Table, k: int) -> pa.Table:
     """The k best candidates of a tile for each of its queries."""
     found: dict[str, list] = {"query": [], "score": [], "id": []}
@@ -118,8 +156,14 @@ def tile_best(queries: pa.Table, candidates: pa.Table, k: int) -> pa.Table:
                 found["query"].append(np.full(len(s), number))
                 found["score"].append(s)
                 found["id"].append(ids)
+    scores = [int(s) for x in found.pop("score") for s in x]
     joined = {n: np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for n, x in found.items()}
-    return pa.table(joined)
+    return pa.table({
+        **joined,
+        "score": pa.array([min(max(s, -(2**63)), 2**63 - 1) for s in scores], pa.int64()),
+        "minus": pa.array([-min(max(s, -LARGE), LARGE) for s in scores], pa.int64()),
+        "beyond": pa.array([_beyond(s) for s in scores], pa.string()),
+    })
 
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, tile: int = TILE) -> DataFrame:
@@ -143,28 +187,32 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, tile: int = TIL
             shard = right["shard"][0].as_py()
             best = tile_best(left, right.select(["cid", "cv"]).rename_columns(["id", "v"]), k)
         else:
-            shard, best = 0, pa.table({n: pa.array([], pa.int64()) for n in ("query", "score", "id")})
+            numbers = {n: pa.array([], pa.int64()) for n in ("query", "score", "id", "minus")}
+            shard, best = 0, pa.table({**numbers, "beyond": pa.array([], pa.string())})
         ids = dict(zip(left["query"].to_pylist(), left["id"].to_pylist())) if best.num_rows else {}
         named = pa.array([ids[x] for x in best["query"].to_pylist()], pa.int64())
         return pa.table({
             "query_id": named, "query": best["query"], "list": pa.array(np.full(best.num_rows, shard, np.int64)),
-            "score": best["score"], "id": best["id"],
+            "score": best["score"], "id": best["id"], "minus": best["minus"], "beyond": best["beyond"],
         })
 
     lists = (
         q.groupBy("shard", "block").cogroup(c.groupBy("shard", "block"))
-        .applyInArrow(run, "query_id bigint, query bigint, list bigint, score bigint, id bigint")
+        .applyInArrow(
+            run,
+            "query_id bigint, query bigint, list bigint, score bigint, id bigint, minus bigint, beyond string",
+        )
     )
     left = shards
     while True:
         left = -(-left // FAN)
-        entry = F.struct((-F.col("score")).alias("minus"), "id")
+        entry = F.struct("minus", "beyond", "id", "score")
         merged = (
             lists.groupBy("query_id", "query", F.floor(F.col("list") / FAN).alias("list"))
             .agg(F.slice(F.array_sort(F.collect_list(entry)), 1, k).alias("best"))
         )
         lists = merged.select("query_id", "query", "list", F.posexplode("best").alias("place", "x")).select(
-            "query_id", "query", "list", (-F.col("x.minus")).alias("score"), "x.id", "place"
+            "query_id", "query", "list", "x.*", "place"
         )
         if left == 1:
             break

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 
 import numpy as np
@@ -62,6 +63,47 @@ def test_products_are_exact_at_any_size(spark, size):
     assert {tuple(r) for r in topk.topk_query(df).collect()} == expected
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_large_components_stay_and_rank_exactly(spark, kind):
+    draw = random.Random(8)
+    sizes = [1.0, 1e7, 1e18, 1e30] if kind == "float" else [1.0, 1e7, 1e30, 1e200]
+    table = [
+        (i, [float(np.float32(draw.uniform(-1, 1) * draw.choice(sizes[:2 + i % 3]))) if kind == "float"
+             else draw.uniform(-1, 1) * draw.choice(sizes[:2 + i % 3]) for _ in range(6)], 0, 1, "")
+        for i in range(120)
+    ]
+    table += [(200 + i, table[3][1], 0, 1, "") for i in range(5)] + [(0, [1e7] * 6, 0, 1, "")]
+    df = spark.createDataFrame(table, SCHEMA.replace("array<float>", f"array<{kind}>")).repartition(3)
+
+    def whole(x):
+        return math.floor(256 * x) if abs(256 * x) < 2**53 else int(256 * x)
+
+    vectors = [(i, [whole(x) for x in v]) for i, v, *_ in table]
+    expected = []
+    for q, a in vectors:
+        if q % 50 == 0:
+            scored = sorted((-sum(x * y for x, y in zip(a, v)), i) for i, v in vectors if i != q)
+            expected += [
+                (q, rank, i, max(-(2**63), min(2**63 - 1, -s))) for rank, (s, i) in enumerate(scored[:5], 1)
+            ]
+    got = [tuple(r) for r in topk.topk_query(df).collect()]
+    assert sorted(got) == sorted(expected)
+    small = [tuple(r) for r in topk.top_k(
+        topk.quantised(df).where("id % 50 = 0"), topk.quantised(df), 5, tile=7).select("query_id", "rank", "id", "score").collect()]
+    assert sorted(small) == sorted(expected)
+
+
+def test_products_beyond_64_bits():
+    a = np.array([[2.0**100, 1.0], [3.0, 4.0], [2.0**40, -5.0]])
+    b = np.array([[1.0, 2.0], [2.0**100, 2.0**60]])
+    want = [[sum(int(x) * int(y) for x, y in zip(r, c)) for c in b.tolist()] for r in a.tolist()]
+    assert topk._products(a, b).tolist() == want
+    keys = [2**300, 2**299, 2**62 + 1, 2**62]
+    assert [topk._beyond(k) for k in keys] == sorted(topk._beyond(k) for k in keys)
+    assert [topk._beyond(-k) for k in keys[::-1]] == sorted(topk._beyond(-k) for k in keys)
+    assert topk._beyond(5) == topk._beyond(1 - 2**62) == ""
+
+
 def test_selection_where_scores_leave_no_room_for_places():
     scores = np.array([[2**61, -(2**61), 2**61, 5, 2**61]])
     (best,) = topk._best(scores, np.array([[True, False, False, False, False]]), 3)
