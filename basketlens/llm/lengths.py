@@ -9,20 +9,29 @@ document is cut there. Prefix counts answer quantiles.
 The sums are built in two steps, within spans of ``SPAN`` lengths and over the
 spans, so no task holds the whole histogram.
 
-Defined cases: a null or empty text has length 0; repeated rows count as often as
-they occur; an empty table gives an empty histogram; other columns, and ids, are
-not read. Special tokens' strings within a text are ordinary text.
+The vocabulary is sent to the executors with the job, so that only the driver
+needs the folder it lies in.
+
+Defined cases: a null or empty text has length 0; a text of any length is encoded
+whole, and one with very long runs of white space, on which the encoder's own
+cutting fails, is cut around these runs with the same result; repeated rows count
+as often as they occur; an empty table gives an empty histogram, limits of 0 and
+null quantiles; other columns, and ids, are not read. Special tokens' strings
+within a text are ordinary text.
 """
 
 from __future__ import annotations
 
 import base64
 import os
+import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
+import pandas as pd
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -33,6 +42,16 @@ TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
 RANKS = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
 SPAN = 256
 
+#: Context limits and shares of documents that the query answers for.
+LIMITS = (512, 1024, 2048, 4096, 8192, 32_768)
+SHARES = (0.5, 0.9, 0.99, 1.0)
+#: White space in a row from which a text is cut around it; the encoder's stack ends at some 500,000.
+LONG_RUN = 10_000
+
+# Fixed value: white space as the pattern below understands it.
+SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_RUNS = re.compile(f"(?<![{SPACES}])[{SPACES}]{{{LONG_RUN},}}")
+
 # Fixed value: the pattern which cuts a text before byte pairs are merged.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -50,16 +69,46 @@ def encoder(path: str):
 
 
 def encoded_length(text: str | None, path: str = RANKS) -> int:
-    return len(encoder(path).encode_ordinary(text)) if text else 0
+    if not text:
+        return 0
+    encoding = encoder(path)
+    total, at = 0, 0
+    for run in _RUNS.finditer(text):
+        # The pattern leaves a run's last space to what follows.
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        total += len(encoding.encode_ordinary(text[at : run.start()]))
+        total += len(encoding._encode_single_piece(text[run.start() : end]))
+        at = end
+    return total + len(encoding.encode_ordinary(text[at:]))
+
+
+def _shipped(df: DataFrame, ranks: str) -> str:
+    """Send the vocabulary to the executors; the name under which tasks find it."""
+    df.sparkSession.sparkContext.addFile(ranks)
+    return os.path.basename(ranks)
+
+
+def with_lengths(docs: DataFrame, name: str = "n_tokens", text: str = "text", ranks: str = RANKS) -> DataFrame:
+    """``docs`` with the encoded length of every text."""
+    file = _shipped(docs, ranks)
+
+    @F.pandas_udf("bigint")
+    def measured(texts: pd.Series) -> pd.Series:
+        path = SparkFiles.get(file)
+        return pd.Series([encoded_length(t, path) for t in texts], dtype="int64")
+
+    return docs.withColumn(name, measured(F.col(text)))
 
 
 def length_histogram(docs: DataFrame, text: str = "text", ranks: str = RANKS) -> DataFrame:
     """(length, n_docs): how many documents have each encoded length."""
+    file = _shipped(docs, ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path = SparkFiles.get(file)
         counts: Counter[int] = Counter()
         for batch in batches:
-            counts.update(encoded_length(t, ranks) for t in batch.column(0).to_pylist())
+            counts.update(encoded_length(t, path) for t in batch.column(0).to_pylist())
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())],
             names=["length", "n_docs"],
@@ -142,4 +191,13 @@ def quantiles(sums: DataFrame, shares: Sequence[float]) -> DataFrame:
 
 
 def lengths_query(docs: DataFrame) -> DataFrame:
-    return suffix_sums(length_histogram(docs))
+    """The suffix sums at every length that occurs, at the standard limits, and the quantiles.
+
+    ``kind`` is length, limit or quantile; a quantile's line has its share of the
+    documents and its length.
+    """
+    sums = land(suffix_sums(length_histogram(docs)), "suffix-sums")
+    limits = at_limits(sums, LIMITS).withColumnRenamed("limit", "length")
+    result = sums.withColumn("kind", F.lit("length")).withColumn("share", F.lit(None).cast("double"))
+    result = result.unionByName(limits.withColumn("kind", F.lit("limit")), allowMissingColumns=True)
+    return result.unionByName(quantiles(sums, SHARES).withColumn("kind", F.lit("quantile")), allowMissingColumns=True)
