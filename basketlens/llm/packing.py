@@ -12,9 +12,11 @@ The cost of a sequence of n places is ``overhead + n + n * n * quadratic``: a
 fixed share, a linear share, and attention.
 
 Defined cases: a document without tokens (null or empty text, or a null count)
-keeps a row, with piece 0, length 0 and no bin; repeated rows are packed as often
-as they occur; rows with a null id are packed like others; an empty table gives
-an empty result.
+keeps a row, with piece 0, length 0 and no bin; a text of any length, with or
+without spaces, is cut by its tokens; repeated rows are packed as often as they
+occur; rows with a null id are packed like others; pieces of equal length go by id
+(null last) and number; an empty table gives an empty result. Columns but the key
+and the count are not read.
 """
 
 from __future__ import annotations
@@ -27,7 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.tables import word_count
+from basketlens.llm.lengths import with_lengths
+from basketlens.sources.landing import land
 
 #: Permitted sequence lengths.
 CAPACITIES = (512, 1024, 2048, 4096)
@@ -154,5 +157,6 @@ def _groups(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table
 
 
 def packing_query(docs: DataFrame) -> DataFrame:
-    counted = docs.select("doc_id", word_count("text").alias("n_tokens"))
-    return best_fit(counted, "n_tokens")
+    """Documents packed by the tokens that their texts encode to; each text is encoded once."""
+    counted = with_lengths(docs.select("doc_id", "text")).select("doc_id", "n_tokens")
+    return best_fit(land(counted, "token-counts"), "n_tokens")

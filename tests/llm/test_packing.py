@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 
 from basketlens.llm import packing
-from tests.llm.brute import packed, words
+from basketlens.llm.lengths import encoded_length
+from tests.llm.brute import packed
 
 SCHEMA = "doc_id bigint, text string, bin string, capacity int, key string"
 
@@ -44,7 +45,7 @@ def test_every_token_has_one_place(spark):
     draw = random.Random(3)
     texts = [" ".join(["w"] * draw.choice([3, 50, 700, 4096, 9001, 20_000])) for _ in range(60)]
     rows = [(i, t, "x", 1, "k") for i, t in enumerate(texts)]
-    rows += [(90, None, "x", 1, "k"), (91, " ", "x", 1, "k"), (None, "a b", "x", 1, "k"), (None, "a b", "x", 1, "k")]
+    rows += [(90, None, "x", 1, "k"), (91, "", "x", 1, "k"), (None, "a b", "x", 1, "k"), (None, "a b", "x", 1, "k")]
     rows += [(5, texts[5], "x", 1, "k")] * 3
     got = packing.packing_query(spark.createDataFrame(rows, SCHEMA)).collect()
     placed(got)
@@ -53,7 +54,7 @@ def test_every_token_has_one_place(spark):
         held[r.doc_id].append((r.piece, r.start, r.length))
     for i, text in enumerate(texts):
         times = 4 if i == 5 else 1
-        n = len(words(text))
+        n = encoded_length(text)
         expected = [(p, p * 4096, min(4096, n - p * 4096)) for p in range(-(-n // 4096))]
         assert sorted(held[i]) == sorted(expected * times)
     assert held[90] == held[91] == [(0, 0, 0)]
@@ -75,5 +76,26 @@ def test_repeated_row_does_not_fill_one_shard(spark):
     assert len(rows) == 600 and len({r.bin.split("-")[0] for r in rows}) == 6
 
 
+def test_unspaced_text_is_cut(spark):
+    rows = [(1, "中文没有空格" * 9000, "", 0, ""), (2, "x" * 50_000, "", 0, ""), (3, "a" + " " * 600_000 + "b", "", 0, "")]
+    got = packing.packing_query(spark.createDataFrame(rows, SCHEMA)).collect()
+    for doc, text, *_ in rows:
+        lengths = [r.length for r in got if r.doc_id == doc]
+        assert sum(lengths) == encoded_length(text) and max(lengths) == 4096
+
+
+def test_no_bin_holds_more_than_its_length(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = packing.packing_query(docs).collect()
+    held, room = defaultdict(int), {}
+    for r in rows:
+        if r.bin is not None:
+            held[r.bin] += r.length
+            room[r.bin] = r.capacity
+    assert all(held[b] <= room[b] for b in held)
+    assert sum(held.values()) == sum(map(encoded_length, texts.values()))
+
+
 def test_empty_table(spark):
     assert packing.packing_query(spark.createDataFrame([], SCHEMA)).count() == 0
