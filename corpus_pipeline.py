@@ -2,7 +2,10 @@
 
 Each stage takes the session, the documents that the stage before it kept, and the
 folder of the given tables. All but the last return documents with the columns
-they came with.
+they came with. What becomes of nulls, empty and very long texts, ties, repeated
+rows, empty tables and columns of clashing names is said in the module of the
+operator that a stage calls. Tokens are those of the public byte-pair vocabulary
+that ``lengths`` names.
 """
 
 from __future__ import annotations
@@ -10,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import mixing, ngram_join, packing, quality, secrets
-from basketlens.llm.tables import table, word_count
+from basketlens.llm import lengths, mixing, ngram_join, packing, quality, secrets
+from basketlens.llm.tables import table
 from basketlens.sources.landing import land
 
 # A document is taken once at most, so that no copies come back after their removal.
@@ -40,12 +43,11 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents chosen so that domains, languages and sources have their target shares."""
+    """Documents chosen so that domains, languages and sources have their target shares of tokens."""
     names = docs.columns
-    counted = docs.select(
-        *[F.col(f"`{n}`") for n in names],
-        mixing.domain_of(F.col("source")).alias("__domain"), word_count("text").alias("__tokens"),
-    )
+    placed = docs.select(*[F.col(f"`{n}`") for n in names], mixing.domain_of(F.col("source")).alias("__domain"))
+    # Read several times, and the texts are to be encoded once.
+    counted = land(lengths.with_lengths(placed, "__tokens"), "counted")
     levels = ("__domain", "lang", "source")
     weights = {"__domain" if k == "domain" else k: v for k, v in mixing.WEIGHTS.items()}
     chosen = mixing.mix(counted, levels, "__tokens", epochs=MIX_EPOCHS, weights=weights, epoch_name="__epoch")
