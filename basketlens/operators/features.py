@@ -32,6 +32,8 @@ from basketlens.sources.landing import land
 
 #: Values that a sketch of frequent values holds at least.
 SKETCH = 10_000
+#: Values which one task numbers.
+RANGE_VALUES = 200_000
 
 
 @dataclass(frozen=True)
@@ -133,17 +135,19 @@ def value_index(df: DataFrame, column: str) -> DataFrame:
     """The number which label encoding gives each value: 0 for the most frequent.
 
     Ties are numbered by name. The table of values is dealt to ranges of that
-    order and numbered within each; the sizes of the ranges before it give where a
-    range starts. So no task holds all values, however many there are.
+    order, of about ``RANGE_VALUES``, and numbered within each; the sizes of the
+    ranges before it give where a range starts. So no task holds all values, however
+    many there are.
     """
     present = df.select(column).where(F.col(column).isNotNull())
     order = [F.desc("n"), F.asc(column)]
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = land(group_counts(present, column), "value-counts")
+    ranges = -(-counts.count() // RANGE_VALUES)
+    if ranges <= 1:
+        number = (F.row_number().over(Window.orderBy(*order)) - 1).cast("int")
+        return counts.select(column, "n", number.alias("index"))
     dealt = land(
-        group_counts(present, column)
-        .repartitionByRange(ranges, *order)
-        .withColumn("range", F.spark_partition_id()),
-        "value-ranges",
+        counts.repartitionByRange(ranges, *order).withColumn("range", F.spark_partition_id()), "value-ranges"
     )
     # One line for each range.
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)

@@ -306,6 +306,7 @@ def cross_validate(
     units: int | None = BOOTSTRAP_UNITS,
     ranking: str = "log_p",
     feature_models: dict[int, FeatureModel] | None = None,
+    partitions: int = TRAINING_PARTITIONS,
 ) -> DataFrame:
     """Accuracy of every candidate on every fold: ``(model, point, params, fold, accuracy)``.
 
@@ -326,7 +327,7 @@ def cross_validate(
         for name, (estimator, grid) in candidates.items():
             for point, params in enumerate(grid or [{}]):
                 fitted = fit_classifier(
-                    estimator.copy(params), parts.train, parts.features, parts.slicer, units
+                    estimator.copy(params), parts.train, parts.features, parts.slicer, units, partitions
                 )
                 value = accuracy(fitted, parts.test).first()["accuracy"]
                 shown = ", ".join(sorted(f"{p.name}={v}" for p, v in params.items()))
@@ -354,17 +355,19 @@ def leaderboard(
     parallelism: int = 1,
     units: int | None = BOOTSTRAP_UNITS,
     ranking: str = "log_p",
+    partitions: int = TRAINING_PARTITIONS,
 ) -> tuple[DataFrame, dict[str, FittedModel]]:
     """Candidates compared: chosen by cross-validation, reported on the test part.
 
     ``marked`` has a boolean ``held_out`` and a ``fold`` column. Returns ``(model,
-    params, cv_accuracy, test_accuracy, is_best)`` and the refitted models.
+    params, cv_accuracy, test_accuracy, is_best)`` and the refitted models. Training
+    runs in ``partitions`` tasks: more suit ``units=None`` on a large table.
     """
     known = ~F.col("held_out")
     feature_models = fit_feature_models(marked, {**_fold_parts(folds, known), "all": known}, spec)
     train = marked.where("NOT held_out").drop("held_out")
     scores = cross_validate(
-        train, candidates, folds, spec, top, parallelism, units, ranking, feature_models
+        train, candidates, folds, spec, top, parallelism, units, ranking, feature_models, partitions
     )
     # One line per candidate and parameter point.
     lines = average_scores(scores).orderBy(F.desc("cv_accuracy"), "point").collect()
@@ -374,7 +377,7 @@ def leaderboard(
         line = next(r for r in lines if r["model"] == name)
         params = (grid or [{}])[line["point"]]
         fitted[name] = fit_classifier(
-            estimator.copy(params), parts.train, parts.features, parts.slicer, units
+            estimator.copy(params), parts.train, parts.features, parts.slicer, units, partitions
         )
         test = accuracy(fitted[name], parts.test).first()["accuracy"]
         rows.append((name, line["params"], line["cv_accuracy"], test))
@@ -384,3 +387,60 @@ def leaderboard(
         "model string, params string, cv_accuracy double, test_accuracy double, is_best boolean",
     )
     return table, fitted
+
+
+def halving(
+    train: DataFrame,
+    candidates: dict[str, tuple],
+    rungs: int = 4,
+    spec: FeatureSpec = FeatureSpec(),
+    top: int = TOP_FEATURES,
+    parallelism: int = 1,
+    units: int | None = BOOTSTRAP_UNITS,
+    ranking: str = "log_p",
+    partitions: int = TRAINING_PARTITIONS,
+) -> DataFrame:
+    """Search a grid by successive halving: all points on few purchases, the better half on more.
+
+    ``train`` has a ``fold`` column of ``2**(rungs - 1) + 1`` folds, as ``with_fold``
+    gives. Fold 0 scores every fit; rung r trains on ``2**r`` of the others, and the
+    better half of its points goes on, ties to the point that comes first. One pass
+    over the purchases counts the cells of all folds, and every rung reads those.
+    Returns (rung, model, point, params, share, accuracy, is_best): ``share`` is the
+    part of a full fit, so its sum says what the search cost in full fits.
+    """
+    spark = train.sparkSession
+    folds = 2 ** (rungs - 1)
+    learning = F.col("fold").between(1, folds)
+    model = fit_feature_models(train, {"train": learning}, spec)["train"]
+    table = cells(train, model, "fold")
+    slicer = select_slots(table.where(learning), model, top, ranking)
+    scoring = table.where("fold = 0")
+    points = [
+        (name, point, estimator.copy(params), ", ".join(sorted(f"{p.name}={v}" for p, v in params.items())))
+        for name, (estimator, grid) in candidates.items() for point, params in enumerate(grid or [{}])
+    ]
+    rows: list[tuple] = []
+    for rung in range(rungs):
+        part = table.where(F.col("fold").between(1, 2**rung))
+
+        @inheritable_thread_target(spark)
+        def score(candidate: tuple) -> float:
+            fitted = fit_classifier(candidate[2], part, model, slicer, units, partitions)
+            return accuracy(fitted, scoring).first()["accuracy"] or 0.0
+
+        with ThreadPool(max(1, min(parallelism, len(points)))) as pool:
+            values = pool.map(score, points)
+        order = sorted(range(len(points)), key=lambda i: -values[i])
+        best = order[0] if rung == rungs - 1 or len(points) == 1 else None
+        rows += [
+            (rung, name, point, params, 2**rung / folds, values[i], i == best)
+            for i, (name, point, _, params) in enumerate(points)
+        ]
+        if best is not None:
+            break
+        points = [points[i] for i in sorted(order[: -(-len(points) // 2)])]
+    return spark.createDataFrame(
+        rows,
+        "rung int, model string, point int, params string, share double, accuracy double, is_best boolean",
+    )

@@ -218,9 +218,8 @@ SELECT * REPLACE (round(statistic, 6) AS statistic) FROM ({CHI_SQUARE_LINES})"""
 
 # Logarithm of the chi-square tail by a finite sum, and for odd degrees of freedom
 # the complementary error function: by its series near 0, else by its fraction.
-CHI_SELECTED = f"""{CHI_SQUARE_PARTS},
-tested AS ({CHI_SQUARE_LINES}),
-halves AS (
+def _log_p(key: str) -> str:
+    return f"""halves AS (
   SELECT *, statistic / 2 AS h, (dof % 2) / 2.0::DOUBLE AS shift, dof // 2 AS terms FROM tested
 ),
 tails AS (
@@ -230,14 +229,19 @@ tails AS (
   FROM halves WHERE statistic > 0 AND dof > 0
 ),
 logs AS (
-  SELECT slot, least(0, ln(coalesce(sums, 0) + CASE WHEN shift = 0 THEN 0 WHEN z < 2.5 THEN
+  SELECT {key}, least(0, ln(coalesce(sums, 0) + CASE WHEN shift = 0 THEN 0 WHEN z < 2.5 THEN
     1 - 2 / sqrt(pi()) * exp(-z * z) * list_sum(list_transform(range(81),
       lambda k: exp(k * ln(2) + (2 * k + 1) * ln(z) - list_sum(
         list_transform(range(k + 1), lambda j: ln(2 * j + 1)))))) ELSE
     exp(-z * z) / sqrt(pi()) / list_reduce(list_reverse(range(1, 81)),
       lambda acc, k: z + k / 2.0 / acc, z) END)) AS log_p
   FROM tails
-),
+)"""
+
+
+CHI_SELECTED = f"""{CHI_SQUARE_PARTS},
+tested AS ({CHI_SQUARE_LINES}),
+{_log_p("slot")},
 ranked AS (
   SELECT t.slot, feature, source_column, statistic, dof, coalesce(log_p, 0) AS log_p,
     CAST(row_number() OVER (ORDER BY coalesce(log_p, 0), t.slot) AS INTEGER) AS rank
@@ -247,6 +251,28 @@ SELECT slot, feature, source_column, round(statistic, 6) AS statistic, dof,
   round(log_p, 6) AS log_p, round(1 - (1 - exp(log_p)), 9) AS p_value, rank, true AS selected
 FROM ranked WHERE rank <= 10"""
 
+CHI_COLUMNS = f"""{CHI_SQUARE_PARTS},
+margins AS (
+  SELECT *, sum(n) OVER (PARTITION BY source_column, val)::DOUBLE AS r,
+    sum(n) OVER (PARTITION BY source_column, category)::DOUBLE AS c,
+    sum(n) OVER (PARTITION BY source_column)::DOUBLE AS t
+  FROM counted
+),
+tested AS (
+  SELECT source_column, max(t) * (sum(n * n / (r * c)) - 1) AS statistic,
+    CAST((count(DISTINCT val) - 1) * (count(DISTINCT category) - 1) AS INTEGER) AS dof
+  FROM margins GROUP BY 1
+),
+{_log_p("source_column")},
+ranked AS (
+  SELECT source_column, statistic, dof, coalesce(log_p, 0) AS log_p, count(*) OVER () AS m,
+    CAST(row_number() OVER (ORDER BY coalesce(log_p, 0), source_column) AS INTEGER) AS rank
+  FROM tested LEFT JOIN logs USING (source_column)
+)
+SELECT source_column, round(statistic, 6) AS statistic, dof, round(log_p, 6) AS log_p, rank,
+  rank <= coalesce((SELECT max(rank) FROM ranked WHERE log_p <= ln(rank * 0.05::DOUBLE / m)), 0) AS selected
+FROM ranked"""
+
 # The table which models are trained and tested on, under exact cut points of the
 # training part and numbers by frequency in it.
 CELLS = f"""{PURCHASES},
@@ -302,6 +328,54 @@ SELECT category, coalesce((SELECT sum(n) FROM matrix m WHERE m.category = names.
     AS accuracy
 FROM names"""
 
+BASELINE_AUC = f"""{PURCHASES},
+marked AS (
+  SELECT *, substr(md5('42|' || row_id), 1, 8) >= 'b3333333' AS held_out FROM purchases
+),
+known AS (SELECT * FROM marked WHERE NOT held_out),
+names AS (SELECT DISTINCT category FROM known),
+rates AS (
+  SELECT g.gender, g.is_member, names.category, (SELECT count(*) FROM known k WHERE k.gender = g.gender
+      AND k.is_member = g.is_member AND k.category = names.category)
+    / (SELECT count(*) FROM known k WHERE k.gender = g.gender AND k.is_member = g.is_member) AS p
+  FROM (SELECT DISTINCT gender, is_member FROM known) g, names
+),
+rated AS (
+  SELECT r.category, p, count(*) FILTER (m.category = r.category) AS pos,
+    count(*) FILTER (m.category <> r.category) AS neg
+  FROM marked m JOIN rates r USING (gender, is_member) WHERE held_out AND m.category IN (FROM names)
+  GROUP BY 1, 2
+),
+loss AS (
+  SELECT avg(-ln(p)) AS log_loss FROM marked m JOIN rates r USING (gender, is_member, category) WHERE held_out
+)
+SELECT category, sum(pos)::BIGINT AS n,
+  round(sum(pos * (neg / 2 + below)) / (sum(pos) * sum(neg)), 9) AS auc, round(max(log_loss), 9) AS log_loss
+FROM (SELECT *, sum(neg) OVER (PARTITION BY category ORDER BY p) - neg AS below FROM rated), loss GROUP BY 1"""
+
+_RULE = """CASE WHEN {gender} = 'female' AND {age} < 25 THEN 'PROMO'
+  WHEN {is_member} = 'yes' THEN 'STANDARD' ELSE 'MEDIUM' END"""
+
+
+def _shuffled(column: str) -> str:
+    names = {c: f"c.{c}" for c in ("gender", "is_member", "age")} | {column: "m.value"}
+    return f"""SELECT '{column}' AS source_column,
+  sum(CASE WHEN {_RULE.format(**names)} = c.category THEN c.n * m.n ELSE 0 END)::DOUBLE
+    / sum(c.n * m.n)::DOUBLE AS share
+FROM c, (SELECT {column} AS value, sum(n) AS n FROM c GROUP BY 1) m"""
+
+
+RULE_IMPORTANCE = f"""{PURCHASES},
+c AS (SELECT gender, is_member, age, category, count(*) AS n FROM purchases GROUP BY ALL),
+base AS (
+  SELECT avg(CASE WHEN {_RULE.format(gender="gender", is_member="is_member", age="age")} = category
+    THEN 1 ELSE 0 END) AS accuracy FROM purchases
+),
+shuffled AS ({" UNION ALL ".join(map(_shuffled, ("gender", "is_member", "age")))})
+SELECT source_column, round(accuracy, 9) AS accuracy, round(share, 9) AS permuted_accuracy,
+  round(accuracy - share, 9) AS importance
+FROM shuffled, base"""
+
 DENSITY = f"""{PURCHASES},
 s AS (
   SELECT CAST(min(age) AS DOUBLE) AS lo, CAST(max(age) AS DOUBLE) AS hi, count(*) AS total,
@@ -434,6 +508,7 @@ SELECT {BAND} AS age_band, {PIVOT} FROM purchases GROUP BY 1""",
     "insight_report": REPORT,
     "clean_purchases": CLEAN_ROWS,
     "ingest_csv": CLEAN_ROWS,
+    "ingest_mixed_csv": CLEAN_ROWS,
     "clean_counts": CLEAN_COUNTS,
     "landing_counts": CLEAN_COUNTS,
     "rejected_rows": f"""{DIRTY}
@@ -479,5 +554,8 @@ FROM purchases JOIN province_rank USING (province) WHERE r < k - 1""",
     "chi2_features": CHI_SQUARE,
     "chi2_selected": CHI_SELECTED,
     "training_cells": CELLS,
+    "chi2_columns": CHI_COLUMNS,
     "baseline_scores": BASELINE,
+    "baseline_auc": BASELINE_AUC,
+    "rule_importance": RULE_IMPORTANCE,
 }

@@ -16,6 +16,7 @@ from basketlens.operators import (
     models,
     profile,
     quantiles,
+    ranking,
     running,
     selection,
     split,
@@ -23,8 +24,8 @@ from basketlens.operators import (
 from basketlens.plans import report
 from basketlens.plans.purchases import KEY, dirty_purchases, purchases
 from basketlens.schema import AGE_BINS, PRICE_BINS
-from basketlens.sources.csv import read_purchases
-from basketlens.sources.landing import new_path
+from basketlens.sources.csv import read_mixed_purchases, read_purchases
+from basketlens.sources.landing import land, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +59,21 @@ def ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean(read_purchases(spark, path, keep=(KEY,)), keep=(KEY,))
 
 
+def ingest_mixed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from files of two column orders in one folder, with a column more and broken lines."""
+    path = new_path(spark, "csv")
+    dirty = dirty_purchases(spark, sf_dir)
+    first = F.col(KEY) < "8"
+    dirty.where(first).write.option("header", True).csv(path)
+    turned = dirty.select(F.lit("x").alias("note"), *reversed(dirty.columns))
+    turned.where(~first).write.mode("append").option("header", True).csv(path)
+    # A file with a line of too few cells for each category, of which there are a few.
+    names = F.array_sort(F.collect_set("category"))
+    lines = F.concat(F.array(F.lit(",".join(dirty.columns))), F.transform(names, lambda c: F.concat(c, F.lit(",7"))))
+    dirty.agg(F.array_join(lines, "\n").alias("value")).coalesce(1).write.mode("append").text(path)
+    return clean.clean(read_mixed_purchases(spark, path, keep=(KEY,)), keep=(KEY,))
+
+
 def clean_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean(dirty_purchases(spark, sf_dir), keep=(KEY,))
 
@@ -247,6 +263,13 @@ def chi2_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(chosen, 6, "statistic", "log_p", p_value=9)
 
 
+def chi2_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One test for each column, and the columns kept at a false-discovery rate."""
+    rows = purchases(spark, sf_dir)
+    model = features.fit_features(rows, EXACT_LAYOUT)
+    return _rounded(selection.column_tests(features.cells(rows, model), model), 6, "statistic", "log_p")
+
+
 def training_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cells of both parts which models are trained and tested on."""
     spec = features.FeatureSpec(relative_error=0.0)
@@ -285,6 +308,43 @@ def baseline_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(scored, 9, "recall", "precision", "accuracy")
 
 
+def baseline_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranking and log loss of the categories' shares by gender and membership."""
+    parts = models.prepare(_marked(spark, sf_dir), "held_out")
+    rated = land(ranking.base_rates(parts, ["gender_index", "is_member_index"]), "base-rates")
+    lines = ranking.class_auc(rated, parts.features.labels)
+    # The log loss is one row.
+    scored = lines.join(F.broadcast(ranking.log_loss(rated).select("log_loss")), F.lit(True))
+    return _rounded(scored, 9, "auc", "log_loss")
+
+
+def class_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How well the regression's probabilities rank each category."""
+    fitted, test = _fit(spark, sf_dir, models.logistic_regression())
+    rated = land(ranking.probabilities(fitted, test), "probabilities")
+    lines = ranking.class_auc(rated, fitted.features.labels)
+    return lines.join(F.broadcast(ranking.log_loss(rated).select("log_loss")), F.lit(True))
+
+
+def rule_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each column is worth to a fixed rule for the category."""
+    columns = ("gender", "is_member", "age")
+    table = profile.group_counts(purchases(spark, sf_dir), *columns, "category")
+
+    def rule(df: DataFrame) -> DataFrame:
+        young_women = (F.col("gender") == "female") & (F.col("age") < 25)
+        guess = F.when(young_women, "PROMO").when(F.col("is_member") == "yes", "STANDARD").otherwise("MEDIUM")
+        return df.withColumn("prediction", guess)
+
+    found = explain.expected_importance(table, {c: c for c in columns}, rule, "category")
+    return _rounded(found, 9, "accuracy", "permuted_accuracy", "importance")
+
+
+def permutation_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fitted, test = _fit(spark, sf_dir, models.logistic_regression())
+    return explain.permutation_importance(fitted, test)
+
+
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every held-out purchase with the category expected for it."""
     fitted, _ = _fit(spark, sf_dir, models.logistic_regression())
@@ -305,6 +365,13 @@ def model_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table
 
 
+def halving_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight forests searched by successive halving."""
+    rows = purchases(spark, sf_dir).where("split = 'train'").drop("fold")
+    grid = {"random forest": models.forest_grid((10, 20), (2, 4, 6, 8))}
+    return models.halving(split.with_fold(rows, [KEY], 9), grid, parallelism=PARALLEL_FOLDS)
+
+
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     fitted, test = _fit(spark, sf_dir, models.random_forest())
     return explain.feature_importance(fitted, test)
@@ -362,6 +429,7 @@ QUERIES: dict[str, Query] = {
         landing_counts,
         rejected_rows,
         ingest_csv,
+        ingest_mixed_csv,
         label_index,
         province_index,
         hashed_slots,
@@ -374,15 +442,21 @@ QUERIES: dict[str, Query] = {
         feature_matrix,
         chi2_features,
         chi2_selected,
+        chi2_columns,
         training_cells,
         baseline_scores,
+        baseline_auc,
+        rule_importance,
         rf_accuracy,
         lr_accuracy,
         confusion_matrix,
         class_report,
+        class_auc,
+        permutation_importance,
         predictions,
         cv_scores,
         model_leaderboard,
+        halving_scores,
         feature_importance,
         source_importance,
         lr_coefficients,

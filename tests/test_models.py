@@ -265,3 +265,36 @@ def test_folds_share_the_passes_over_the_purchases(planted, monkeypatch):
     candidates = {"regression": (models.logistic_regression(iterations=2), [])}
     models.leaderboard(marked(planted), candidates)
     assert calls == [4]
+
+
+def test_halving_finds_the_winner_of_the_grid_at_less_than_half_the_cost(planted):
+    df = split.with_fold(planted, ["row_id"], 9)
+    grid = models.forest_grid((3,), (1, 2, 3, 5))
+    lines = models.halving(df, {"forest": grid}, rungs=4, parallelism=2).collect()
+    full = 4
+    assert sum(r.share for r in lines) < full / 2
+    assert [sum(r.rung == i for r in lines) for i in range(3)] == [4, 2, 1]
+    (best,) = [r for r in lines if r.is_best]
+    marked = df.withColumn("held_out", F.col("fold") == 0)
+    parts = models.prepare(marked, "held_out")
+    scores = [
+        models.accuracy(
+            models.fit_classifier(grid[0].copy(p), parts.train, parts.features, parts.slicer), parts.test
+        ).first().accuracy
+        for p in grid[1]
+    ]
+    assert scores[best.point] == max(scores)
+
+
+def test_partitions_reach_every_fit(planted, monkeypatch):
+    seen = []
+    plain = models.fit_classifier
+
+    def noted(*args, **options):
+        seen.append(args[5])
+        return plain(*args, **options)
+
+    monkeypatch.setattr(models, "fit_classifier", noted)
+    marked = split.with_fold(planted, ["row_id"], 2).withColumn("held_out", F.col("age") > 60)
+    models.leaderboard(marked, {"lr": (models.logistic_regression(3), [])}, folds=2, partitions=3)
+    assert seen == [3, 3, 3]

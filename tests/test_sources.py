@@ -4,7 +4,7 @@ import pytest
 
 from basketlens.operators import clean, features
 from basketlens.schema import CHINESE_COLUMNS
-from basketlens.sources import landing
+from basketlens.sources import csv, landing
 from basketlens.sources.csv import LEGACY_CHARSETS, read_purchases
 
 HEADER = "编号,单价,年龄,性别,是否会员,商品大类,收货省份"
@@ -119,3 +119,33 @@ def test_shared_warehouse_is_used_when_no_checkpoint_folder_is_set(monkeypatch):
 
     monkeypatch.setattr(Session.conf, "get", staticmethod(get))
     assert landing.shared_folder(Session) == "hdfs://names/warehouse"
+
+
+def test_files_of_other_orders_and_broken_lines(spark, tmp_path):
+    files = {
+        "a.csv": "gender,age,is_member,category,province,unit_price,id\nf,20,yes,food,P1,1.5,1\nm,30,no,toys,P2,2.5,2\n",
+        "b.csv": 'id,note,unit_price,province,category,is_member,age,gender\n3,"x, y",3.5,P3,books,no,40,f\n',
+        "c.csv": "gender,age,is_member,category,province,unit_price,id\nf,20\nf,20,yes,food,P1,1.5,4,more\nm,9,no,toys,P2,4.5,5\n",
+        "empty.csv": "",
+        "header.csv": "age,gender,is_member,category,province,unit_price,id\n",
+    }
+    for name, text in files.items():
+        (tmp_path / name).write_text(text)
+    rows = csv.read_mixed_purchases(spark, str(tmp_path), keep=("id",))
+    good = {(r.id, r.gender, r.age, r.unit_price) for r in rows.collect() if r.corrupt_line is None}
+    assert good == {("1", "f", "20", "1.5"), ("2", "m", "30", "2.5"), ("3", "f", "40", "3.5"), ("5", "m", "9", "4.5")}
+    bad = [r for r in rows.collect() if r.corrupt_line is not None]
+    assert sorted(r.corrupt_line for r in bad) == ["f,20", "f,20,yes,food,P1,1.5,4,more"]
+    assert all(r.id is None and r.gender is None for r in bad)
+    counts = {r.file.rsplit("/", 1)[1]: (r.n_lines, r.n_corrupt) for r in csv.corrupt_counts(rows).collect()}
+    assert counts == {"a.csv": (2, 0), "b.csv": (1, 0), "c.csv": (3, 2)}
+    assert clean.clean(rows, keep=("id",)).count() == 4
+    assert clean.clean_counts(rows).first().rows_in == 6
+
+
+def test_a_file_without_a_column_is_an_error_and_no_files_are_no_rows(spark, tmp_path):
+    (tmp_path / "empty.csv").write_text("")
+    assert csv.read_mixed_purchases(spark, str(tmp_path)).count() == 0
+    (tmp_path / "a.csv").write_text("gender,age\nf,1\n")
+    with pytest.raises(ValueError, match="a.csv has no column is_member"):
+        csv.read_mixed_purchases(spark, str(tmp_path))
