@@ -13,13 +13,20 @@ every task. A second pass renames the files in it to their final names, which ca
 repeated safely, and the manifest of final names comes last: readers go by it, so
 files of lost attempts and of a commit that broke off are never read.
 
-Paths may name any file system that ``pyarrow.fs`` opens.
-
-Defined cases: a null payload is empty; a null url gives no target header; repeated
-rows each give a record, of which, where long enough, one is the response (the
-others refer to its id, which is their own); pages with null ids come first, and
-a response among them is only chosen where all equal payloads have null ids; an
-empty table gives an archive without files.
+Ranges are cut so that shards hold about as many bytes each; a row finds its range
+by bisection, so the cost follows the rows and only the logarithm of the shards.
+
+Paths may be local or name any file system that ``pyarrow.fs`` opens (``file``,
+``hdfs``, ``viewfs``, ``s3``, ``gs``, ``abfs``); ``s3a`` and ``s3n`` are taken as ``s3``, ``dbfs:`` as
+the folder where it is mounted. Other schemes are an error before any work starts.
+
+Defined cases: a null payload is empty, a very long one a record of its own length;
+a null url gives no target header; repeated rows each give a record, of which, where
+long enough, one is the response (the others refer to its id, which is their own);
+pages with null ids come first, and a response among them is only chosen where all
+equal payloads have null ids: the others are then revisits that name no page.
+Records of one id go by digest, then by url. An empty table gives an archive without
+files. Columns but the id, the url and the html are not read.
 """
 
 from __future__ import annotations
@@ -44,6 +51,8 @@ REVISIT_BYTES = 1000
 #: Compressed bytes at which a file is closed, and pages that a shard should hold.
 FILE_BYTES = 64 << 20
 SHARD_ROWS = 8192
+#: Payload bytes that count as much as a row when shards are cut: a shard holds 64 MB at most, but for its last page.
+ROW_BYTES = 8192
 MAX_SHARDS = 65_536
 
 # What the archive states of its making.
@@ -55,7 +64,16 @@ MANIFEST = "file string, shard int, number int, records bigint, bytes bigint, sh
 
 def opened(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path or URI, and the path within it."""
-    return fs.FileSystem.from_uri(path) if ":" in path else (fs.LocalFileSystem(), path)
+    scheme, colon, rest = path.partition(":")
+    if not colon or "/" in scheme:
+        return fs.LocalFileSystem(), path
+    if scheme == "dbfs":
+        return fs.LocalFileSystem(), "/dbfs/" + rest.lstrip("/")
+    if scheme in ("s3a", "s3n"):
+        path = f"s3:{rest}"
+    elif scheme == "file":
+        path = "file:///" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(path)
 
 
 # --- records ---------------------------------------------------------------
@@ -73,13 +91,18 @@ def _base32(digest: bytes) -> str:
     return "sha1:" + base64.b32encode(digest).decode()
 
 
-def record(page_id, url: str | None, payload: bytes, refers_to, copy: int = 0) -> bytes:
-    """A response, or a revisit if ``refers_to`` is given: headers anew, payload as it is."""
+def record(
+    page_id, url: str | None, payload: bytes, refers_to=None, copy: int = 0, revisit: bool | None = None
+) -> bytes:
+    """A response, or a revisit: headers anew, payload as it is.
+
+    It is a revisit if ``refers_to`` is given, or ``revisit`` says so of a page without id.
+    """
     digest = hashlib.sha1(payload).digest()
     http = _block(
         [("Content-Type", "text/html; charset=utf-8"), ("Content-Length", str(len(payload)))], "HTTP/1.1 200 OK"
     )
-    revisit = refers_to is not None
+    revisit = refers_to is not None if revisit is None else revisit
     content = http if revisit else http + payload
     head = [
         ("WARC-Type", "revisit" if revisit else "response"),
@@ -93,8 +116,8 @@ def record(page_id, url: str | None, payload: bytes, refers_to, copy: int = 0) -
         head += [
             ("WARC-Profile", REVISIT_PROFILE),
             ("WARC-Refers-To", record_id(refers_to, digest.hex(), 0)),
-            ("Refers-To-Page", str(refers_to)),
         ]
+        head += [("Refers-To-Page", str(refers_to))] if refers_to is not None else []
     if page_id is not None:
         head.append(("Page", str(page_id)))
     head += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(content)))]
@@ -135,40 +158,60 @@ def revisits(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
 
 
 def _edges(pages: DataFrame, shards: int) -> list:
-    """Ids that part the pages into shards of about equal numbers of rows."""
+    """Ids that part the pages into shards of about equal weight, a row's being 1 and one for every ``ROW_BYTES``."""
     marks = [i / shards for i in range(1, shards)]
     if not marks:
         return []
-    found = pages.agg(F.percentile_approx("key", marks, max(10_000, 20 * shards)).alias("m")).first().m
+    units = pages.select("key", F.explode(F.sequence(F.lit(0), F.floor(F.col("size") / ROW_BYTES).cast("int"))))
+    found = units.agg(F.percentile_approx("key", marks, max(10_000, 20 * shards)).alias("m")).first().m
     return sorted(set(found or []))
 
 
+def _place(edges: list, key: Column) -> Column:
+    """How many of the rising ``edges`` are at most ``key``, by bisection; 0 for null."""
+    if not edges:
+        return F.lit(0)
+    limits = F.lit(edges)
+
+    def halve(s: Column, _: Column) -> Column:
+        middle = F.shiftright(s["low"] + s["high"], 1)
+        behind = F.struct((middle + 1).alias("low"), s["high"].alias("high"))
+        before = F.struct(s["low"].alias("low"), middle.alias("high"))
+        step = F.when(F.element_at(limits, middle + 1) <= key, behind).otherwise(before)
+        return F.when(s["low"] < s["high"], step).otherwise(s)
+
+    start = F.struct(F.lit(0).alias("low"), F.lit(len(edges)).alias("high"))
+    steps = F.array(*[F.lit(i) for i in range(len(edges).bit_length())])
+    return F.aggregate(steps, start, halve, lambda s: s["low"])
+
+
 def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url", html: str = "html",
           file_bytes: int = FILE_BYTES, shard_rows: int = SHARD_ROWS, least: int = REVISIT_BYTES) -> DataFrame:
     """Write an archive into ``folder``; its manifest, which is also written there."""
     spark = pages.sparkSession
+    opened(folder)
     payload = F.encode(F.coalesce(F.col(html), F.lit("")), "UTF-8")
     rows = pages.select(F.col(key).cast("long").alias("key"), F.col(url).alias("url"), payload.alias("payload"))
     narrow = land(rows.select("key", F.sha1("payload").alias("digest"), F.length("payload").alias("size")), "digests")
-    n = narrow.count()
-    shards = max(1, min(MAX_SHARDS, -(-n // shard_rows)))
+    weight = narrow.agg(F.sum(F.floor(F.col("size") / ROW_BYTES) + 1)).first()[0] or 0
+    shards = max(1, min(MAX_SHARDS, -(-weight // shard_rows)))
     edges = _edges(narrow, shards)
 
-    def place(column: str) -> Column:
-        return F.size(F.filter(F.lit(edges), lambda e: e <= F.col(column))) if edges else F.lit(0)
+    def place() -> Column:
+        return _place(edges, F.col("key")).alias("shard")
 
-    # Links travel with the pages, and come before them in the order of ids.
+    # Links travel with the pages, and come before those of their id and digest.
     links = revisits(narrow, least).select("key", "digest", "refers_to")
     nothing = F.lit(None)
     together = rows.select(
-        place("key").alias("shard"), "key", F.lit(1).alias("kind"), "url", "payload",
-        nothing.cast("string").alias("digest"), nothing.cast("long").alias("refers_to"),
+        place(), "key", F.lit(1).alias("kind"), "url", "payload",
+        F.sha1("payload").alias("digest"), nothing.cast("long").alias("refers_to"),
     ).unionByName(links.select(
-        place("key").alias("shard"), "key", F.lit(0).alias("kind"), nothing.cast("string").alias("url"),
+        place(), "key", F.lit(0).alias("kind"), nothing.cast("string").alias("url"),
         nothing.cast("binary").alias("payload"), "digest", "refers_to",
     ))
     # One shard to a task, which a hash of the shard's number would not give.
-    ordered = together.repartitionById(shards, "shard").sortWithinPartitions("shard", "key", "kind", "url", F.sha1("payload"))
+    ordered = together.repartitionById(shards, "shard").sortWithinPartitions("shard", "key", "digest", "kind", "url")
     temporary = f"{folder}/_temporary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,29 +248,26 @@ def _write_shards(batches: Iterator[pa.RecordBatch], target: str, file_bytes: in
         )
         put(compressed(info(name)))
 
-    at, links, seen = object(), {}, {}
+    at, link, copy = None, None, 0
     for batch in batches:
         columns = [batch.column(n) for n in ("shard", "key", "kind", "url", "payload", "digest", "refers_to")]
         for i in range(batch.num_rows):
             shard, key, kind, url, payload, digest, refers_to = (c[i].as_py() for c in columns)
-            if key != at:
-                at, links, seen = key, {}, {}
+            if (key, digest) != at:
+                at, link, copy = (key, digest), None, 0
             if kind == 0:
-                links[digest] = refers_to
+                link = (refers_to,)
                 continue
-            name = hashlib.sha1(payload).hexdigest()
-            copy = seen[name] = seen.get(name, -1) + 1
-            target_id = links.get(name)
             # The response is the first record of the id that the others refer to.
-            if target_id is not None and target_id == key and copy == 0:
-                target_id = None
+            revisit = link is not None and (link[0] != key or copy > 0)
             if not state.get("out") or state["shard"] != shard:
                 close()
                 open_file(shard, 0)
             elif state["bytes"] >= file_bytes:
                 close()
                 open_file(shard, state["number"] + 1)
-            put(compressed(record(key, url, payload, target_id, copy)))
+            put(compressed(record(key, url, payload, link[0] if revisit else None, copy, revisit)))
+            copy += 1
     close()
     names = ("file", "shard", "number", "records", "bytes", "sha256")
     types = (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string())
@@ -355,7 +395,7 @@ WARC_SQL = f"""
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
 d AS (SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha1(b) AS payload_digest FROM p),
 m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS target,
-  payload_bytes >= {REVISIT_BYTES} AS long FROM d)
-SELECT page_id, payload_bytes, payload_digest,
-  CASE WHEN long AND page_id <> target THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN long AND page_id <> target THEN target END AS refers_to FROM m"""
+  payload_bytes >= {REVISIT_BYTES} AND row_number() OVER (
+    PARTITION BY payload_digest ORDER BY page_id DESC NULLS LAST) > 1 AS again FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN again THEN target END AS refers_to FROM m"""
