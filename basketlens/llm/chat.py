@@ -9,8 +9,8 @@ concatenation of its segments in order, which ``read_back`` takes apart again in
 one pass over sorted rows, without holding a conversation.
 
 Control strings all start with ``<|``. Inside texts and roles a backslash is
-doubled and ``<|`` becomes ``<\\|``, which is reversible and leaves no control
-string.
+doubled and ``<|`` becomes ``<\\|``, and a line end in a role a backslash and ``n``,
+which is reversible and leaves no control string.
 
 Defined cases: null text counts as empty, null role as an empty role, null or
 empty content as no parts. A part of unknown type gets the placeholder of a
@@ -49,11 +49,16 @@ def escape(text: str) -> str:
     return text.replace("\\", "\\\\").replace("<|", "<\\|")
 
 
+def escape_role(role: str) -> str:
+    return escape(role).replace(NEWLINE, "\\n")
+
+
 _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
 
 
 def unescape(text: str) -> str:
-    return _ESCAPED.sub(r"\1", text)
+    # Backslashes of a text are doubled, so only a role's line end is a backslash and n.
+    return _ESCAPED.sub(lambda m: NEWLINE if m[1] == "n" else m[1], text)
 
 
 class Visitor:
@@ -119,7 +124,7 @@ def format_messages(messages: DataFrame, visitor: Visitor | None = None) -> Data
             out = {k: [] for k in ("segment", "loss_start", "loss_end", "n_tokens", "attachments")}
             for role, content in zip(columns["role"], columns["content"]):
                 flat, tokens, attachments = visitor.visit(content)
-                head = f"{START}{escape(role or '')}{NEWLINE}"
+                head = f"{START}{escape_role(role or '')}{NEWLINE}"
                 trained = role == TRAINED_ROLE
                 out["segment"].append(f"{head}{flat}{END}{NEWLINE}")
                 out["loss_start"].append(len(head) if trained else 0)
@@ -276,7 +281,7 @@ CHAT_SQL = f"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '{PROBE}' UNION ALL SELECT -1, 1, 'assistant', '{PROBE}'),
-s AS (SELECT *, '{START}' || {_ESCAPED_SQL.format("role")} || chr(10)
+s AS (SELECT *, '{START}' || replace({_ESCAPED_SQL.format("role")}, chr(10), '\\n') || chr(10)
   || {_ESCAPED_SQL.format("text")} || '{END}' || chr(10) AS segment FROM c)
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, segment)) AS turns_sha256,

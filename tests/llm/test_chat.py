@@ -36,6 +36,9 @@ def test_escaping_is_reversible_and_leaves_no_control_string(a, b):
         assert "<|" not in chat.escape(text)
     segment = f"{chat.START}{chat.escape('user')}\n{chat.escape(b)}{chat.END}\n"
     assert chat.parse(segment * 2) == [("user", b)] * 2
+    for role in (a, b, "a\nb", "\\n\n\\"):
+        segment = f"{chat.START}{chat.escape_role(role)}\n{chat.escape(b)}{chat.END}\n"
+        assert chat.parse(segment * 2) == [(role, b)] * 2
 
 
 def test_parts_become_placeholders_in_order(spark):
