@@ -1,10 +1,14 @@
 """Quality scores by votes of nearest labelled neighbours.
 
-A text is described by how often each triple of neighbouring character classes
-(small or capital letter, digit, each common mark, and so on) occurs in it, and
-by how many of its words repeat the word before or an earlier one; logarithms of
-the counts are scaled to length 1. The latent-semantic vectors are these
-descriptions projected on the leading singular vectors of the labelled sample.
+A text is described by its words and by its shape. Words, in lower case, are
+counted in ``TERMS`` buckets of a hash, and the logarithms of the counts weighted
+by how rare the bucket is among the labelled texts. The shape is how often each
+triple of neighbouring character classes (small or capital letter, digit, each
+common mark, and so on) occurs, and how many words repeat the word before or an
+earlier one, as logarithms. Both are scaled to length 1, the words then to
+``TERM_WEIGHT`` times that, as shape tells these corpora's junk best. The latent-semantic
+vectors are these descriptions projected on the leading singular vectors of the
+labelled sample.
 The labelled vectors, ``SAMPLE`` times ``DIMENSIONS`` numbers at most, are
 broadcast; every document's cosine to all of them is computed in blocks, and the
 ``NEIGHBOURS`` nearest vote with their similarity as weight.
@@ -14,16 +18,19 @@ sample takes those with the lowest hash of their key, however large the table
 is. No label, language, source or key is an input of a score.
 
 Defined cases: a null text counts as empty, and empty texts are scored like
-others, all alike; a null or other label than 0 and 1 is no label; a document
+others, all alike; a text of any length is described whole; a null or other label than 0 and 1 is no label; a document
 labelled twice alike counts once, and labelled both ways with both; with no labelled text at all every score is 0.5;
 equally near neighbours are taken in the order of their keys' hash; repeated rows
-and rows with a null id (not held out) each keep a row.
+and rows with a null id (not held out) each keep a row; an empty table gives no
+rows. Other columns pass through, and one called as the score gives way to it.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -47,7 +54,11 @@ BLOCK = 512
 _MARKS = b" \n.,!|*#$%&"
 _CLASSES = 16
 _TRIPLES = _CLASSES**3
-WIDTH = _TRIPLES + 2
+_SHAPE = _TRIPLES + 2
+#: Buckets of the words, and how long their part of a description is against the shape's.
+TERMS = 2048
+TERM_WEIGHT = 0.5
+WIDTH = _SHAPE + TERMS
 
 _CLASS = np.full(256, _CLASSES - 1, np.uint8)
 _CLASS[ord("a") : ord("z") + 1] = 0
@@ -65,30 +76,48 @@ def _triples(text: str) -> np.ndarray:
     return np.bincount(codes, minlength=_TRIPLES)
 
 
-def describe(texts: list[str]) -> np.ndarray:
-    """A row of unit length for each text."""
+def counted(texts: list[str]) -> np.ndarray:
+    """A row of logarithms of counts for each text: shape first, then words."""
     out = np.zeros((len(texts), WIDTH), np.float32)
     for i, text in enumerate(texts):
         out[i, :_TRIPLES] = _triples(text)
         words = text.split()
         out[i, _TRIPLES] = sum(map(str.__eq__, words, words[1:])) if len(words) > 1 else 0
         out[i, _TRIPLES + 1] = len(words) - len(set(words))
+        for word, n in Counter(text.lower().split()).items():
+            out[i, _SHAPE + crc32(word.encode("utf-8", "replace")) % TERMS] += n
     np.log1p(out, out=out)
     # What repeats shows against the number of words, which the triples' counts follow.
-    out[:, _TRIPLES:] *= 2
+    out[:, _TRIPLES:_SHAPE] *= 2
+    return out
+
+
+def rarity(rows: np.ndarray) -> np.ndarray:
+    """The weight of each bucket of words, from the counts of the labelled texts."""
+    holding = (rows[:, _SHAPE:] > 0).sum(0)
+    return np.log((1.0 + len(rows)) / (1.0 + holding)).astype(np.float32)
+
+
+def scaled(rows: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Descriptions of counts: the two parts scaled, and the whole to length 1."""
+    out = rows.copy()
+    out[:, _SHAPE:] *= idf
+    for part, size in ((slice(0, _SHAPE), 1.0), (slice(_SHAPE, WIDTH), TERM_WEIGHT)):
+        out[:, part] *= size / np.maximum(np.linalg.norm(out[:, part], axis=1, keepdims=True), 1e-9)
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
 
 @dataclass(frozen=True)
 class Model:
-    """Projection, labelled latent vectors of unit length, and their labels."""
+    """Weights of words, projection, labelled latent vectors of unit length, and their labels."""
 
+    idf: np.ndarray
     projection: np.ndarray
     vectors: np.ndarray
     labels: np.ndarray
 
     def latent(self, texts: list[str]) -> np.ndarray:
-        z = describe(texts) @ self.projection
+        z = scaled(counted(texts), self.idf) @ self.projection
         return z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
 
     def score(self, texts: list[str], neighbours: int = NEIGHBOURS) -> np.ndarray:
@@ -139,7 +168,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "
         for b in batches:
             for at in range(0, len(b), 256):
                 part = b.iloc[at : at + 256]
-                rows = describe(part["text"].tolist())
+                rows = counted(part["text"].tolist())
                 places = [np.flatnonzero(r).astype(np.uint16) for r in rows]
                 yield pd.DataFrame({
                     "h": part["h"], "k": part["k"], "label": part["label"],
@@ -152,12 +181,15 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "
     rows = one.mapInPandas(described, schema).toPandas()
     rows = rows.sort_values(["h", "k", "label"], kind="stable")
     if not len(rows):
-        return Model(np.zeros((WIDTH, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0))
-    places = [np.frombuffer(p, np.uint16) for p in rows["places"]]
-    used = np.unique(np.concatenate(places))
-    x = np.zeros((len(rows), len(used)), np.float32)
-    for row, at, values in zip(x, places, rows["values"]):
-        row[np.searchsorted(used, at)] = np.frombuffer(values, np.float32)
+        nothing = np.zeros((WIDTH, 1), np.float32)
+        return Model(np.zeros(TERMS, np.float32), nothing, np.zeros((0, 1), np.float32), np.zeros(0))
+    counts = np.zeros((len(rows), WIDTH), np.float32)
+    for row, at, values in zip(counts, rows["places"], rows["values"]):
+        row[np.frombuffer(at, np.uint16)] = np.frombuffer(values, np.float32)
+    idf = rarity(counts)
+    x = scaled(counts, idf)
+    used = np.flatnonzero(x.any(axis=0))
+    x = x[:, used]
     # Right singular vectors of the sample, from the products of its columns.
     gram = x.T @ x
     _, vectors = np.linalg.eigh(gram.astype(np.float64))
@@ -165,7 +197,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "
     projection[used] = vectors[:, ::-1][:, :DIMENSIONS]
     z = x @ projection[used]
     z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
-    return Model(projection, z.astype(np.float32), rows["label"].to_numpy(np.float64))
+    return Model(idf, projection, z.astype(np.float32), rows["label"].to_numpy(np.float64))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -101,3 +102,51 @@ def test_odd_rows_and_tables(spark):
     assert {(r.score, r.predicted) for r in none} == {(0.5, 1)}
     assert quality.quality_query(docs.limit(0), known).count() == 0
     assert docs.select(quality.held_out().alias("h")).where(F.col("h").isNull()).count() == 0
+
+
+def test_descriptions_equal_a_plain_computation():
+    texts = ["The cat sat. The cat!", "a dog, 12 dogs", "", "cat cat CAT"]
+    rows = quality.counted(texts)
+    idf = quality.rarity(rows)
+    for text, row, full in zip(texts, rows, quality.scaled(rows, idf)):
+        counts = {}
+        for w in text.lower().split():
+            b = zlib.crc32(w.encode()) % quality.TERMS
+            counts[b] = counts.get(b, 0) + 1
+        held = {b: sum(any(zlib.crc32(w.encode()) % quality.TERMS == b for w in t.lower().split()) for t in texts) for b in counts}
+        words = {b: math.log1p(n) * math.log(5 / (1 + held[b])) for b, n in counts.items()}
+        size = math.sqrt(sum(x * x for x in words.values())) or 1.0
+        shape = row[: quality._SHAPE] / np.linalg.norm(row[: quality._SHAPE])
+        whole = math.sqrt(1 + (quality.TERM_WEIGHT**2 if any(words.values()) else 0))
+        assert np.allclose(full[: quality._SHAPE], shape / whole, atol=1e-5)
+        for b, x in words.items():
+            assert full[quality._SHAPE + b] == pytest.approx(x / size * quality.TERM_WEIGHT / whole, abs=1e-5)
+        assert np.count_nonzero(full[quality._SHAPE:]) <= len(words)
+
+
+def test_projection_holds_the_leading_singular_vectors(spark):
+    rows, labels = made()
+    docs = spark.createDataFrame(rows, SCHEMA)
+    model = quality.fit(docs, spark.createDataFrame(labels, LABELS))
+    learnt = [t for (i, t, *_) in rows if zlib.crc32(str(i).encode()) % 5]
+    x = quality.scaled(quality.counted(learnt), model.idf).astype(float)
+    assert np.allclose(model.idf, quality.rarity(quality.counted(learnt)), atol=1e-6)
+    _, values, right = np.linalg.svd(x, full_matrices=False)
+    # The same space, whatever the signs and the order of equal values.
+    k = 4
+    assert values[k - 1] > values[k] * 1.0001
+    mine = model.projection[:, :k].astype(float)
+    assert np.allclose(mine @ mine.T, right[:k].T @ right[:k], atol=1e-3)
+
+
+def test_words_tell_texts_of_one_shape_apart(spark):
+    rows, labels = made()
+    extra = [(1000 + i, f"{a} of the {b} saw my {c}. " * 30, 0, "", 0) for i, (a, b, c) in enumerate(
+        [("king", "town", "dogs"), ("boat", "lake", "fish"), ("road", "hill", "cart"), ("song", "hall", "drum")] * 6)]
+    more = [(1000 + i, i % 4 // 2, 0, "x") for i in range(24)]
+    docs = spark.createDataFrame(rows + extra, SCHEMA)
+    model = quality.fit(docs, spark.createDataFrame(labels + more, LABELS))
+    a, b, c = model.latent([extra[0][1], extra[2][1], extra[0][1] * 2])
+    assert a @ b < 0.95 and a @ c > 0.97
+    scores = model.score([extra[0][1], extra[2][1]])
+    assert scores[0] < 0.3 < 0.6 < scores[1]
