@@ -1,28 +1,34 @@
 """Document fingerprints: a homomorphic hash of the multiset of paragraphs.
 
-Every paragraph is cut into pieces of ``PIECE_WORDS`` words, counted from its
+Every paragraph, which is what stands between line ends, is hashed as a whole to a
+wide vector of ``PARAGRAPH_LANES`` lanes of 32 bits, and these vectors are added
+modulo 2**32. Equal sums tell equal multisets of paragraphs, up to chance.
+
+For the likeness of texts that differ, a sketch goes with it. Every paragraph is cut into pieces of ``PIECE_WORDS`` words, counted from its
 start, so that a change at its end leaves the earlier pieces alone. A piece is
 hashed to a wide vector of ``LANES`` bits, and the vectors of all pieces are added
 lane by lane. A 64-bit sum holds two lanes, ``SUM_BITS`` apart, so that both counts
 are exact for under 2**31 pieces, which no single text exceeds. A vector is the
-number of pieces followed by the sums.
+number of pieces, followed by the sums of pieces and the lanes of paragraphs.
 
 Written, the vector of at most 16,383 pieces takes three lanes to a word,
-``LANE_BITS`` apart, and that of more pieces takes its sums as they are; ``read``
-gives the same vector back from either.
+``LANE_BITS`` apart, and that of more pieces takes its sums as they are; two lanes
+of paragraphs take a word. ``read`` gives the same vector back from either.
 
-The sum does not depend on the order of paragraphs. Adding or taking away the
+The sums do not depend on the order of paragraphs. Adding or taking away the
 fingerprint of some paragraphs gives that of the longer or shorter text, without
 reading the rest (``combine``). Equal texts have equal fingerprints; texts with
-other pieces have other fingerprints up to chance, about 2**-LANES for a pair.
+other paragraphs have other fingerprints up to chance, about 2**-256 for a pair.
 
 A bit stands for +1 or -1, so the scalar product of two fingerprints estimates
 in how many pieces the texts agree: their likeness is the cosine, from 0 to 1,
 with a standard error near 1/sqrt(LANES).
 
-Defined cases: a null text counts as empty; an empty text has the fingerprint of
+Defined cases: a null text counts as empty; line ends in a row, and at the ends of a
+text, make no paragraph; a text of any length is read whole; an empty text has the fingerprint of
 nothing, like 1 to another such text and 0 to every other; repeated rows each
-give a row of their own; rows with a null id come last in the order of ids.
+give a row of their own; rows with a null id come last in the order of ids; an
+empty table gives no rows. Columns but the key and the text are not read.
 """
 
 from __future__ import annotations
@@ -45,6 +51,9 @@ LANES = 3 * WORDS
 SUM_BITS = 31
 SUMS_OF_HASH = LANES // HASHES // 2
 SUMS = HASHES * SUMS_OF_HASH
+#: Each 64-bit hash of a paragraph gives two lanes.
+PARAGRAPH_HASHES = 4
+PARAGRAPH_LANES = 2 * PARAGRAPH_HASHES
 #: Documents that one slice of the id order should hold, and the slices' ranges.
 SLICE_ROWS = 1000
 RANGES = 512
@@ -54,6 +63,9 @@ _LOWEST_BITS = 1 | 1 << SUM_BITS
 _LOW_LANES = (1 << SUMS_OF_HASH) - 1
 _RANGE = 1 << LANE_BITS
 _SUM_RANGE = 1 << SUM_BITS
+_LANE = (1 << 32) - 1
+# Set apart the hashes of paragraphs from those of pieces.
+_PARAGRAPH_SEED = 100
 
 
 def pieces(text: Column) -> Column:
@@ -63,6 +75,27 @@ def pieces(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
+def paragraph_lanes(text: Column) -> Column:
+    """The sum of the hash vectors of a text's paragraphs, modulo 2**32 in each lane."""
+
+    def hashed(p: Column) -> Column:
+        whole_hashes = [F.xxhash64(F.lit(_PARAGRAPH_SEED + k), p) for k in range(PARAGRAPH_HASHES)]
+        return F.array(*[F.shiftrightunsigned(h, b).bitwiseAND(F.lit(_LANE)) for h in whole_hashes for b in (0, 32)])
+
+    found = F.regexp_extract_all(text, F.lit(r"[^\n\r]+"), F.lit(0))
+    none = F.array(*[F.lit(0).cast("long")] * PARAGRAPH_LANES)
+    return F.aggregate(found, none, lambda acc, p: _added(acc, hashed(p)))
+
+
+def _added(a: Column, b: Column, sign: int = 1) -> Column:
+    return F.zip_with(a, b, lambda x, y: (x + sign * y).bitwiseAND(F.lit(_LANE)))
+
+
+def _tail(vector: Column) -> Column:
+    """A vector's lanes of paragraphs."""
+    return F.slice(vector, SUMS + 2, PARAGRAPH_LANES)
+
+
 def _vector_sums(piece: Column, sign: Column) -> list[Column]:
     """For each hash and k below 21: its bit k, with bit k + 21 in the upper half, summed over the pieces."""
     hashes = [F.xxhash64(F.lit(k), piece) for k in range(HASHES)]
@@ -114,7 +147,8 @@ def with_likeness(rows: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFra
 
 def combine(a: Column, b: Column, sign: int = 1) -> Column:
     """The vector after inserting (1) or deleting (-1) the paragraphs that ``b`` stands for."""
-    return F.zip_with(a, b, lambda x, y: x + sign * y)
+    counts = F.zip_with(F.slice(a, 1, SUMS + 1), F.slice(b, 1, SUMS + 1), lambda x, y: x + sign * y)
+    return F.concat(counts, _added(_tail(a), _tail(b), sign))
 
 
 def _packed(vector: Column) -> Column:
@@ -148,7 +182,10 @@ def _unpacked(words: Column) -> Column:
 def written(vector: Column) -> Column:
     """A vector as hexadecimal text, 16 characters for each word, packed where the counts fit."""
     fits = F.element_at(vector, 1).between(0, _RANGE - 1)
-    words = F.when(fits, _packed(vector)).otherwise(vector)
+    words = F.when(fits, _packed(vector)).otherwise(F.slice(vector, 1, SUMS + 1))
+    lanes_of = [F.element_at(vector, SUMS + 2 + i) for i in range(PARAGRAPH_LANES)]
+    pairs = [F.shiftleft(b, 32).bitwiseOR(a) for a, b in zip(lanes_of[::2], lanes_of[1::2])]
+    words = F.concat(words, F.array(*pairs))
     return F.array_join(F.transform(words, lambda w: F.lpad(F.hex(w), 16, "0")), "")
 
 
@@ -163,16 +200,38 @@ def read(text: Column) -> Column:
         F.sequence(F.lit(0), last),
         lambda i: F.shiftleft(half(16 * i + 1), 32).bitwiseOR(half(16 * i + 9)),
     )
+
+    def vector(w: Column) -> Column:
+        counts = F.slice(w, F.lit(1), F.size(w) - PARAGRAPH_HASHES)
+        pairs = F.slice(w, -PARAGRAPH_HASHES, PARAGRAPH_HASHES)
+        apart = F.transform(pairs, lambda x: F.array(x.bitwiseAND(F.lit(_LANE)), F.shiftrightunsigned(x, 32)))
+        packed = F.size(w) == WORDS + 1 + PARAGRAPH_HASHES
+        return F.concat(F.when(packed, _unpacked(counts)).otherwise(counts), F.flatten(apart))
+
     # Within a function, so that the words are read once.
-    vectors = F.transform(F.array(words), lambda w: F.when(F.size(w) == WORDS + 1, _unpacked(w)).otherwise(w))
-    return F.element_at(vectors, 1)
+    return F.element_at(F.transform(F.array(words), vector), 1)
+
+
+def _parts(text: Column, part: int = 0) -> Column:
+    """A text's pieces, and once, without a piece, the lanes of its paragraphs."""
+    lanes_type = "array<bigint>"
+    cut = F.transform(pieces(text), lambda p: F.struct(
+        F.lit(part).alias("part"), p.alias("piece"), F.lit(None).cast(lanes_type).alias("paragraphs")
+    ))
+    once = F.struct(
+        F.lit(part).alias("part"), F.lit(None).cast("string").alias("piece"),
+        paragraph_lanes(text).alias("paragraphs"),
+    )
+    return F.array_append(cut, once)
 
 
 def _summed(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys`` and the ``vector`` of all their pieces; a null piece adds nothing."""
+    """``keys`` and the ``vector`` of all their pieces and paragraphs; see ``_parts``."""
     piece = F.coalesce("piece", F.lit(""))
     sign = F.when(F.col("piece").isNotNull(), 1).otherwise(0).cast("long")
-    sums = [F.sum(sign), *_vector_sums(piece, sign)]
+    none = F.lit(0).cast("long")
+    lane_sums = [F.sum(F.coalesce(F.element_at("paragraphs", i + 1), none)) for i in range(PARAGRAPH_LANES)]
+    sums = [F.sum(sign), *_vector_sums(piece, sign), *[s.bitwiseAND(F.lit(_LANE)) for s in lane_sums]]
     named = [s.alias(f"v{i}") for i, s in enumerate(sums)]
     vector = F.array(*[F.col(f"v{i}") for i in range(len(sums))]).alias("vector")
     return rows.groupBy(*keys).agg(*named).select(*keys, vector)
@@ -184,8 +243,7 @@ def fingerprint(docs: DataFrame, keys: list[str], text: str = "text") -> DataFra
     The pieces are summed before they are shuffled, so a hot key costs one row
     from each task.
     """
-    rows = docs.select(*keys, F.explode_outer(pieces(whole(text))).alias("piece"))
-    return _summed(rows, keys)
+    return _summed(docs.select(*keys, F.inline(_parts(whole(text)))), keys)
 
 
 def _slices(docs: DataFrame, key: str) -> tuple[Column, Column, Column]:
@@ -234,10 +292,6 @@ def _slices(docs: DataFrame, key: str) -> tuple[Column, Column, Column]:
     return number, looked_up(before).cast("int"), top
 
 
-def _marked(part: int):
-    return lambda p: F.struct(F.lit(part).alias("part"), p.alias("piece"))
-
-
 def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Fingerprints of every text, of its edited text, and of the next document.
 
@@ -271,19 +325,12 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text"
     )
     changed = near.select(
         "slice", "row", "guest", "key", "text", n.cast("long").alias("n_chars"), edited.alias("edited")
-    )
-    # Each text also gives a null piece, so that empty ones keep their row.
-    own, other = (
-        F.transform(
-            F.array_append(pieces(F.col(c)), F.lit(None)),
-            _marked(mine),
-        )
-        for c, mine in (("text", 0), ("edited", 1))
-    )
+    # Before the pieces are laid out, or every piece's row would carry and hash the text.
+    ).withColumn("edited_sha256", F.sha2("edited", 256))
     keys = ["slice", "row", "part", "guest", "key", "n_chars", "edited_sha256"]
     pieced = changed.select(
-        "slice", "row", "guest", "key", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-        F.inline(F.concat(own, other)),
+        "slice", "row", "guest", "key", "n_chars", "edited_sha256",
+        F.inline(F.concat(_parts(F.col("text")), _parts(F.col("edited"), 1))),
     )
     # A text's row is followed by its edited text's and then by the next text's.
     following = W.partitionBy("slice").orderBy("row", "part")
