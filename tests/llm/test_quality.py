@@ -107,8 +107,8 @@ def test_odd_rows_and_tables(spark):
 def test_descriptions_equal_a_plain_computation():
     texts = ["The cat sat. The cat!", "a dog, 12 dogs", "", "cat cat CAT"]
     rows = quality.counted(texts)
-    idf = quality.rarity(rows)
-    for text, row, full in zip(texts, rows, quality.scaled(rows, idf)):
+    idf = quality.rarity(rows[:, quality._SHAPE:])
+    for text, row, full in zip(texts, rows, quality.scale(rows.copy(), idf)):
         counts = {}
         for w in text.lower().split():
             b = zlib.crc32(w.encode()) % quality.TERMS
@@ -129,8 +129,9 @@ def test_projection_holds_the_leading_singular_vectors(spark):
     docs = spark.createDataFrame(rows, SCHEMA)
     model = quality.fit(docs, spark.createDataFrame(labels, LABELS))
     learnt = [t for (i, t, *_) in rows if zlib.crc32(str(i).encode()) % 5]
-    x = quality.scaled(quality.counted(learnt), model.idf).astype(float)
-    assert np.allclose(model.idf, quality.rarity(quality.counted(learnt)), atol=1e-6)
+    counts = quality.counted(learnt)
+    assert np.allclose(model.idf, quality.rarity(counts[:, quality._SHAPE:]), atol=1e-6)
+    x = quality.scale(counts, model.idf).astype(float)
     _, values, right = np.linalg.svd(x, full_matrices=False)
     # The same space, whatever the signs and the order of equal values.
     k = 4
