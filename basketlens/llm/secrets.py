@@ -2,19 +2,25 @@
 
 From every rule's regular expression a Boolean query over trigrams is derived:
 which trigrams each match must contain. An inverted index lists, for every
-trigram that some rule asks for, the texts which contain it (in lower case).
-The postings of a text are intersected to find the rules it can match, and only
-these rules run on it. A rule without mandatory trigrams runs on every text.
-
-All steps are DataFrame operations. Texts are indexed under a 64-bit hash: two
+trigram of a dictionary, the texts which contain it (in lower case). It is written
+once, sorted by trigram, and can serve any number of rule sets: the postings of
+the trigrams that a set asks for are looked up and intersected, which gives the
+rules that each text can match, and only these run on it. A rule without mandatory
+trigrams in the dictionary runs on every text, in place.
+
+All steps are DataFrame operations. One expression finds all trigrams of the
+dictionary in one pass over a text. Texts are indexed under a 64-bit hash: two
 texts with the same hash only become candidates together, the expressions
-themselves decide. A hot text is a hot join key on the documents' side, so
-documents are salted by their other columns, and the short list of candidates is
-repeated for each of ``SALTS`` salts.
+themselves decide. Candidates are counted; up to ``BROADCAST_TEXTS`` are sent to
+the documents, so that no text is shuffled. Beyond that both sides are shuffled:
+a hot text is then a hot join key on the documents' side, so documents are salted
+by their other columns, and the list of candidates is repeated for each of
+``SALTS`` salts. Both ways give the same result.
 
 Defined cases: a null text counts as empty and has no spans; repeated rows and
 rows with a null id each give a row of their own; an empty table gives an empty
-result; other columns are ignored.
+result; a very long text is searched whole, in one task; spans that start together
+come in the order of their rules; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,11 +36,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.llm.tables import whole
+from basketlens.sources.landing import land
 
 #: Strings that a part of an expression may stand for before it counts as open.
 MAX_STRINGS = 64
 #: Parts that the documents with one text are dealt to.
 SALTS = 16
+#: Candidate texts (a hash and a few names each) that are sent to all executors.
+BROADCAST_TEXTS = 500_000
 
 
 def either_case(word: str) -> str:
@@ -160,28 +169,75 @@ def _holds(query, grams: Column) -> Column:
     return reduce(and_ if query[0] == "and" else or_, [_holds(q, grams) for q in query[1]])
 
 
+def weakened(query, grams: set[str] | frozenset[str]):
+    """The query as far as the trigrams ``grams`` can answer it."""
+    if query is True:
+        return True
+    if isinstance(query, str):
+        return query if query in grams else True
+    return _join(query[0], [weakened(q, grams) for q in query[1]])
+
+
 # --- index, candidates, verification ----------------------------------------
 
 
-def build_index(docs: DataFrame, grams: list[str], text: str = "text") -> DataFrame:
-    """The postings: (gram, text_key), for each wanted trigram the texts which hold it."""
-    low = docs.select(
-        F.xxhash64(whole(text)).alias("text_key"), F.lower(whole(text)).alias("low")
-    )
-    held = low.select(
-        "text_key", F.array_compact(F.array(*[F.when(F.contains("low", F.lit(g)), g) for g in grams])).alias("g")
-    )
-    return held.select(F.explode("g").alias("gram"), "text_key")
+@dataclass(frozen=True)
+class Index:
+    """Postings (gram, text_key), sorted by gram in each file, and the trigrams they cover."""
+
+    postings: DataFrame
+    grams: frozenset[str]
+
+
+def wanted_trigrams(rules: tuple[Rule, ...]) -> set[str]:
+    """The trigrams that the rules' queries name."""
+    return set().union(*(trigrams(trigram_query(r.pattern)) for r in rules))
+
 
+def _finder(grams: set[str] | frozenset[str]) -> str:
+    """A pattern whose group 1 is, at every place of a text, the trigram of ``grams`` that starts there.
+
+    Three classes turn most places away before the tree of trigrams is walked.
+    """
+    def char(c: str) -> str:
+        return f"\\x{{{ord(c):x}}}"
+
+    def any_of(chars) -> str:
+        return "[" + "".join(map(char, sorted(chars))) + "]"
+
+    tree: dict[str, dict[str, set[str]]] = {}
+    for a, b, c in sorted(grams):
+        tree.setdefault(a, {}).setdefault(b, set()).add(c)
+    branches = [
+        char(a) + "(?:" + "|".join(char(b) + any_of(thirds) for b, thirds in seconds.items()) + ")"
+        for a, seconds in tree.items()
+    ]
+    gate = "".join(any_of({g[i] for g in grams}) for i in range(3))
+    return f"(?={gate})(?=({'|'.join(branches)}))"
 
-def candidates(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
-    """For each text with postings, the kinds whose trigram query they meet."""
-    kinds = F.array_compact(F.array(*[
-        F.when(_holds(q, F.col("grams")), r.kind)
-        for r in rules if (q := trigram_query(r.pattern)) is not True
-    ]))
-    grouped = index.groupBy("text_key").agg(F.collect_set("gram").alias("grams"))
-    return grouped.select("text_key", kinds.alias("kinds")).where(F.size("kinds") > 0)
+
+def build_index(docs: DataFrame, grams: set[str] | frozenset[str], text: str = "text") -> Index:
+    """The index of the trigrams ``grams`` (in lower case) over all texts, written to the shared folder."""
+    key = F.xxhash64(whole(text)).alias("text_key")
+    none = F.array().cast("array<string>")
+    held = F.regexp_extract_all(F.lower(whole(text)), F.lit(_finder(grams)), F.lit(1)) if grams else none
+    postings = docs.select(F.explode(F.array_distinct(held)).alias("gram"), key).sortWithinPartitions("gram")
+    return Index(land(postings, "postings"), frozenset(grams))
+
+
+def candidates(index: Index, rules: tuple[Rule, ...]) -> DataFrame:
+    """(text_key, kinds): for each text the kinds whose trigram query its postings meet.
+
+    Kinds that the index says nothing about are not among them.
+    """
+    queries = {r.kind: weakened(trigram_query(r.pattern), index.grams) for r in rules}
+    asked = {kind: q for kind, q in queries.items() if q is not True}
+    wanted = sorted(set().union(*map(trigrams, asked.values())))
+    found = index.postings.where(F.col("gram").isin(wanted))
+    grouped = found.groupBy("text_key").agg(F.collect_set("gram").alias("grams"))
+    kinds = [F.when(_holds(q, F.col("grams")), kind) for kind, q in asked.items()]
+    compact = F.array_compact(F.array(*kinds)) if kinds else F.array().cast("array<string>")
+    return grouped.select("text_key", compact.alias("kinds")).where(F.size("kinds") > 0)
 
 
 def _spans(pieces: Column, matches: Column, groups: Column, rule: Rule, place: int) -> Column:
@@ -213,32 +269,29 @@ def _spans(pieces: Column, matches: Column, groups: Column, rule: Rule, place: i
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text",
-         spans: str = "secret_spans") -> DataFrame:
+         spans: str = "secret_spans", index: Index | None = None) -> DataFrame:
     """The rows of ``docs`` with the column ``spans``: (start, place, kind, end) in order.
 
     Starts and ends count code points, the end is exclusive; ``place`` is the rule's
-    number. A column which is already called ``spans`` gives way.
+    number. A column which is already called ``spans`` gives way. An ``index`` must
+    cover all texts of ``docs`` and may cover more; without one it is built.
     """
-    queries = {r.kind: trigram_query(r.pattern) for r in rules}
-    grams = sorted(set().union(*map(trigrams, queries.values())))
+    index = index or build_index(docs, wanted_trigrams(rules), text)
     names = [n for n in docs.columns if n != spans]
     key, salt, flags = "__text_key", "__salt", "__kinds"
-    # Any salt is right, as candidates have all of them. Maps cannot be hashed.
-    others = [F.col(f"`{n}`") for n, kind in docs.dtypes if n != text and "map<" not in kind and kind != "variant"]
-    rows = docs.withColumn(key, F.xxhash64(whole(text))).withColumn(
-        salt, F.pmod(F.xxhash64(*others), F.lit(SALTS)).cast("int") if others else F.lit(0)
-    )
-    if grams:
-        found = candidates(build_index(docs, grams, text), rules).select(
-            F.col("text_key").alias(key), F.col("kinds").alias(flags),
-            F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias(salt),
-        )
-        rows = rows.join(found, [key, salt], "left")
+    rows = docs.withColumn(key, F.xxhash64(whole(text)))
+    found = land(candidates(index, rules), "candidates").select(F.col("text_key").alias(key), F.col("kinds").alias(flags))
+    if found.count() <= BROADCAST_TEXTS:
+        rows = rows.join(F.broadcast(found), key, "left")
     else:
-        rows = rows.withColumn(flags, F.array().cast("array<string>"))
+        # Any salt is right, as candidates have all of them. Maps cannot be hashed.
+        others = [F.col(f"`{n}`") for n, kind in docs.dtypes if n != text and "map<" not in kind and kind != "variant"]
+        rows = rows.withColumn(salt, F.pmod(F.xxhash64(*others), F.lit(SALTS)).cast("int") if others else F.lit(0))
+        found = found.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rows = rows.join(found, [key, salt], "left")
     for i, r in enumerate(rules):
         source = whole(text)
-        if queries[r.kind] is not True:
+        if weakened(trigram_query(r.pattern), index.grams) is not True:
             source = F.when(F.array_contains(flags, r.kind), source)
         rows = rows.withColumn(f"__m{i}", F.regexp_extract_all(source, F.lit(r.pattern), F.lit(0)))
     parts = []

@@ -3,6 +3,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from basketlens.llm import secrets
 from tests.llm.brute import redacted, secret_spans
@@ -78,12 +79,56 @@ def test_every_match_meets_its_trigram_query(rule):
 
 def test_only_indexed_rules_wait_for_postings(spark):
     df = spark.createDataFrame([(1, "token = abcdef"), (2, "none")], "doc_id int, text string")
-    grams = sorted(secrets.trigrams(secrets.trigram_query(secrets.RULES[0].pattern)))
-    found = secrets.candidates(secrets.build_index(df, grams), secrets.RULES)
+    index = secrets.build_index(df, secrets.wanted_trigrams(secrets.RULES))
+    found = secrets.candidates(index, secrets.RULES)
     assert [r.kinds for r in found.collect()] == [["assign"]]
 
 
+def test_postings_are_all_trigrams_asked_for(spark):
+    grams = secrets.wanted_trigrams(secrets.RULES) | {"aaa", "-]^", "\\[(", "日本é", "é日本", " é "}
+    texts = [*TEXTS, "aaaa", "x-]^\\[(", "日本é日本", "TOKENtokenPassWord"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")
+    index = secrets.build_index(df, grams)
+    ids = df.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
+    got = {(r.doc_id, r.gram) for r in index.postings.join(ids, "text_key").collect()}
+    assert got == {(i, g) for i, t in enumerate(texts) for g in grams if g in (t or "").lower()}
+
+
+def test_one_index_serves_other_rules(spark, monkeypatch):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id int, text string")
+    others = (
+        secrets.Rule("known", "AKIA[A-Z0-9]{15,}"),
+        secrets.Rule("part", "(secret|hunter)[a-z0-9=]+"),  # "hunter" is not in the dictionary
+        secrets.Rule("unknown", "zzz+"),
+    )
+    index = secrets.build_index(df, secrets.wanted_trigrams(secrets.RULES))
+    assert secrets.weakened(secrets.trigram_query(others[0].pattern), index.grams) == ("and", ("aki", "kia"))
+    assert secrets.weakened(secrets.trigram_query(others[1].pattern), index.grams) is True
+    monkeypatch.setattr(secrets, "build_index", None)
+    for rules in (secrets.RULES[:2], others):
+        found = {r.doc_id: [tuple(x) for x in r.secret_spans] for r in secrets.scan(df, rules, index=index).collect()}
+        for i, text in enumerate(TEXTS):
+            plain = [
+                (m.start(), n, rule.kind, m.end()) for n, rule in enumerate(rules)
+                for m in re.finditer(rule.pattern, text or "", re.ASCII) if len(m[rule.group]) >= rule.least
+            ]
+            assert found[i] == sorted(plain)
+
+
+def test_shuffled_candidates_give_the_same(spark, monkeypatch):
+    rows = [(i, t, "s", 1, "q") for i, t in enumerate(TEXTS)] * 2 + [(None, TEXTS[3], "", 1, "")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    sent = secrets.secrets_query(df)
+    monkeypatch.setattr(secrets, "BROADCAST_TEXTS", -1)
+    shuffled = secrets.secrets_query(df)
+    assert "__salt" in shuffled._jdf.queryExecution().toString()
+    assert "__salt" not in sent._jdf.queryExecution().toString()
+    assert sorted(map(str, sent.collect())) == sorted(map(str, shuffled.collect()))
+
+
 def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, "token = abcdef")], "doc_id int, text string")
-    plan = secrets.secrets_query(df)._jdf.queryExecution().toString()
-    assert "Python" not in plan and "Arrow" not in plan
+    index = secrets.build_index(df, secrets.wanted_trigrams(secrets.RULES))
+    for made in (index.postings, secrets.candidates(index, secrets.RULES), secrets.secrets_query(df)):
+        plan = made._jdf.queryExecution().toString()
+        assert "Python" not in plan and "Arrow" not in plan
