@@ -27,13 +27,16 @@ with a standard error near 1/sqrt(LANES).
 Defined cases: a null text counts as empty; line ends in a row, and at the ends of a
 text, make no paragraph; a text of any length is read whole; an empty text has the fingerprint of
 nothing, like 1 to another such text and 0 to every other; repeated rows each
-give a row of their own; rows with a null id come last in the order of ids; an
-empty table gives no rows. Columns but the key and the text are not read.
+give a row of their own; rows with a null id come last in the order of ids; rows of
+one id, or without one, go by their texts' hashes, and any number of them is split by
+these; an empty table gives no rows. Columns but the key and the text are not read.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
+from itertools import accumulate
 from operator import add
 
 from pyspark.sql import Column, DataFrame
@@ -41,6 +44,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from basketlens.llm.tables import SPACE, WORD, whole
+from basketlens.llm.warc import _place
 
 PIECE_WORDS = 4
 #: Each 64-bit hash of a piece gives 42 lanes: 21 sums of 2, written as 14 words of 3 where these hold the counts.
@@ -246,50 +250,73 @@ def fingerprint(docs: DataFrame, keys: list[str], text: str = "text") -> DataFra
     return _summed(docs.select(*keys, F.inline(_parts(whole(text)))), keys)
 
 
-def _slices(docs: DataFrame, key: str) -> tuple[Column, Column, Column]:
-    """For a row: its slice of the ids, the slice before that, and the slice's highest id.
+def _slices(docs: DataFrame, key: str, text: str) -> tuple[Column, Column, Column]:
+    """For a row: its slice of the order, the slice before that, and whether it is its slice's first.
 
     Slices have higher numbers for higher ids; before the highest one comes the
     lowest. Ranges of about equal numbers of rows are cut into slices of equal
-    width, so neither gaps nor dense places in the ids make a slice large. What
-    comes to the driver are ``RANGES`` limits and one line for each slice, of
-    which there are ``MAX_SLICES`` at most.
+    width, so neither gaps nor dense places in the ids make a slice large. An id of
+    more rows than a slice should hold, or null, is a range of its own and cut by
+    its texts' hashes, so any number of texts may share it. What comes to the driver
+    are ``RANGES`` limits, and a line for each such id and for each slice, of which
+    there are a few times ``MAX_SLICES`` at most. Texts are read only if there is such an id.
     """
-    ids = docs.select(F.col(key).cast("long").alias("id")).where("id IS NOT NULL")
+    ids = docs.select(F.col(key).cast("long").alias("id"))
     n = ids.count()
+    rows = max(SLICE_ROWS, n // MAX_SLICES)
+    counts = ids.groupBy("id").agg(F.count("*").alias("n"))
+    hot = {r.id: r.n for r in counts.where(F.col("n") > rows).collect()}
     ranges = max(1, min(RANGES, n // SLICE_ROWS))
     marks = [i / ranges for i in range(ranges)]
-    stats = ids.agg(
+    stats = ids.where("id IS NOT NULL").agg(
         F.percentile_approx("id", marks, 20 * RANGES).alias("marks"),
         F.min("id").alias("low"), F.max("id").alias("high"),
     ).first()
-    edges = sorted({stats.low, *stats.marks}) if n else [0]
-    ends = [*edges[1:], stats.high + 1] if n else [1]
-    rows = max(SLICE_ROWS, n // MAX_SLICES)
+    low, high = (0, 0) if stats.low is None else (stats.low, stats.high)
+    alone = {e for h in hot if h is not None for e in (h, h + 1)}
+    edges = sorted({low, *(stats.marks or []), *(e for e in alone if e <= high)})
     parts = max(1, -(-n // (rows * len(edges))))
-    widths = [-(-(b - a) // parts) for a, b in zip(edges, ends)]
-    at = F.size(F.filter(F.lit(edges), lambda e: e <= F.col(key)))
-    inside = F.floor((F.col(key) - F.element_at(F.lit(edges), at)) / F.element_at(F.lit(widths), at))
-    # Slice 1 has the null ids, which come last.
-    number = (
-        F.when(F.col(key).isNull(), 1)
-        .otherwise(at * parts + F.least(inside, F.lit(parts - 1)) - parts + 2)
-        .cast("int")
-    )
-    found = docs.groupBy(number.alias("slice")).agg(F.max(F.col(key).cast("long")).alias("top")).collect()
-    tops, before = [[None] * (len(edges) * parts + 1) for _ in range(2)]
-    order = sorted((r.slice for r in found), reverse=True)
-    for i, s in enumerate(order):
-        before[s - 1] = order[i - 1]
-    for r in found:
-        tops[r.slice - 1] = r.top
-
-    def looked_up(values: list) -> Column:
-        # -1 stands for "none" in a slice without rows; the array has no null.
-        return F.element_at(F.lit([-1 if v is None else v for v in values]), F.col("slice"))
-
-    top = F.when(F.col("slice") > 1, looked_up(tops).cast("long"))
-    return number, looked_up(before).cast("int"), top
+    cut = [-(-hot[e] // rows) if e in hot else parts for e in edges]
+    widths = [-(-(b - a) // parts) for a, b in zip(edges, [*edges[1:], high + 1])]
+    # The first slices have the null ids, which come last.
+    nulls = -(-hot.get(None, 1) // rows)
+    starts = list(accumulate(cut[:-1], initial=nulls + 1))
+    at = F.greatest(_place(edges, F.col(key).cast("long")), F.lit(1))
+
+    def of_range(values: list) -> Column:
+        return F.element_at(F.lit(values), at)
+
+    def by_hash(slices: Column) -> Column:
+        # The hash's upper half from 0 on; lower hashes come first, in higher slices.
+        upper = F.shiftright(F.xxhash64(whole(text)), 32) + 2**31
+        return slices - 1 - F.shiftright(upper * slices.cast("long"), 32)
+
+    inside = F.least(F.floor((F.col(key) - of_range(edges)) / of_range(widths)), of_range(cut) - 1)
+    if alone:
+        inside = F.when(of_range([e in hot for e in edges]), by_hash(of_range(cut))).otherwise(inside)
+    last = by_hash(F.lit(nulls)) + 1 if None in hot else F.lit(1)
+    number = F.when(F.col(key).isNull(), last).otherwise(of_range(starts) + inside).cast("int")
+
+    top = [F.max(F.col(key).cast("long")).alias("id")]
+    if hot:
+        top.append(F.min(F.xxhash64(whole(text))).alias("hash"))
+    found = {r.slice: r for r in docs.groupBy(number.alias("slice")).agg(*top).collect()}
+    order = sorted(found, reverse=True)
+    previous = {s: order[i - 1] for i, s in enumerate(order)}
+    every = range(1, starts[-1] + cut[-1])
+
+    def looked_up(value: Callable[[int], int | bool]) -> Column:
+        # The array has no null: what a slice without rows, or of null ids, has is never used.
+        return F.element_at(F.lit([value(s) for s in every]), F.col("slice"))
+
+    highest = looked_up(lambda s: (found[s].id or 0) if s in found else 0).cast("long")
+    first = F.col("id").eqNullSafe(F.when(F.col("slice") > nulls, highest))
+    if hot:
+        split = {s for e, start, c in zip(edges, starts, cut) if e in hot for s in range(start, start + c)}
+        split |= set(range(1, nulls + 1)) if None in hot else set()
+        least = looked_up(lambda s: found[s].hash if s in found else 0).cast("long")
+        first &= ~looked_up(lambda s: s in split) | (F.xxhash64("text") == least)
+    return number, looked_up(lambda s: previous.get(s, 0)), first
 
 
 def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -301,7 +328,7 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text"
     once, and the first of each slice is also sent to the slice before it, so that
     neighbours meet without a global sort.
     """
-    number, before, top = _slices(docs.select(key), key)
+    number, before, first = _slices(docs, key, text)
     rows = docs.select(
         F.col(key).cast("long").alias("id"), F.col(key).alias("key"),
         whole(text).alias("text"), number.alias("slice"),
@@ -309,7 +336,7 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text"
     here = F.struct(F.col("slice"), F.lit(0).alias("guest"))
     there = F.struct(before.alias("slice"), F.lit(1).alias("guest"))
     # A slice's first row is a guest in the slice before, where it comes last.
-    places = F.when(F.col("id").eqNullSafe(top), F.array(here, there)).otherwise(F.array(here))
+    places = F.when(first, F.array(here, there)).otherwise(F.array(here))
     rows = rows.select("id", "key", "text", F.inline(places))
     order = W.partitionBy("slice").orderBy(
         "guest", F.col("id").desc_nulls_last(), F.xxhash64("text"), "text"

@@ -97,6 +97,29 @@ def test_equals_plain_computation_over_slices(spark, monkeypatch, seeds, rows):
     check(df, docs, seeds)
 
 
+def test_a_hot_id_and_rows_without_id_are_split_by_their_texts(spark, monkeypatch, seeds):
+    monkeypatch.setattr(fingerprints, "SLICE_ROWS", 5)
+    draw = random.Random(8)
+    docs = [(key, " ".join(f"w{draw.randrange(99)}" for _ in range(12))) for key in [None] * 60 + [7] * 80 + [8, 9, 5, 700, -3]]
+    docs += [(None, None), (7, "the same"), (7, "the same"), (8, "b c d")]
+    df = spark.createDataFrame([(*d, 1, "r", "v") for d in docs], SCHEMA).repartition(4)
+
+    def place(doc):
+        h = xxhash.xxh64_intdigest((doc[1] or "").encode(), seed=42)
+        return doc[0] is None, -(doc[0] or 0), h - 2**64 if h >> 63 else h
+
+    order = sorted(docs, key=place)
+    expected = Counter()
+    for i, (key, text) in enumerate(order):
+        changed = edited(text or "", order[(i + 1) % len(order)][1] or "")
+        expected[key, len(text or ""), hashlib.sha256(changed.encode()).hexdigest()] += 1
+    got = fingerprints.fingerprints_query(df)
+    assert Counter(tuple(r)[:3] for r in got.select("doc_id", "n_chars", "edited_sha256").collect()) == expected
+    number, _, _ = fingerprints._slices(df, "doc_id", "text")
+    sizes = [r["count"] for r in df.groupBy(number.alias("s")).count().collect()]
+    assert sum(sizes) == len(docs) and max(sizes) <= 15
+
+
 def test_one_document_and_none(spark, seeds):
     docs = [(4, "one two three four five six seven")]
     df = spark.createDataFrame([(*d, 1, "r", "v") for d in docs], SCHEMA)
