@@ -15,7 +15,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import IndexToString, VectorSlicer
 from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from basketlens.operators.features import FeatureModel, FeatureSpec, cells, fit_feature_models
@@ -29,11 +29,14 @@ from basketlens.schema import (
     SEED,
     TOP_FEATURES,
 )
+from basketlens.sources.landing import land
 
 BOOTSTRAP_UNITS = 500
 # Partitions of the training rows. A forest's draws depend on the number, so it
 # is a parameter and does not follow the size of the table or of the cluster.
 TRAINING_PARTITIONS = 16
+# A regression visits its cells in every iteration, and small tasks cost more than they do.
+REGRESSION_CELLS = 20_000
 
 
 def random_forest(
@@ -97,7 +100,7 @@ class FittedModel:
         return self.classifier.transform(self.slicer.transform(self.features.vectors(merged)))
 
 
-def merge_cells(cells: DataFrame, model: FeatureModel, slicer: VectorSlicer) -> DataFrame:
+def merge_cells(cells: DataFrame, model: FeatureModel, slicer: VectorSlicer, *also_by: str) -> DataFrame:
     """Cells counted again, with what the selected slots do not tell apart put together.
 
     A category value without a selected slot gets the number which the encoder
@@ -117,7 +120,7 @@ def merge_cells(cells: DataFrame, model: FeatureModel, slicer: VectorSlicer) ->
     by = [
         value.alias(name, metadata=cells.schema[name].metadata) for name, value in merged.items()
     ]
-    return cells.groupBy(*by, "label").agg(F.sum("n").alias("n"))
+    return cells.groupBy(*also_by, *by, "label").agg(F.sum("n").alias("n"))
 
 
 def _placed(df: DataFrame, partitions: int) -> DataFrame:
@@ -154,19 +157,16 @@ def _fit_forest(forest, known: DataFrame, model, slicer, units: int | None, part
     return roomy.fit(slicer.transform(model.vectors(rows)))
 
 
-def _fit_regression(regression, known: DataFrame, model, slicer, partitions: int):
+def _fit_regression(regression, known: DataFrame, size: Row, model, slicer, partitions: int):
     weighted = known.withColumn("weight", F.col("n").cast("double")).drop("n")
-    size = weighted.agg(
-        F.sum("weight").alias("rows"),
-        F.sum(F.col("weight") * F.col("weight")).alias("squares"),
-    ).first()
     # Spark divides the variance of weighted rows by rows - squares/rows, not by
     # rows - 1, and the penalty is scaled by that variance. Undo the difference,
     # so that the fit equals the one on single purchases.
     free = size["rows"] - size["squares"] / size["rows"]
     factor = free / (size["rows"] - 1) if free > 0 else 1.0
     corrected = regression.copy({regression.regParam: regression.getRegParam() * factor})
-    return corrected.fit(slicer.transform(model.vectors(_placed(weighted, partitions))))
+    placed = _placed(weighted, min(partitions, -(-size["cells"] // REGRESSION_CELLS)))
+    return corrected.fit(slicer.transform(model.vectors(placed)))
 
 
 def fit_classifier(
@@ -187,13 +187,17 @@ def fit_classifier(
     # Without the extra "unseen" value in the metadata, classes are the known labels.
     nominal = {"ml_attr": {"type": "nominal", "name": "label", "vals": model.labels}}
     known = merge_cells(cells, model, slicer).where(F.col("label") < len(model.labels))
-    if known.isEmpty():
+    weight = F.col("n").cast("double")
+    size = known.agg(
+        F.count("*").alias("cells"), F.sum(weight).alias("rows"), F.sum(weight * weight).alias("squares")
+    ).first()
+    if not size["cells"]:
         raise ValueError("there are no purchases of known category to train on")
     known = known.withMetadata("label", nominal)
     if isinstance(classifier, RandomForestClassifier):
         trained = _fit_forest(classifier, known, model, slicer, units, partitions)
     else:
-        trained = _fit_regression(classifier, known, model, slicer, partitions)
+        trained = _fit_regression(classifier, known, size, model, slicer, partitions)
     return FittedModel(model, slicer, trained)
 
 
@@ -278,17 +282,21 @@ def prepare(
     top: int = TOP_FEATURES,
     ranking: str = "log_p",
     model: FeatureModel | None = None,
+    merge: bool = False,
 ) -> Prepared:
     """Fit features where the boolean column ``held_out`` is false; count cells of both.
 
     One pass over the purchases counts the cells of the two parts together. A
-    ``model`` which was fitted already is taken as it is.
+    ``model`` which was fitted already is taken as it is. With ``merge`` the cells are
+    those of ``merge_cells``, written once for all fits and scores that follow.
     """
     if model is None:
         model = fit_feature_models(marked, {"train": ~F.col(held_out)}, spec)["train"]
     both = cells(marked, model, held_out)
-    train, test = both.where(~F.col(held_out)), both.where(held_out)
-    return Prepared(model, select_slots(train, model, top, ranking), train, test)
+    slicer = select_slots(both.where(~F.col(held_out)), model, top, ranking)
+    if merge:
+        both = land(merge_cells(both, model, slicer, held_out), "merged-cells")
+    return Prepared(model, slicer, both.where(~F.col(held_out)), both.where(held_out))
 
 
 def _fold_parts(folds: int, train: Column) -> dict[int, Column]:
@@ -322,7 +330,7 @@ def cross_validate(
     @inheritable_thread_target(spark)
     def run(fold: int) -> list[tuple]:
         marked = train.withColumn("held_out", F.col("fold") == fold)
-        parts = prepare(marked, "held_out", spec, top, ranking, feature_models[fold])
+        parts = prepare(marked, "held_out", spec, top, ranking, feature_models[fold], merge=True)
         scores = []
         for name, (estimator, grid) in candidates.items():
             for point, params in enumerate(grid or [{}]):
@@ -371,7 +379,7 @@ def leaderboard(
     )
     # One line per candidate and parameter point.
     lines = average_scores(scores).orderBy(F.desc("cv_accuracy"), "point").collect()
-    parts = prepare(marked, "held_out", spec, top, ranking, feature_models["all"])
+    parts = prepare(marked, "held_out", spec, top, ranking, feature_models["all"], merge=True)
     rows, fitted = [], {}
     for name, (estimator, grid) in candidates.items():
         line = next(r for r in lines if r["model"] == name)
@@ -415,6 +423,7 @@ def halving(
     model = fit_feature_models(train, {"train": learning}, spec)["train"]
     table = cells(train, model, "fold")
     slicer = select_slots(table.where(learning), model, top, ranking)
+    table = land(merge_cells(table, model, slicer, "fold"), "merged-cells")
     scoring = table.where("fold = 0")
     points = [
         (name, point, estimator.copy(params), ", ".join(sorted(f"{p.name}={v}" for p, v in params.items())))
