@@ -122,3 +122,48 @@ def test_refresh_reads_the_source_again(spark, hot_folder, tmp_path):
     )
     assert plan.purchases(spark, folder).count() == n
     assert plan.purchases(spark, folder, refresh=True).count() == 2 * n
+
+
+@pytest.mark.parametrize("room, by_part", [(60 * 50, 0), (60 * 40, 1)])
+def test_lines_are_shuffled_by_part_only_if_products_take_too_much_room(spark, hot_folder, room, by_part):
+    # Spark itself would broadcast the nations only.
+    settings = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k in settings:
+        spark.conf.set(k, "1")
+    try:
+        lines = plan.order_lines(spark, hot_folder, room)
+        assert lines.count() == 30_000
+        lines = plan.order_lines(spark, hot_folder, room).where("category IS NOT NULL")
+        text = lines._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert text.count("Exchange hashpartitioning(l_orderkey") == 1
+    assert text.count("Exchange hashpartitioning(l_partkey") == by_part
+
+
+def test_purchases_are_landed_in_a_dense_codec(spark, hot_folder):
+    files = plan.purchases(spark, hot_folder).inputFiles()
+    assert files and all(".zstd." in f for f in files)
+
+
+def _copy(spark, hot_folder, folder):
+    for table in ("nation", "customer", "orders", "part", "lineitem"):
+        spark.read.parquet(f"{hot_folder}/{table}.parquet").write.parquet(f"{folder}/{table}.parquet")
+    return folder
+
+
+def test_copy_without_the_key_has_the_same_rows(spark, hot_folder, tmp_path):
+    folder = _copy(spark, hot_folder, str(tmp_path / "copy"))
+    odd = [(0, 0, None, 0, 5.0, 7.0, 0.0, 0.0, "F"), (0, 0, None, None, 5.0, 7.0, 0.0, 0.0, "O"),
+           (0, 0, 3, 0, 5.0, 5.0, 0.0, 0.0, None), (None, None, 3, 0, 5.0, 5.0, 0.0, 0.0, "F")]
+    lines = spark.read.parquet(f"{hot_folder}/lineitem.parquet")
+    spark.createDataFrame(odd, lines.schema).write.mode("append").parquet(f"{folder}/lineitem.parquet")
+    without = plan.purchases(spark, folder, keyed=False)
+    assert plan.KEY not in without.columns
+    whole = plan.purchases(spark, folder)
+    assert plan.KEY in whole.columns
+    named = whole.drop(plan.KEY)
+    assert without.columns == named.columns and without.count() == 30_002
+    assert without.exceptAll(named).count() == 0 and named.exceptAll(without).count() == 0
