@@ -33,8 +33,8 @@ EXACT_LAYOUT = features.FeatureSpec(unseen="error", relative_error=0.0)
 PARALLEL_FOLDS = 3
 
 
-def _marked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return purchases(spark, sf_dir).withColumn("held_out", F.col("split") == "test")
+def _marked(spark: SparkSession, sf_dir: str, keyed: bool = False) -> DataFrame:
+    return purchases(spark, sf_dir, keyed=keyed).withColumn("held_out", F.col("split") == "test")
 
 
 def _candidates() -> dict[str, tuple]:
@@ -44,8 +44,10 @@ def _candidates() -> dict[str, tuple]:
     }
 
 
-def _fit(spark: SparkSession, sf_dir: str, classifier) -> tuple[models.FittedModel, DataFrame]:
-    parts = models.prepare(_marked(spark, sf_dir), "held_out")
+def _fit(
+    spark: SparkSession, sf_dir: str, classifier, keyed: bool = False
+) -> tuple[models.FittedModel, DataFrame]:
+    parts = models.prepare(_marked(spark, sf_dir, keyed), "held_out")
     return models.fit_classifier(classifier, parts.train, parts.features, parts.slicer), parts.test
 
 
@@ -347,13 +349,13 @@ def permutation_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every held-out purchase with the category expected for it."""
-    fitted, _ = _fit(spark, sf_dir, models.logistic_regression())
-    held_out = _marked(spark, sf_dir).where("held_out")
+    fitted, _ = _fit(spark, sf_dir, models.logistic_regression(), keyed=True)
+    held_out = _marked(spark, sf_dir, keyed=True).where("held_out")
     return fitted.predict(held_out).select(KEY, "category", "predicted_category")
 
 
 def cv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train = purchases(spark, sf_dir).where("split = 'train'")
+    train = purchases(spark, sf_dir, keyed=False).where("split = 'train'")
     forest = {"random forest": models.forest_grid()}
     return models.cross_validate(train, forest, parallelism=PARALLEL_FOLDS)
 

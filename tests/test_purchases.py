@@ -3,9 +3,10 @@ from __future__ import annotations
 import duckdb
 import pytest
 
-from basketlens.operators import profile
+from basketlens.operators import models, profile
 from basketlens.operators.clean import clean_counts
 from basketlens.plans import purchases as plan
+from basketlens.plans import queries
 from basketlens.plans.oracles import ORACLES
 from basketlens.plans.queries import QUERIES
 from tools.check_oracles import differences
@@ -167,3 +168,14 @@ def test_copy_without_the_key_has_the_same_rows(spark, hot_folder, tmp_path):
     named = whole.drop(plan.KEY)
     assert without.columns == named.columns and without.count() == 30_002
     assert without.exceptAll(named).count() == 0 and named.exceptAll(without).count() == 0
+
+
+def test_models_learn_from_the_copy_without_the_key(spark, hot_folder, tmp_path):
+    folder = _copy(spark, hot_folder, str(tmp_path / "copy"))
+    matrix = queries._fit(spark, folder, models.random_forest(2, 2))[1]
+    assert matrix.agg({"n": "sum"}).first()[0] == plan.purchases(spark, folder, keyed=False).where("split = 'test'").count()
+    assert set(plan._LANDED[spark.sparkContext.applicationId, folder]) == {False}
+    # With a keyed copy there is no need for another.
+    keyed = plan.purchases(spark, folder, refresh=True)
+    assert queries._marked(spark, folder).columns == [*keyed.columns, "held_out"]
+    assert set(plan._LANDED[spark.sparkContext.applicationId, folder]) == {True}
