@@ -33,6 +33,11 @@ EXACT_LAYOUT = features.FeatureSpec(unseen="error", relative_error=0.0)
 PARALLEL_FOLDS = 3
 
 
+def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases for analyses which do not show the key."""
+    return purchases(spark, sf_dir, keyed=False)
+
+
 def _marked(spark: SparkSession, sf_dir: str, keyed: bool = False) -> DataFrame:
     return purchases(spark, sf_dir, keyed=keyed).withColumn("held_out", F.col("split") == "test")
 
@@ -99,85 +104,85 @@ def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.group_counts(purchases(spark, sf_dir), "category")
+    return profile.group_counts(_rows(spark, sf_dir), "category")
 
 
 def gender_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.group_counts(purchases(spark, sf_dir), "gender")
+    return profile.group_counts(_rows(spark, sf_dir), "gender")
 
 
 def basic_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.basic_stats(purchases(spark, sf_dir), ["age", "unit_price"], digits=4)
+    return profile.basic_stats(_rows(spark, sf_dir), ["age", "unit_price"], digits=4)
 
 
 def member_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.member_averages(purchases(spark, sf_dir), digits=4)
+    return profile.member_averages(_rows(spark, sf_dir), digits=4)
 
 
 def top_provinces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.top_groups(purchases(spark, sf_dir), "province")
+    return profile.top_groups(_rows(spark, sf_dir), "province")
 
 
 def province_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.distinct_count(purchases(spark, sf_dir), "province")
+    return profile.distinct_count(_rows(spark, sf_dir), "province")
 
 
 def gender_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.value_share(purchases(spark, sf_dir), "gender", "female")
+    return profile.value_share(_rows(spark, sf_dir), "gender", "female")
 
 
 def member_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.value_share(purchases(spark, sf_dir), "is_member", "yes")
+    return profile.value_share(_rows(spark, sf_dir), "is_member", "yes")
 
 
 def best_worst_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.best_and_worst(purchases(spark, sf_dir), "category")
+    return profile.best_and_worst(_rows(spark, sf_dir), "category")
 
 
 def age_band_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.age_band_counts(purchases(spark, sf_dir))
+    return profile.age_band_counts(_rows(spark, sf_dir))
 
 
 def top_age_band(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.top_age_band(purchases(spark, sf_dir))
+    return profile.top_age_band(_rows(spark, sf_dir))
 
 
 def gender_category_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return crosstab.pivot_counts(purchases(spark, sf_dir), "gender", "category")
+    return crosstab.pivot_counts(_rows(spark, sf_dir), "gender", "category")
 
 
 def gender_category_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return crosstab.cross_counts(purchases(spark, sf_dir), "gender", "category")
+    return crosstab.cross_counts(_rows(spark, sf_dir), "gender", "category")
 
 
 def age_band_category_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    banded = crosstab.with_age_band(purchases(spark, sf_dir))
+    banded = crosstab.with_age_band(_rows(spark, sf_dir))
     return crosstab.pivot_counts(banded, "age_band", "category")
 
 
 def age_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(distribution.histogram(purchases(spark, sf_dir), "age"), 6, "lower", "upper")
+    return _rounded(distribution.histogram(_rows(spark, sf_dir), "age"), 6, "lower", "upper")
 
 
 def price_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = distribution.histogram(purchases(spark, sf_dir), "unit_price")
+    table = distribution.histogram(_rows(spark, sf_dir), "unit_price")
     return _rounded(table, 6, "lower", "upper")
 
 
 def age_density(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(distribution.density(purchases(spark, sf_dir), "age"), 9, "x", "density",
+    return _rounded(distribution.density(_rows(spark, sf_dir), "age"), 9, "x", "density",
                     "curve", curve=4)
 
 
 def price_density(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(distribution.binned_density(purchases(spark, sf_dir), "unit_price"), 9, "density", x=6, curve=4)
+    return _rounded(distribution.binned_density(_rows(spark, sf_dir), "unit_price"), 9, "density", x=6, curve=4)
 
 
 def _growing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of a state that took the purchases in two batches of files."""
     folder, state = new_path(spark, "growing"), new_path(spark, "state")
     for part in ("train", "test"):
-        batch = purchases(spark, sf_dir).where(F.col("split") == part)
+        batch = _rows(spark, sf_dir).where(F.col("split") == part)
         batch.drop("split", "fold").write.mode("append").parquet(folder)
         running.update(spark, folder, state)
     return running.current(spark, folder, state)
@@ -196,18 +201,18 @@ def running_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def insight_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.insight_report(purchases(spark, sf_dir))
+    return report.insight_report(_rows(spark, sf_dir))
 
 
 # Features
 
 
 def label_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.value_index(purchases(spark, sf_dir), "category")
+    return features.value_index(_rows(spark, sf_dir), "category")
 
 
 def province_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.value_index(purchases(spark, sf_dir), "province")
+    return features.value_index(_rows(spark, sf_dir), "province")
 
 
 def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,7 +228,7 @@ def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hashed_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases for each place of the provinces, of which ten have one of their own."""
     spec = features.FeatureSpec(unseen="hash", max_categories=18, hash_slots=8)
-    rows = purchases(spark, sf_dir)
+    rows = _rows(spark, sf_dir)
     table = features.cells(rows, features.fit_features(rows, spec))
     return table.groupBy(F.col("province_index").cast("int").alias("index")).agg(F.sum("n").alias("n"))
 
@@ -233,11 +238,11 @@ def cv_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def age_quantile_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quantiles.bin_counts(purchases(spark, sf_dir), "age", AGE_BINS)
+    return quantiles.bin_counts(_rows(spark, sf_dir), "age", AGE_BINS)
 
 
 def price_quantile_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quantiles.bin_counts(purchases(spark, sf_dir), "unit_price", PRICE_BINS)
+    return quantiles.bin_counts(_rows(spark, sf_dir), "unit_price", PRICE_BINS)
 
 
 def onehot_province(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,14 +257,14 @@ def feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chi2_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = purchases(spark, sf_dir)
+    rows = _rows(spark, sf_dir)
     model = features.fit_features(rows, EXACT_LAYOUT)
     tested = selection.chi_square(features.cells(rows, model), model)
     return _rounded(tested, 6, "statistic")
 
 
 def chi2_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = purchases(spark, sf_dir)
+    rows = _rows(spark, sf_dir)
     model = features.fit_features(rows, EXACT_LAYOUT)
     chosen = selection.ranked_features(features.cells(rows, model), model).where("selected")
     return _rounded(chosen, 6, "statistic", "log_p", p_value=9)
@@ -267,7 +272,7 @@ def chi2_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def chi2_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One test for each column, and the columns kept at a false-discovery rate."""
-    rows = purchases(spark, sf_dir)
+    rows = _rows(spark, sf_dir)
     model = features.fit_features(rows, EXACT_LAYOUT)
     return _rounded(selection.column_tests(features.cells(rows, model), model), 6, "statistic", "log_p")
 
@@ -331,7 +336,7 @@ def class_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rule_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each column is worth to a fixed rule for the category."""
     columns = ("gender", "is_member", "age")
-    table = profile.group_counts(purchases(spark, sf_dir), *columns, "category")
+    table = profile.group_counts(_rows(spark, sf_dir), *columns, "category")
 
     def rule(df: DataFrame) -> DataFrame:
         young_women = (F.col("gender") == "female") & (F.col("age") < 25)
@@ -355,7 +360,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train = purchases(spark, sf_dir, keyed=False).where("split = 'train'")
+    train = _rows(spark, sf_dir).where("split = 'train'")
     forest = {"random forest": models.forest_grid()}
     return models.cross_validate(train, forest, parallelism=PARALLEL_FOLDS)
 

@@ -179,3 +179,18 @@ def test_models_learn_from_the_copy_without_the_key(spark, hot_folder, tmp_path)
     keyed = plan.purchases(spark, folder, refresh=True)
     assert queries._marked(spark, folder).columns == [*keyed.columns, "held_out"]
     assert set(plan._LANDED[spark.sparkContext.applicationId, folder]) == {True}
+
+
+def test_pivot_lands_the_copy_without_the_key(spark, hot_folder, tmp_path):
+    folder = _copy(spark, hot_folder, str(tmp_path / "copy"))
+    slot = spark.sparkContext.applicationId, folder
+    # The tables have no lines of the other two categories.
+    wide = QUERIES["gender_category_pivot"](spark, folder).collect()
+    assert set(plan._LANDED[slot]) == {False}
+    counts = {(r["gender"], c): r[c] for r in wide for c in ("LARGE", "MEDIUM", "SMALL", "STANDARD") if r[c]}
+    con = duckdb.connect()
+    for table in ("nation", "customer", "orders", "part", "lineitem"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet/*.parquet'")
+    assert counts == {(g, c): n for g, c, n in con.execute(ORACLES["gender_category_long"]).fetchall()}
+    assert differences(QUERIES["cv_folds"](spark, folder), con, ORACLES["cv_folds"]) == []
+    assert set(plan._LANDED[slot]) == {False, True}
